@@ -15,6 +15,7 @@ from siltstone.operators.keys import dense_key
 from siltstone.operators.merge import scd2_apply, scd2_from_log
 from siltstone.operators.quality import gate_duplicates, gate_null_keys, gate_referential
 from siltstone.operators.sets import calendar_of
+from siltstone.session import pin
 
 # Fixed values of the daily model.
 GRAIN = ("business_date", "store_id", "item_id")
@@ -177,6 +178,27 @@ def fact_daily_sales(
     )
 
 
+def backfill(
+    raw_sales: DataFrame,
+    raw_inventory: DataFrame,
+    stores: DataFrame,
+    order: tuple[str | Column, ...],
+    start: str,
+    end: str,
+) -> DataFrame:
+    """Daily facts of a whole date range in one set-based run.
+
+    Dates are independent in silver and in the fact. Only the item versions depend on earlier dates,
+    and they come from the full log at once, so no date has to wait for the one before.
+    """
+    bounds = [F.lit(d).cast("date") for d in (start, end)]
+    sales = pin(silver_sales(raw_sales, order), "silver-daily")
+    items = dim_menu_item(sales)
+    wanted = sales.filter(F.col("business_date").between(*bounds))
+    counted = with_business_date(raw_inventory).filter(F.col("business_date").between(*bounds))
+    return fact_daily_sales(wanted, silver_inventory(counted, order), stores, items)
+
+
 def revenue_by_version(fact: DataFrame, items: DataFrame) -> DataFrame:
     """Revenue per date and item version, with the version's own price."""
     sums = fact.groupBy("date_key", "menu_item_key").agg(F.sum("gross_sales").alias("gross_sales"))

@@ -28,7 +28,10 @@ def with_steps(body: str) -> str:
     visit(body)
     if not used:
         return body
-    return "WITH " + ",\n".join(f"{name} AS ({STEPS[name]})" for name in used) + "\n" + body
+    steps = ",\n".join(f"{name} AS ({STEPS[name]})" for name in used)
+    if body.lower().startswith("with "):
+        return f"WITH {steps},\n{body[5:]}"
+    return f"WITH {steps}\n{body}"
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -76,20 +76,32 @@ def load_history(bronze: DataFrame) -> DataFrame:
 
 
 def load_day(
-    spark: SparkSession, root: str, feed: str, business_date: str, columns: Sequence[str]
+    spark: SparkSession,
+    root: str,
+    feed: str,
+    business_date: str,
+    columns: Sequence[str],
+    template: str = "{feed}_{tag}*",
 ) -> DataFrame:
     """Files of one business date, found by their yyyyMMdd tag: no other file is listed or read."""
-    tag = business_date.replace("-", "")
-    rows = read_raw_csv(spark, f"{root}/{feed}_{tag}*", columns)
+    name = template.format(feed=feed, tag=business_date.replace("-", ""))
+    rows = read_raw_csv(spark, f"{root}/{name}", columns)
     return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def load_range(
-    spark: SparkSession, root: str, feed: str, start: str, end: str, columns: Sequence[str]
+    spark: SparkSession,
+    path: str,
+    start: str,
+    end: str,
+    columns: Sequence[str],
+    tag_pattern: str = r"(\d{8})",
 ) -> DataFrame:
-    """Files of all dates in a range as one frame with a typed `business_day`, for backfills."""
-    tag = F.regexp_extract(F.col("_metadata.file_path"), rf"{feed}_(\d{{8}})", 1)
-    rows = read_raw_csv(spark, f"{root}/{feed}_*", columns).withColumn(
-        "business_day", F.to_date(tag, "yyyyMMdd")
-    )
-    return rows.filter(F.col("business_day").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    """Files of all dates in a range as one frame with a typed `business_day`, for backfills.
+
+    The day comes from the file path alone, so files outside the range are pruned before reading.
+    """
+    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), tag_pattern, 1), "yyyyMMdd")
+    rows = read_raw_csv(spark, path, columns).select("*", day.alias("business_day"))
+    bounds = [F.lit(d).cast("date") for d in (start, end)]
+    return rows.filter(F.col("business_day").between(*bounds))
