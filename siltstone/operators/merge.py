@@ -30,9 +30,8 @@ def open_versions(delta: DataFrame, ts: str, run_ts: Column | None = None) -> Da
     """First version of every row: valid from its change instant, open-ended, current."""
     start = F.col(ts) if run_ts is None else F.coalesce(F.col(ts), run_ts)
     end = F.lit(None).cast(delta.schema[ts].dataType)
-    return delta.drop(ts).withColumns(
-        {"valid_from": start, "valid_to": end, "is_current": F.lit(True)}
-    )
+    opened = {"valid_from": start, "valid_to": end, "is_current": F.lit(True)}
+    return delta.withColumns(opened).drop(ts)
 
 
 def _paired(dim_current: DataFrame, delta: DataFrame, key: Sequence[str], ts: str, differs: Differs):
