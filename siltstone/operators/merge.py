@@ -74,8 +74,9 @@ def scd2_apply(
     history = dim.filter(~F.col("is_current"))
 
     pairs, in_dim, in_delta, differing, is_late = _paired(current, delta, key, ts, differs)
-    replaces = differing & ~F.coalesce(is_late, F.lit(False)) if late == "reject" else differing
-    opening = F.col(f"s.{ts}")
+    decided = differing & ~F.coalesce(is_late, F.lit(False)) if late == "reject" else differing
+    pairs = pairs.withColumn("_replaces", F.coalesce(decided, F.lit(False)))
+    replaces, opening = F.col("_replaces"), F.col(f"s.{ts}")
 
     def version(side: str, start: Column, end: Column, is_open: Column) -> Column:
         number = [] if surrogate is None else [

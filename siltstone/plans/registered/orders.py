@@ -46,7 +46,7 @@ def customer_dim(spark: SparkSession, d: str, upto: int = BATCHES[-1]) -> DataFr
     raw = customers(spark, d)
     dim = orders.first_customers(batch_of(raw, 0))
     for batch in BATCHES[:upto]:
-        dim = orders.merge_customers(dim, batch_of(raw, batch))
+        dim = pin(orders.merge_customers(dim, batch_of(raw, batch)), "customer-dim")
     return dim
 
 
@@ -179,7 +179,7 @@ def fact_upsert(spark, d):
     dim = orders.first_customers(batch_of(customer_rows, 0))
     fact = orders.order_facts(batch_of(order_rows, 0), dim, run_ts())
     for batch in BATCHES:
-        dim = orders.merge_customers(dim, batch_of(customer_rows, batch))
+        dim = pin(orders.merge_customers(dim, batch_of(customer_rows, batch)), "customer-dim")
         fact = pin(
             orders.merge_orders(fact, batch_of(order_rows, batch), dim, run_ts()), "order-fact"
         )

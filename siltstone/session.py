@@ -17,6 +17,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Capturing the Python call site of every column expression slows down plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

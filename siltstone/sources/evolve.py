@@ -19,17 +19,22 @@ def evolve_union(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def headers_of(lines: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """Files by header, from a text frame. Brings one line per file to the driver, as a listing does."""
-    first_blocks = lines.select(
+def first_block_lines(lines: DataFrame) -> DataFrame:
+    """Lines from the first block of every file of a text frame, numbered.
+
+    Inside a block lines keep their order, and so do their numbers.
+    """
+    return lines.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
         "value",
     ).filter("block = 0")
-    # Inside the first block of a file lines keep their order, and so do the row identifiers.
-    headers = first_blocks.groupBy("file").agg(
-        F.min_by("value", F.monotonically_increasing_id()).alias("header")
-    )
+
+
+def headers_of(first_lines: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """Files by header. Brings one line per file to the driver, as a file listing does."""
+    headers = first_lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
     groups: dict[tuple[str, ...], list[str]] = {}
     for row in headers.orderBy("file").collect():
         groups.setdefault(tuple(next(csv.reader([row["header"]]))), []).append(row["file"])
@@ -47,7 +52,7 @@ def read_by_header(
 def read_evolving_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV files with differing headers below one folder."""
     lines = spark.read.option("recursiveFileLookup", True).text(path)
-    return read_by_header(spark, headers_of(lines))
+    return read_by_header(spark, headers_of(first_block_lines(lines)))
 
 
 def rescue(lines: DataFrame, known: Sequence[str], column: str = "value") -> DataFrame:

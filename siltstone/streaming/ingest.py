@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from siltstone.sources.evolve import headers_of, read_by_header, rescue
+from siltstone.sources.evolve import first_block_lines, headers_of, read_by_header, rescue
 from siltstone.sources.files import with_audit
 
 
@@ -84,13 +84,16 @@ def run_if_new_data(
 def ingest_evolving_csv(spark: SparkSession, src: str, dst: str, checkpoint: str) -> DataFrame:
     """CSV whose header may gain columns: they are added, and older rows hold NULL.
 
-    The stream decides which files are new. Each micro-batch reads its files by header and writes
-    its own folder, so a repeated batch replaces itself.
+    The stream only lists: it yields the path of every new file without opening it. Each micro-batch
+    reads its files by header and writes its own folder, so a repeated batch replaces itself.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = read_by_header(batch.sparkSession, headers_of(batch), audit=True)
+        session = batch.sparkSession
+        paths = [row["path"] for row in batch.collect()]
+        groups = headers_of(first_block_lines(session.read.text(paths)))
+        rows = read_by_header(session, groups, audit=True)
         rows.write.mode("overwrite").parquet(f"{dst}/ingest_batch={batch_id}")
 
-    run_if_new_data(_reader(spark, "text", None).load(src), load, checkpoint)
+    run_if_new_data(_reader(spark, "binaryFile", None).load(src).select("path"), load, checkpoint)
     return spark.read.option("mergeSchema", True).parquet(dst)
