@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from siltstone.sources.evolve import first_block_lines, headers_of, read_by_header, rescue
 from siltstone.sources.files import with_audit
 
+_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def _reader(spark: SparkSession, fmt: str, options: Mapping[str, str] | None):
     reader = spark.readStream.format(fmt).option("recursiveFileLookup", True)
@@ -95,5 +97,6 @@ def ingest_evolving_csv(spark: SparkSession, src: str, dst: str, checkpoint: str
         rows = read_by_header(session, groups, audit=True)
         rows.write.mode("overwrite").parquet(f"{dst}/ingest_batch={batch_id}")
 
-    run_if_new_data(_reader(spark, "binaryFile", None).load(src).select("path"), load, checkpoint)
+    listing = _reader(spark, "binaryFile", None).schema(_LISTING).load(src).select("path")
+    run_if_new_data(listing, load, checkpoint)
     return spark.read.option("mergeSchema", True).parquet(dst)
