@@ -42,12 +42,17 @@ def morton_key(
     return reduce(lambda x, y: x.bitwiseOR(y), pieces)
 
 
-def zorder_by(df: DataFrame, columns: Sequence[str], files: int, bits: int = 5) -> DataFrame:
-    """Rows near each other in several columns end up in the same file."""
-    # The buckets are materialised as columns once; interleaving then reuses them.
+def zorder_by(
+    df: DataFrame, columns: Sequence[str], files: int, bits: int = 5, within: Sequence[str] = ()
+) -> DataFrame:
+    """Rows near each other in several columns end up in the same file.
+
+    `within` names partition columns of the table: the order then holds inside each partition, and a
+    partition is spread over a few neighbouring tasks only.
+    """
     keyed = df.withColumn("_z", morton_key(df, columns, bits))
-    placed = keyed.repartitionByRange(files, "_z", F.xxhash64(*df.columns))
-    return placed.sortWithinPartitions("_z", *columns).drop("_z")
+    placed = keyed.repartitionByRange(files, *within, "_z", F.xxhash64(*df.columns))
+    return placed.sortWithinPartitions(*within, "_z", *columns).drop("_z")
 
 
 def clustering_info(spark: SparkSession, path: str, column: str) -> DataFrame:

@@ -27,3 +27,9 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, location = _resolve(spark, path)
     fs.delete(location, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, location = _resolve(spark, path)
+    fs.create(location).close()

@@ -6,7 +6,7 @@ written; a failure leaves the version before it readable.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -39,6 +39,24 @@ def write_overwrite(df: DataFrame, base: str, version: int | None = None) -> str
     return path
 
 
+def write_unpublished(df: DataFrame, base: str, by: Sequence[str] = ()) -> str:
+    """Write the next version without its completion marker: readers do not see it yet.
+
+    For loads whose quality is measured while they are written; see `publish`.
+    """
+    done = versions(df.sparkSession, base)
+    path = version_path(base, done[-1] + 1 if done else 1)
+    unmarked = df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    unmarked.mode("overwrite").partitionBy(*by).parquet(path)
+    return path
+
+
+def publish(spark: SparkSession, path: str) -> str:
+    """Make a version written by `write_unpublished` the current one."""
+    storage.touch(spark, f"{path}/_SUCCESS")
+    return path
+
+
 def read_current(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
     """Newest complete version, or the one asked for."""
     done = versions(spark, base)
