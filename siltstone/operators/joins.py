@@ -14,6 +14,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from siltstone.session import pin
+
 # Lookup sides are narrow (keys and a few attributes): this many rows is some tens of megabytes.
 BROADCAST_ROWS = 200_000
 # A key with more than this share of the left rows is split. At most 1/share keys can qualify.
@@ -83,7 +85,7 @@ def keyed_join(
     on: Sequence[str],
     how: str = "inner",
     residual: Residual | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join a large left side to a lookup on `on` (inner, left, left_semi or left_anti).
 
@@ -91,7 +93,7 @@ def keyed_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how!r} is not supported")
-    if right.count() <= broadcast_rows:
+    if is_small(right, broadcast_rows):
         return _matched(left, F.broadcast(right), on, how, residual)
     hot = hot_keys(left, on)
     if hot:
@@ -99,6 +101,35 @@ def keyed_join(
     return _matched(left, right, on, how, residual)
 
 
+def is_small(df: DataFrame, rows: int | None = None) -> bool:
+    """Counted, not estimated: few enough rows to be sent to every executor."""
+    return df.count() <= (BROADCAST_ROWS if rows is None else rows)
+
+
+def pair_rows(
+    target: DataFrame, source: DataFrame, key: Sequence[str], all_targets: bool = True
+) -> DataFrame:
+    """Match a large target with a batch of changes, both unique per key.
+
+    The result holds both rows as structs `d` (target) and `s` (source), one of them NULL without a
+    partner; without `all_targets`, target rows that no change refers to are left out. A small batch
+    is broadcast, so that the target is read in place and not shuffled. A larger one takes an outer
+    join on the key.
+    """
+    source = pin(source, "batch")  # read up to four times below, computed once
+    t = target.select(*key, F.struct(*target.columns).alias("d"))
+    s = source.select(*key, F.struct(*source.columns).alias("s"))
+    if not is_small(source):
+        how = "full_outer" if all_targets else "right_outer"
+        return t.join(s, list(key), how).select("d", "s")
+    keys = F.broadcast(source.select(*key))
+    matched = target.select(*key).join(keys, list(key), "left_semi")  # at most the batch's rows
+    unmatched = s.join(F.broadcast(matched), list(key), "left_anti")
+    missing = F.lit(None).cast(t.schema["d"].dataType).alias("d")
+    found = t.join(F.broadcast(s), list(key), "left" if all_targets else "inner")
+    return found.select("d", "s").unionByName(unmatched.select(missing, "s"))
+
+
 def attach_keys(
     fact: DataFrame, dims: Mapping[str, tuple[DataFrame, Sequence[str]]]
 ) -> DataFrame:

@@ -11,13 +11,21 @@ from pyspark.sql import functions as F
 from siltstone.operators.keys import running_totals
 
 
-def cluster_by(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
-    """Range-partition and sort, so that files cover narrow ranges of the filter columns.
+_TIE = "_tie"
+
+
+def _with_tie(df: DataFrame) -> DataFrame:
+    """A last range key that splits a value too frequent for one file, identical rows included.
 
-    A value that fills more than one file's share is split by the content of its rows.
+    It depends on row content and input partition only, so a retried task repeats it.
     """
-    spread = F.xxhash64(*df.columns)
-    return df.repartitionByRange(files, *columns, spread).sortWithinPartitions(*columns)
+    return df.withColumn(_TIE, F.xxhash64(F.spark_partition_id(), *df.columns))
+
+
+def cluster_by(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
+    """Range-partition and sort, so that files cover narrow ranges of the filter columns."""
+    placed = _with_tie(df).repartitionByRange(files, *columns, _TIE)
+    return placed.sortWithinPartitions(*columns).drop(_TIE)
 
 
 def _bucket(df: DataFrame, column: str, bits: int, error: float) -> Column:
@@ -51,8 +59,8 @@ def zorder_by(
     partition is spread over a few neighbouring tasks only.
     """
     keyed = df.withColumn("_z", morton_key(df, columns, bits))
-    placed = keyed.repartitionByRange(files, *within, "_z", F.xxhash64(*df.columns))
-    return placed.sortWithinPartitions(*within, "_z", *columns).drop("_z")
+    placed = _with_tie(keyed).repartitionByRange(files, *within, "_z", _TIE)
+    return placed.sortWithinPartitions(*within, "_z", *columns).drop("_z", _TIE)
 
 
 def clustering_info(spark: SparkSession, path: str, column: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Slowly changing dimensions, upserts and table comparison as plain joins.
 
 Source and target are unique per key on the side that is matched, so every join here meets at most
-one row per key and side.
+one row per key and side. Small batches of changes are broadcast, see `pair_rows`.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.predicates import Differs, changed
 from siltstone.operators.dedupe import latest
+from siltstone.operators.joins import pair_rows
 from siltstone.operators.keys import continue_key
 from siltstone.session import pin
 
@@ -34,16 +35,12 @@ def open_versions(delta: DataFrame, ts: str, run_ts: Column | None = None) -> Da
     return delta.withColumns(opened).drop(ts)
 
 
-def _paired(dim_current: DataFrame, delta: DataFrame, key: Sequence[str], ts: str, differs: Differs):
-    """Full outer pairing of current versions (d) and changes (s) with the decision per pair."""
-    d = dim_current.withColumn("_in_dim", F.lit(True)).alias("d")
-    s = delta.withColumn("_in_delta", F.lit(True)).alias("s")
-    on = [F.col(f"d.{k}") == F.col(f"s.{k}") for k in key]
-    pairs = d.join(s, on, "full_outer")
-    in_dim, in_delta = F.col("d._in_dim").isNotNull(), F.col("s._in_delta").isNotNull()
-    differing = in_dim & in_delta & differs("d", "s")
-    late = differing & (F.col(f"s.{ts}") < F.col("d.valid_from"))
-    return pairs, in_dim, in_delta, differing, late
+def _decide(pairs: DataFrame, ts: str, differs: Differs) -> DataFrame:
+    """Mark pairs whose tracked attributes differ, and those of them that are too old."""
+    both = F.col("d").isNotNull() & F.col("s").isNotNull()
+    differing = both & F.coalesce(differs("d", "s"), F.lit(False))
+    late = F.coalesce(F.col(f"s.{ts}") < F.col("d.valid_from"), F.lit(False))
+    return pairs.withColumn("_differs", differing).withColumn("_late", F.col("_differs") & late)
 
 
 def scd2_apply(
@@ -63,7 +60,8 @@ def scd2_apply(
     instant `ts`; a missing instant is replaced by `run_ts` for both the closing and the opening.
     Untracked attributes are carried only by a newly opened version. Changes older than the current
     version are left out (`late="reject"`, list them with `late_changes`) or applied as they come.
-    Closed history passes by without being joined. With `surrogate`, new versions continue its
+    Closed history passes by without being joined. Write the result (or `pin` it) before applying
+    the next batch: the dimension is read more than once. With `surrogate`, new versions continue its
     numbering in key order.
     """
     differs = tracked if callable(tracked) else changed(tracked)
@@ -73,10 +71,11 @@ def scd2_apply(
     current = dim.filter(F.col("is_current"))
     history = dim.filter(~F.col("is_current"))
 
-    pairs, in_dim, in_delta, differing, is_late = _paired(current, delta, key, ts, differs)
-    decided = differing & ~F.coalesce(is_late, F.lit(False)) if late == "reject" else differing
-    pairs = pairs.withColumn("_replaces", F.coalesce(decided, F.lit(False)))
+    pairs = _decide(pair_rows(current, delta, key), ts, differs)
+    replaces = F.col("_differs") & ~F.col("_late") if late == "reject" else F.col("_differs")
+    pairs = pairs.withColumn("_replaces", replaces)
     replaces, opening = F.col("_replaces"), F.col(f"s.{ts}")
+    in_dim, in_delta = F.col("d").isNotNull(), F.col("s").isNotNull()
 
     def version(side: str, start: Column, end: Column, is_open: Column) -> Column:
         number = [] if surrogate is None else [
@@ -109,8 +108,9 @@ def late_changes(
 ) -> DataFrame:
     """Changes that `scd2_apply(late="reject")` leaves out."""
     differs = tracked if callable(tracked) else changed(tracked)
-    pairs, *_, late = _paired(dim.filter(F.col("is_current")), delta, key, ts, differs)
-    return pairs.filter(late).select(*[F.col(f"s.{c}").alias(c) for c in delta.columns])
+    current = dim.filter(F.col("is_current"))
+    pairs = _decide(pair_rows(current, delta, key, all_targets=False), ts, differs)
+    return pairs.filter("_late").select("s.*")
 
 
 def merge_actions(
@@ -118,12 +118,10 @@ def merge_actions(
 ) -> DataFrame:
     """What a merge would do per changed key: insert, update or none."""
     differs = tracked if callable(tracked) else changed(tracked)
-    current = dim.filter(F.col("is_current")).withColumn("_in_dim", F.lit(True)).alias("d")
-    pairs = delta.alias("s").join(
-        current, [F.col(f"d.{k}") == F.col(f"s.{k}") for k in key], "left"
-    )
+    current = dim.filter(F.col("is_current"))
+    pairs = pair_rows(current, delta, key, all_targets=False)
     action = (
-        F.when(F.col("d._in_dim").isNull(), "insert").when(differs("d", "s"), "update").otherwise("none")
+        F.when(F.col("d").isNull(), "insert").when(differs("d", "s"), "update").otherwise("none")
     )
     return pairs.select(*[F.col(f"s.{k}").alias(k) for k in key], action.alias("merge_action"))
 
@@ -176,17 +174,15 @@ def upsert(
     Applying the same source twice gives the same rows.
     """
     now = F.localtimestamp() if run_ts is None else run_ts
-    t = target.withColumn("_in_target", F.lit(True)).alias("t")
-    s = source.withColumn("_in_source", F.lit(True)).alias("s")
-    in_target, in_source = F.col("t._in_target").isNotNull(), F.col("s._in_source").isNotNull()
-    pairs = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in key], "full_outer")
+    pairs = pair_rows(target, source, key)
+    in_target, in_source = F.col("d").isNotNull(), F.col("s").isNotNull()
 
     def value(c: str) -> Column:
         if c == stamp:
-            return F.when(in_source, now).otherwise(F.col(f"t.{c}"))
+            return F.when(in_source, now).otherwise(F.col(f"d.{c}"))
         if c in update_columns:
-            return F.when(in_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
-        return F.when(in_target, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}"))
+            return F.when(in_source, F.col(f"s.{c}")).otherwise(F.col(f"d.{c}"))
+        return F.when(in_target, F.col(f"d.{c}")).otherwise(F.col(f"s.{c}"))
 
     return pairs.select(*[value(c).alias(c) for c in target.columns])
 

@@ -12,7 +12,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.operators.joins import keyed_join
 from siltstone.operators.merge import upsert
+from siltstone.session import pin
 from siltstone.sources import storage
 
 _VERSION = "v="
@@ -141,8 +143,8 @@ def upsert_partitions(
     number of rewritten partitions.
     """
     target = spark.read.parquet(path)
-    source = source.select(*[c for c in target.columns if c in source.columns])
-    matched = target.select(*key, partition).join(source.select(*key), list(key), "left_semi")
+    source = pin(source.select(*[c for c in target.columns if c in source.columns]), "batch")
+    matched = keyed_join(target.select(*key, partition), source.select(*key), key, "left_semi")
     touched = matched.select(partition).union(source.select(partition)).distinct()
     values = [row[0] for row in touched.collect()]  # one entry per partition
     hit = F.col(partition).isin([v for v in values if v is not None])
