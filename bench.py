@@ -17,7 +17,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from siltstone.plans import lakehouse, retail, shapes  # noqa: E402
 from siltstone.plans.registered import load_all  # noqa: E402
-from siltstone.plans.registered.files import POS_ALL, land_csv  # noqa: E402
+from siltstone.plans.registered.files import POS_ALL, land_csv, land_products  # noqa: E402
 from siltstone.plans.registry import QUERIES  # noqa: E402
 from siltstone.session import build_session, scratch_path  # noqa: E402
 
@@ -45,11 +45,7 @@ def land(spark, sf_dir, landing):
     land_csv(raw.filter(later).select(*POS_ALL), f"{landing}/pos/later")
     clicks = shapes.clicks_raw(spark, sf_dir).select(*shapes.CLICK_COLUMNS)
     clicks.repartition(8).write.json(f"{landing}/clicks")
-    products = shapes.products_raw(spark, sf_dir).withColumn("file", F.crc32("sku") % 16)
-    arrays = products.groupBy("file").agg(
-        F.to_json(F.collect_list(F.struct(*[c for c in products.columns if c != "file"]))).alias("value")
-    )
-    arrays.write.partitionBy("file").text(f"{landing}/products")
+    land_products(spark, sf_dir, f"{landing}/products")
 
 
 def main() -> None:

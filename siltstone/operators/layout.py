@@ -22,9 +22,15 @@ def _with_tie(df: DataFrame) -> DataFrame:
     return df.withColumn(_TIE, F.xxhash64(F.spark_partition_id(), *df.columns))
 
 
-def cluster_by(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
+def _ranges(df: DataFrame, files: int | None, columns: Sequence[str]) -> DataFrame:
+    """Range-partition; without a number of files AQE merges neighbours up to its advisory size."""
+    number = [] if files is None else [files]
+    return _with_tie(df).repartitionByRange(*number, *columns, _TIE)
+
+
+def cluster_by(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
     """Range-partition and sort, so that files cover narrow ranges of the filter columns."""
-    placed = _with_tie(df).repartitionByRange(files, *columns, _TIE)
+    placed = _ranges(df, files, columns)
     return placed.sortWithinPartitions(*columns).drop(_TIE)
 
 
@@ -51,7 +57,11 @@ def morton_key(
 
 
 def zorder_by(
-    df: DataFrame, columns: Sequence[str], files: int, bits: int = 5, within: Sequence[str] = ()
+    df: DataFrame,
+    columns: Sequence[str],
+    files: int | None = None,
+    bits: int = 5,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Rows near each other in several columns end up in the same file.
 
@@ -59,7 +69,7 @@ def zorder_by(
     partition is spread over a few neighbouring tasks only.
     """
     keyed = df.withColumn("_z", morton_key(df, columns, bits))
-    placed = _with_tie(keyed).repartitionByRange(files, *within, "_z", _TIE)
+    placed = _ranges(keyed, files, [*within, "_z"])
     return placed.sortWithinPartitions(*within, "_z", *columns).drop("_z", _TIE)
 
 

@@ -90,7 +90,7 @@ def quarantined_sales(spark: SparkSession, base: str) -> DataFrame:
     return rows.filter(F.col("side") == "quarantine").drop("side")
 
 
-def gold(spark: SparkSession, base: str, files: int = 8) -> None:
+def gold(spark: SparkSession, base: str, files: int | None = None) -> None:
     """Dimensions and facts. The sales fact is partitioned by month and in Morton order inside."""
     sales = clean_sales(spark, base)
     products = retail.dim_product(tables.read_current(spark, f"{base}/silver/products"))

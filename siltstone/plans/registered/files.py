@@ -40,6 +40,20 @@ def land_pos(spark: SparkSession, d: str, path: str) -> DataFrame:
     return raw
 
 
+PRODUCT_COLUMNS = ("sku", "name", "category", "brand", "list_price", "updated_at")
+
+
+def land_products(spark: SparkSession, d: str, path: str) -> str:
+    """One JSON array of at most 500 products per file."""
+    number = F.regexp_extract("sku", r"(\d+)", 1).cast("bigint")
+    products = shapes.products_raw(spark, d).withColumn("file", F.floor(number / 500))
+    arrays = products.groupBy("file").agg(
+        F.to_json(F.collect_list(F.struct(*PRODUCT_COLUMNS))).alias("value")
+    )
+    arrays.write.partitionBy("file").text(path)
+    return path
+
+
 @query("scan_csv", f"select {_POS_SQL} from pos_raw")
 def scan_csv(spark, d):
     path = land_csv(
@@ -57,17 +71,8 @@ def scan_jsonl(spark, d):
 
 @query("scan_json_array", "select sku, name, category, brand, list_price, updated_at from products_raw")
 def scan_json_array(spark, d):
-    columns = ["sku", "name", "category", "brand", "list_price", "updated_at"]
-    path = scratch_path(spark, "landing")
-    # One array of at most 500 products per file.
-    products = shapes.products_raw(spark, d).withColumn(
-        "file", (F.regexp_extract("sku", r"(\d+)", 1).cast("bigint") / 500).cast("bigint")
-    )
-    arrays = products.groupBy("file").agg(
-        F.to_json(F.collect_list(F.struct(*columns))).alias("value")
-    )
-    arrays.write.partitionBy("file").text(path)
-    return files.read_raw_json_array(spark, path, ", ".join(f"{c} string" for c in columns))
+    path = land_products(spark, d, scratch_path(spark, "landing"))
+    return files.read_raw_json_array(spark, path, ", ".join(f"{c} string" for c in PRODUCT_COLUMNS))
 
 
 @query(

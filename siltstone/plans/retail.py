@@ -182,16 +182,18 @@ def top_products_with_views(star: Star, k: int = 10) -> DataFrame:
     sales = _sales_by(star, "product_key").select(
         "product_key", money("line_amount").alias("revenue")
     )
+    # The k best are known from revenue alone; k rows are safe to broadcast, so only their clicks are
+    # summed and only their names are looked up.
+    best = top_k(sales, "revenue", k, ["product_key"])
     views = (
         star["fact_clickstream_daily"]
         .filter(F.col("event_type") == VIEW_EVENT)
+        .join(F.broadcast(best.select("product_key")), "product_key", "left_semi")
         .groupBy("product_key")
         .agg(F.sum("events").cast("bigint").alias("product_views"))
     )
-    # The k best are known from revenue alone, so only they look up names and views.
-    best = top_k(sales, "revenue", k, ["product_key"])
     products = star["dim_product"].select("product_key", "name", "category")
-    named = join_aggregates(best.join(products, "product_key"), views, ["product_key"])
+    named = join_aggregates(products.join(F.broadcast(best), "product_key"), views, ["product_key"])
     return named.select("product_key", "name", "category", "revenue", "product_views").orderBy(
         F.desc("revenue"), "product_key"
     )
