@@ -15,12 +15,14 @@ def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
 def tolerant(column: str | Column, data_type: T.DataType) -> Column:
     """Cast that yields NULL for a bad value.
 
-    Whole numbers are read through DECIMAL(38,0), so `2.5` becomes 3 and is not lost.
+    Whole numbers that do not parse as such are read through DECIMAL(38,0), so `2.5` becomes 3 and is
+    not lost. The plain parse comes first since it is the cheap and usual case.
     """
     col = F.col(column) if isinstance(column, str) else column
     text = F.trim(col.cast("string"))
     if isinstance(data_type, (T.IntegerType, T.LongType)):
-        return text.try_cast("decimal(38,0)").try_cast(data_type)
+        rounded = text.try_cast("decimal(38,0)").try_cast(data_type)
+        return F.coalesce(text.try_cast(data_type), rounded)
     return text.try_cast(data_type)
 
 
