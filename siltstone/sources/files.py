@@ -101,7 +101,8 @@ def load_range(
 
     The day comes from the file path alone, so files outside the range are pruned before reading.
     """
-    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), tag_pattern, 1), "yyyyMMdd")
+    tag = F.regexp_extract(F.col("_metadata.file_path"), tag_pattern, 1)
+    day = F.try_to_date(tag, "yyyyMMdd")  # files without a date tag belong to no day
     rows = read_raw_csv(spark, path, columns).select("*", day.alias("business_day"))
     bounds = [F.lit(d).cast("date") for d in (start, end)]
     return rows.filter(F.col("business_day").between(*bounds))

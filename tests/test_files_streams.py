@@ -76,8 +76,24 @@ def test_load_day_reads_only_its_files(spark, tmp_path):
     put(f"{tmp_path}/sales_20260501.csv", "a\n1\n")
     put(f"{tmp_path}/sales_20260502.csv", "a\n2\n")
     assert rows(files.load_day(spark, str(tmp_path), "sales", "2026-05-02", ["a"]), "a") == [("2",)]
-    both = files.load_range(spark, str(tmp_path), "2026-05-01", "2026-05-01", ["a"], r"sales_(\d{8})")
-    assert rows(both, "a") == [("1",)]
+    put(f"{tmp_path}/readme.csv", "a\n9\n")
+    one = files.load_range(spark, str(tmp_path), "2026-05-01", "2026-05-01", ["a"], r"sales_(\d{8})")
+    assert rows(one, "a") == [("1",)]
+
+
+def test_path_conditions_prune_files(spark, tmp_path):
+    for n in (1, 2, 3):
+        put(f"{tmp_path}/sales_2026050{n}.csv", f"a\n{n}\n")
+
+    def files_read(df):
+        df.collect()
+        scan = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return scan.metrics().get("numFiles").get().value()
+
+    root = str(tmp_path)
+    day = ("2026-05-02", "2026-05-02")
+    assert files_read(files.load_range(spark, root, *day, ["a"], r"sales_(\d{8})")) == 1
+    assert files_read(files.copy_into(spark, root, ".*0503.*", ["a"])) == 1
 
 
 def test_versions_stay_readable_until_the_next_is_complete(spark, tmp_path):
