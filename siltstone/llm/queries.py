@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import pareto_mix, simhash_gph
-from siltstone.llm.queries_sql import OP9_SQL
+from siltstone.llm import pareto_mix, positional_index, simhash_gph
+from siltstone.llm.queries_sql import OP8_SQL, OP9_SQL
 from siltstone.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = positional_index.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    ids = F.transform("items", lambda x: F.coalesce(x, F.lit("null")))
+    return found.select(
+        "doc_id", "n_words",
+        F.size("hits").cast("bigint").alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort(ids)).cast("binary"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = pin(docs.select("doc_id", "source", pareto_mix.word_count("text").alias("size")), "sized")
@@ -31,8 +43,9 @@ def op10_simhash_gph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op8_positional_index": op8_positional_index,
     "op9_pareto_mix": op9_pareto_mix,
     "op10_simhash_gph": op10_simhash_gph,
 }
 
-ORACLES: dict[str, str] = {"op9_pareto_mix": OP9_SQL}
+ORACLES: dict[str, str] = {"op8_positional_index": OP8_SQL, "op9_pareto_mix": OP9_SQL}

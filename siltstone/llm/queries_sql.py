@@ -1,5 +1,37 @@
 """DuckDB SQL for the queries that SQL can state."""
 
+OP8_SQL = r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), item_words AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[k : k + 9], ' ') AS win
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM item_words WHERE len(w) > 0)
+), sizes AS (
+    SELECT DISTINCT n FROM windows
+), places AS (
+    SELECT doc_id, k, n, array_to_string(w[k : k + n - 1], ' ') AS win
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM doc_words, sizes WHERE len(w) >= n)
+), found AS (
+    SELECT doc_id, item_id, k, n FROM places JOIN windows USING (n, win)
+), hits AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM found) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
+"""
+
 OP9_SQL = r"""
 WITH RECURSIVE sized AS (
     SELECT doc_id, source,
