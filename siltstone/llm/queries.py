@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import pareto_mix, positional_index, simhash_gph
+from siltstone.llm import pareto_mix, positional_index, rule_ensemble, simhash_gph, unit_dedup
 from siltstone.llm.queries_sql import OP8_SQL, OP9_SQL
 from siltstone.session import pin
 
@@ -18,6 +18,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _bucket(doc_id: str, parts: int):
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
+
+
+def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    stats = pin(rule_ensemble.statistics(docs), "statistics")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality").filter(_bucket("doc_id", 5) != 0)
+    model = rule_ensemble.fit(stats.join(labels, "doc_id"), "quality")
+    score = rule_ensemble.score_column(model)
+    scored = stats.select("doc_id", (_bucket("doc_id", 5) == 0).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op7_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = unit_dedup.dedup_units(docs)
+    lost = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return done.select("doc_id", "text", "removed", F.size("removed").cast("bigint").alias("n_removed"), lost.alias("removed_chars"))
+
+
 def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional_index.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     ids = F.transform("items", lambda x: F.coalesce(x, F.lit("null")))
@@ -43,6 +64,8 @@ def op10_simhash_gph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op5_rule_ensemble": op5_rule_ensemble,
+    "op7_unit_dedup": op7_unit_dedup,
     "op8_positional_index": op8_positional_index,
     "op9_pareto_mix": op9_pareto_mix,
     "op10_simhash_gph": op10_simhash_gph,
