@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import pareto_mix, positional_index, rule_ensemble, simhash_gph, unit_dedup
+from siltstone.llm import (
+    pareto_mix,
+    positional_index,
+    prefix_hash,
+    rank_profiles,
+    rule_ensemble,
+    simhash_gph,
+    unit_dedup,
+)
 from siltstone.llm.queries_sql import OP8_SQL, OP9_SQL
 from siltstone.session import pin
 
@@ -22,6 +30,13 @@ def _bucket(doc_id: str, parts: int):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
 
 
+def op4_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    learned = rank_profiles.learn(docs.filter(_bucket("doc_id", 3) != 1))
+    found = rank_profiles.predict(docs, rank_profiles.collect_profiles(learned))
+    return found.select("doc_id", (_bucket("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     stats = pin(rule_ensemble.statistics(docs), "statistics")
@@ -32,6 +47,10 @@ def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op6_prefix_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_hash.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op7_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     done = unit_dedup.dedup_units(docs)
@@ -64,7 +83,9 @@ def op10_simhash_gph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_rank_profiles": op4_rank_profiles,
     "op5_rule_ensemble": op5_rule_ensemble,
+    "op6_prefix_hash": op6_prefix_hash,
     "op7_unit_dedup": op7_unit_dedup,
     "op8_positional_index": op8_positional_index,
     "op9_pareto_mix": op9_pareto_mix,
