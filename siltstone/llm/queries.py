@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import (
+    chat_prefix,
     pareto_mix,
     positional_index,
     prefix_hash,
@@ -15,9 +16,10 @@ from siltstone.llm import (
     rule_ensemble,
     simhash_gph,
     unit_dedup,
+    warc_index,
 )
 from siltstone.llm.queries_sql import OP8_SQL, OP9_SQL
-from siltstone.session import pin
+from siltstone.session import pin, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +28,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    root = scratch_path(spark, "warc")
+    captures = warc_index.write_archives(pages, f"{root}/archives")
+    manifest = warc_index.write_index(captures, f"{root}/index")
+    keys = pages.select("url").distinct().mapInPandas(_url_keys, "key string")
+    found = warc_index.fetch(warc_index.lookup(keys, manifest, f"{root}/index"), f"{root}/archives", payloads=False)
+    return found.drop("payload", "url")
+
+
+def _url_keys(frames):
+    for frame in frames:
+        yield frame["url"].map(warc_index.url_key).to_frame("key")
+
+
+def op2_chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], turns.schema)
+    formatted = pin(chat_prefix.format_conversations(turns.union(added)), "formatted")
+    return chat_prefix.read_back(formatted)
+
+
 def _bucket(doc_id: str, parts: int):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
 
@@ -83,6 +108,8 @@ def op10_simhash_gph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc_index": op1_warc_index,
+    "op2_chat_prefix": op2_chat_prefix,
     "op4_rank_profiles": op4_rank_profiles,
     "op5_rule_ensemble": op5_rule_ensemble,
     "op6_prefix_hash": op6_prefix_hash,
