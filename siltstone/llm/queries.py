@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import (
     chat_prefix,
+    ngram_trie,
     pareto_mix,
     positional_index,
     prefix_hash,
@@ -55,6 +56,11 @@ def _bucket(doc_id: str, parts: int):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
 
 
+def op3_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", _bucket("doc_id", 7) == 2)
+    return ngram_trie.score(docs)[0]
+
+
 def op4_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     learned = rank_profiles.learn(docs.filter(_bucket("doc_id", 3) != 1))
@@ -110,6 +116,7 @@ def op10_simhash_gph(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc_index": op1_warc_index,
     "op2_chat_prefix": op2_chat_prefix,
+    "op3_ngram_trie": op3_ngram_trie,
     "op4_rank_profiles": op4_rank_profiles,
     "op5_rule_ensemble": op5_rule_ensemble,
     "op6_prefix_hash": op6_prefix_hash,

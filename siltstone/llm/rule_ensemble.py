@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.packed import chunks, word_hashes, words
+from siltstone.session import pin
 
 STATISTICS = (
     "q_words", "q_word_bytes", "q_upper", "q_digit", "q_stop", "q_symbol", "q_bang", "q_space",
@@ -205,7 +206,12 @@ def fit(labelled: DataFrame, label: str, *, at_most: int = SAMPLE_AT_MOST, key:
     At most `at_most` rows are used: those with the smallest hash of `key`, a sample that does not depend
     on the order or the partitions of the table.
     """
-    wanted = labelled.filter(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("y"), *STATISTICS, F.xxhash64(key).alias("h"))
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 40))
+    wanted = labelled.filter(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("y"), *STATISTICS, place.alias("h"))
+    wanted = pin(wanted, "labelled")
+    n = wanted.count()
+    if n > at_most:  # about half more than is wanted, so that the tasks do not send `at_most` rows each
+        wanted = wanted.filter(F.col("h") < int((1 << 40) * min(1.0, 1.5 * at_most / n)))
     rows = wanted.orderBy("h", "y", *STATISTICS).limit(at_most).toPandas()
     return learn(rows[list(STATISTICS)].to_numpy(dtype=np.float64), rows["y"].to_numpy(dtype=np.float64), **options)
 
