@@ -112,7 +112,7 @@ def make_blocks(docs: DataFrame) -> DataFrame:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             held = np.asarray(batch.column(2).fill_null(False))
-            for chunk in chunks(batch.column(1), BLOCK_BYTES):
+            for chunk in chunks(batch.column(1), BLOCK_BYTES, 1 << 16):
                 w = words(chunk)
                 rows = chunk.last - chunk.first
                 h = np.insert(word_hashes(w), w.rows[1:], _END)

@@ -1,6 +1,6 @@
 """Whole-batch text work on Arrow buffers: words, their hashes, and compact integer arrays.
 
-A batch is walked in chunks of a few megabytes, so temporary arrays stay small whatever the size of
+A batch is walked in chunks of about a megabyte, so temporary arrays stay small whatever the size of
 the batch; only a single document longer than a chunk makes its chunk longer.
 """
 
@@ -12,7 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+CHUNK_ROWS = 1 << 13
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -46,8 +47,11 @@ class Words:
     rows: np.ndarray
 
 
-def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """Consecutive rows of a string column, about `limit` bytes at a time. Null counts as empty."""
+def chunks(column: pa.Array, limit: int = CHUNK_BYTES, rows: int = CHUNK_ROWS) -> Iterator[Chunk]:
+    """Consecutive rows of a string column, about `limit` bytes and at most `rows` rows at a time.
+
+    Null counts as empty.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
@@ -60,7 +64,7 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     first = 0
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
-        last = min(max(last, first + 1), n)
+        last = min(max(last, first + 1), first + rows, n)
         low, high = offsets[first], offsets[last]
         yield Chunk(first, last, data[low:high], offsets[first : last + 1] - low)
         first = last
@@ -87,16 +91,22 @@ def words(chunk: Chunk, inside: np.ndarray = NOT_SPACE) -> Words:
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = np.random.Generator(np.random.PCG64(20240)).integers(0, 1 << 64, 256, dtype=np.uint64)
-_POWERS: dict[int, np.ndarray] = {}
+_WORDS_AT_ONCE = 1 << 14
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """The first n powers of `base` modulo 2^64."""
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out)
+
+
+_HELD = {int(base): powers(base, 1 << 18) for base in (_BASE, _INVERSE)}
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    held = _POWERS.get(int(base))
-    if held is None or len(held) < n:
-        step = np.full(max(n, CHUNK_BYTES + 1), base, dtype=np.uint64)
-        step[0] = 1
-        held = _POWERS[int(base)] = np.cumprod(step)
-    return held[:n]
+def _first_powers(base: np.uint64, n: int) -> np.ndarray:
+    held = _HELD[int(base)]
+    return held[:n] if n <= len(held) else powers(base, n)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -107,20 +117,16 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(w: Words) -> np.ndarray:
-    """64-bit hash of every word: a polynomial in random byte values, read off prefix sums."""
-    n = len(w.data)
-    prefix = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[w.data] * _powers(_BASE, n), out=prefix[1:])
-    h = (prefix[w.ends] - prefix[w.starts]) * _powers(_INVERSE, n + 1)[w.starts]
-    return mixed(h + (w.ends - w.starts).astype(np.uint64))
-
-
-def run_hashes(h: np.ndarray, length: int) -> np.ndarray:
-    """Hash of every run of `length` consecutive values (order counts)."""
-    n = len(h) - length + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.uint64)
-    out = np.zeros(n, dtype=np.uint64)
-    for k in range(length):
-        out = mixed(out + h[k : k + n])
+    """64-bit hash of every word: a polynomial in random byte values, read off prefix sums.
+
+    Some thousand words at a time, so that temporary arrays stay in the processor's cache.
+    """
+    out = np.empty(len(w.starts), dtype=np.uint64)
+    for k in range(0, len(out), _WORDS_AT_ONCE):
+        starts, ends = w.starts[k : k + _WORDS_AT_ONCE], w.ends[k : k + _WORDS_AT_ONCE]
+        low, n = starts[0], int(ends[-1] - starts[0])
+        prefix = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[w.data[low : low + n]] * _first_powers(_BASE, n), out=prefix[1:])
+        h = (prefix[ends - low] - prefix[starts - low]) * _first_powers(_INVERSE, n + 1)[starts - low]
+        out[k : k + len(h)] = mixed(h + (ends - starts).astype(np.uint64))
     return out

@@ -140,7 +140,7 @@ def match_block(w: Windows, terms: np.ndarray, counts: np.ndarray, postings: np.
     """(window, start positions) for the windows that occur in a block."""
     place, known = _members(w.vocabulary, terms)
     starts = np.concatenate([[0], np.cumsum(counts)])
-    often = np.where(known, counts[place] if len(counts) else 0, 0)  # by number in the vocabulary
+    often = np.where(known, counts.astype(np.int64)[place] if len(counts) else 0, 0)  # by number in the vocabulary
     found = []
     per_word = np.where(w.terms >= 0, often[w.terms] if len(often) else 0, np.iinfo(np.int64).max)
     for k in np.flatnonzero(per_word.min(axis=1) > 0) if len(per_word) else ():

@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import components
@@ -53,16 +53,20 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every whole text."""
+def fingerprints(
+    docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = 3, row: Column | None = None
+) -> DataFrame:
+    """(doc_id, fp): the fingerprint of every whole text. `row` is passed through as a column of that name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(x.as_py(), shingle) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(fps, pa.int64())], names=out.names)
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, fp bigint")
+    more = [] if row is None else [row.alias("row")]
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *more)
+    out = rows.drop("text").schema.add("fp", "long")
+    return rows.mapInArrow(run, out)
 
 
 def _bit_groups(sample: np.ndarray, parts: int) -> list[list[int]]:
@@ -170,12 +174,14 @@ def near_pairs(
     return paired.union(stars).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = 3, distance: int = 2) -> DataFrame:
-    """(doc_id, fp, component_id): each document's fingerprint and the smallest id it is linked to."""
-    own = pin(fingerprints(docs, text=text, doc_id=doc_id, shingle=shingle), "fingerprints")
+def near_duplicates(
+    docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = 3, distance: int = 2, row: Column | None = None
+) -> DataFrame:
+    """(doc_id, row if given, fp, component_id): each fingerprint and the smallest id it is linked to."""
+    own = pin(fingerprints(docs, text=text, doc_id=doc_id, shingle=shingle, row=row), "fingerprints")
     classes = pin(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     found = components(near_pairs(classes.select("fp"), distance=distance)).withColumnRenamed("node", "fp")
     rooted = classes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = pin(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "labels")
-    return own.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return own.join(labels, "fp").select(*own.columns, "component_id")

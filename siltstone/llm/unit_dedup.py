@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.packed import Chunk, Words, chunks, mixed, word_hashes, words
+from siltstone.llm.packed import Chunk, Words, chunks, mixed, powers, word_hashes, words
 from siltstone.session import pin
 
 _STOPS = np.zeros(256, dtype=bool)
 _STOPS[[ord(c) for c in ".,;:!?"]] = True
 _LAST = (1 << 63) - 1
-_ODD = 0xD6E8FEB86659FD93
+_ODD = np.uint64(0xD6E8FEB86659FD93)
+_ODD_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
 
 @dataclass
@@ -76,12 +77,7 @@ def evidence(chunk: Chunk, w: Words, unit: str, least: int) -> Evidence:
         keep = (first >= w.rows[row]) & (last - first >= least)
         keep[1:] &= ~(short[1:] & short[:-1] & (row[1:] == row[:-1]))
     first, last, row = first[keep], last[keep], row[keep]
-    power = np.full(n + 1, np.uint64(_ODD))
-    power[0] = 1
-    power = np.cumprod(power)
-    inverse = np.full(n + 1, np.uint64(pow(_ODD, -1, 1 << 64)))
-    inverse[0] = 1
-    inverse = np.cumprod(inverse)
+    power, inverse = powers(_ODD, n + 1), powers(_ODD_INVERSE, n + 1)
     prefix = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(word_hashes(w) * power[:n], out=prefix[1:])
     digest = mixed((prefix[last] - prefix[first]) * inverse[first] + (last - first).astype(np.uint64))
