@@ -164,7 +164,7 @@ def write_archives(pages: DataFrame, root: str, *, least_bytes: int = 0, page_id
     return pin(joined.mapInArrow(run, _CAPTURE), "captures")
 
 
-_FILE = "file string, first_key string, directory bigint, size bigint"
+_FILE = "file string, first_key string, last_key string, directory bigint, size bigint"
 
 
 def write_index(captures: DataFrame, root: str, *, block_lines: int = 3000, file_lines: int = 1_000_000) -> DataFrame:
@@ -197,7 +197,7 @@ def write_index(captures: DataFrame, root: str, *, block_lines: int = 3000, file
             raw = zlib.compress("\n".join(directory).encode())
             stream.write(raw)
             stream.close()
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([first]), pa.array([at]), pa.array([len(raw)])], names=["file", "first_key", "directory", "size"])
+            yield pa.RecordBatch.from_pylist([{"file": name, "first_key": first, "last_key": key, "directory": at, "size": len(raw)}])
 
     dealt = captures.repartitionByRange(files, *order).sortWithinPartitions(*order).select("key", "page_id", "archive", "start", "length")
     return pin(dealt.mapInArrow(run, _FILE), "manifest")
@@ -216,7 +216,8 @@ def lookup(keys: DataFrame, manifest: DataFrame, root: str) -> DataFrame:
 
     The manifest (a row per million captures) is sent to the tasks; directories and blocks are read.
     """
-    files = sorted((r["first_key"], r["file"], r["directory"], r["size"]) for r in manifest.collect())
+    # Of files that begin with the same key only the last can go beyond it, so last keys give their order.
+    files = sorted((r["first_key"], r["last_key"], r["file"], r["directory"], r["size"]) for r in manifest.collect())
     firsts = [f[0] for f in files]
 
     def find_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +227,7 @@ def lookup(keys: DataFrame, manifest: DataFrame, root: str) -> DataFrame:
             out = []
             for (key,) in _records(iter([batch])):
                 for k in _around(firsts, key):
-                    _, file, at, size = files[k]
+                    _, _, file, at, size = files[k]
                     if name != file:
                         with system.open_input_file(f"{folder}/{file}") as source:
                             lines = zlib.decompress(source.read_at(size, at)).decode().split("\n")
