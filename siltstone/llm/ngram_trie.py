@@ -27,6 +27,7 @@ kept. If nothing is trained on, every token has probability 1. Empty tables give
 
 from __future__ import annotations
 
+import gc
 import pickle
 import uuid
 from collections.abc import Callable, Iterator
@@ -43,8 +44,8 @@ from siltstone.llm.elias_fano import EliasFano
 from siltstone.llm.packed import chunks, mixed, word_hashes, words
 from siltstone.session import pin, scratch_path
 
-BLOCK_BYTES = 4 << 20
-SHARD_ENTRIES = 1_500_000
+BLOCK_BYTES = 3 << 20
+SHARD_ENTRIES = 1_000_000
 HOT_SHARE = 1e-3
 START = 0  # number of the context before the first word; words are numbered from 1
 _END = np.uint64(0x5D39E2B1C8A4F067)
@@ -216,11 +217,10 @@ def _ask_words(shards: int) -> Callable[[tuple], Iterator[tuple[int, bytes]]]:
         counts = np.bincount(b.codes[b.train], minlength=len(h))
         order = np.argsort(h)
         h, counts = h[order], counts[order]
-        cuts = np.searchsorted(_by_shard(h, shards), np.arange(shards + 1))
-        for s in range(shards):
-            lo, hi = cuts[s], cuts[s + 1]
-            if lo < hi:
-                yield s, int(hi - lo).to_bytes(4, "little") + h[lo:hi].tobytes() + pack(counts[lo:hi])
+        shard = _by_shard(h, shards)
+        for s in np.unique(shard).tolist():
+            lo, hi = np.searchsorted(shard, [s, s + 1])
+            yield s, int(hi - lo).to_bytes(4, "little") + h[lo:hi].tobytes() + pack(counts[lo:hi])
 
     return build
 
@@ -263,114 +263,95 @@ def _shard_of(context: np.ndarray, word: np.ndarray, hot: np.ndarray, shards: in
     return _by_shard(mixed(np.where(hot, mixed(c) + word.astype(np.uint64), c)), shards)
 
 
-@dataclass
-class Level:
-    """What a block asks on one level: distinct (context, word) pairs in the order of their shards."""
-
-    pair: np.ndarray  # per token: its pair, or -1
-    at: np.ndarray  # per token: its context among the distinct contexts, or -1
-    context: np.ndarray
-    word: np.ndarray
-    context_count: np.ndarray
-    low: np.ndarray
-    times: np.ndarray
-    cuts: np.ndarray
-    alone: np.ndarray  # contexts by shard
-    alone_cuts: np.ndarray
-    contexts: np.ndarray
-
-
-def _level(b: Block, context: np.ndarray, count: np.ndarray, word: np.ndarray, lp: np.ndarray, hot_from: int, shards: int) -> Level:
-    """Pairs of a block: context node (-1: none) with its count, and word number (0: none), per token."""
-    known = context >= 0
-    asked = np.flatnonzero(known & (word > 0))
-    order = asked[np.lexsort((word[asked], context[asked]))]
-    c, w = context[order], word[order]
+def _pair_key(c: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mixed(mixed(c.astype(np.uint64)) + w.astype(np.uint64))
+
+
+def _groups(c: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by (c, w), and where a new pair begins in that order."""
+    width = int(w.max()).bit_length() if len(w) else 0
+    if len(c) and int(c.max()).bit_length() + width < 64:
+        order = np.argsort((c << width) | w)
+    else:
+        order = np.lexsort((w, c))
     new = np.ones(len(order), dtype=bool)
-    new[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
-    group = np.cumsum(new) - 1
-    c, w, some = c[new], w[new], order[new]
-    times = np.bincount(group, weights=b.train[order], minlength=len(c)).astype(np.int64)
-    shard = _shard_of(c, w, count[some] > hot_from, shards)
+    new[1:] = (c[order][1:] != c[order][:-1]) | (w[order][1:] != w[order][:-1])
+    return order, new
+
+
+def _ask_pairs(b: Block, context: np.ndarray, count: np.ndarray, word: np.ndarray, lp: np.ndarray, ask: np.ndarray, hot_from: int, shards: int) -> Iterator[tuple[int, bytes]]:
+    """Distinct (context, word) pairs of the tokens `ask`, and all other contexts, by shard.
+
+    context is a node (-1: none) with its count, word a number (0: none), lp what the levels below say.
+    """
+    asked = np.flatnonzero(ask & (context >= 0) & (word > 0))
+    order, new = _groups(context[asked], word[asked])
+    order = asked[order]
+    first = np.flatnonzero(new)
+    times = np.add.reduceat(b.train[order].astype(np.int64), first) if len(first) else np.zeros(0, dtype=np.int64)
+    some = order[first]
+    c, w, big = context[some], word[some], count[some]
+    low = to_code(10.0 ** lp[some])
+    shard = _shard_of(c, w, big > hot_from, shards)
     by_shard = np.argsort(shard, kind="stable")
-    rank = np.empty(len(by_shard), dtype=np.int64)
-    rank[by_shard] = np.arange(len(by_shard))
-    pair = np.full(len(context), -1, dtype=np.int64)
-    pair[order] = rank[group]
-    own, first, at = np.unique(context[known], return_index=True, return_inverse=True)
-    place = np.full(len(context), -1, dtype=np.int64)
-    place[known] = at
+    c, w, big, low, times, shard = (x[by_shard] for x in (c, w, big, low, times, shard))
+    # Contexts without a pair to ask still need their back-off weight; hot ones have it from elsewhere.
+    own = np.setdiff1d(context[(context >= 0) & (count <= hot_from)], c)
     home = _shard_of(own, own, np.zeros(len(own), dtype=bool), shards)
-    alone = np.argsort(home, kind="stable")
-    some = some[by_shard]
-    return Level(
-        pair, place, c[by_shard], w[by_shard], count[some], to_code(10.0 ** lp[some]), times[by_shard],
-        np.searchsorted(shard[by_shard], np.arange(shards + 1)), alone, np.searchsorted(home[alone], np.arange(shards + 1)), own,
-    )
-
-
-def _ask_pairs(level: Level, shards: int) -> Iterator[tuple[int, bytes]]:
-    for s in range(shards):
-        lo, hi = level.cuts[s], level.cuts[s + 1]
-        own = level.contexts[level.alone[level.alone_cuts[s] : level.alone_cuts[s + 1]]]
-        if lo == hi and not len(own):
-            continue
-        c = level.context[lo:hi]
-        heads = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if hi > lo else np.zeros(0, dtype=np.int64)
-        runs = np.diff(np.append(heads, hi - lo))
-        heads_c = c[heads]
-        gaps = np.diff(heads_c, prepend=0)
-        own_gaps = np.diff(np.sort(own), prepend=0)
-        yield s, pack(gaps, runs, level.context_count[lo:hi][heads], level.word[lo:hi], level.times[lo:hi], level.low[lo:hi], own_gaps)
+    by_home = np.argsort(home, kind="stable")
+    own, home = own[by_home], home[by_home]
+    for s in np.union1d(shard, home).tolist():
+        lo, hi = np.searchsorted(shard, [s, s + 1])
+        part = c[lo:hi]
+        heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if hi > lo else np.zeros(0, dtype=np.int64)
+        more = own[slice(*np.searchsorted(home, [s, s + 1]))]
+        yield s, pack(
+            np.diff(part[heads], prepend=0), np.diff(np.append(heads, hi - lo)), big[lo:hi][heads], w[lo:hi], times[lo:hi], low[lo:hi], np.diff(more, prepend=0)
+        )
 
 
 def _pair_level(root: str, shards: int, hot_from: int, min_count: int, discount: float, gain: float) -> Callable:
     """Merge counts, prune, store the level and answer each block.
 
-    The answer has, for every pair asked: node + 1 (0: not kept), count, code; and the back-off weight + 1 of
-    every context asked (0: none here). The row with block -1 reports the sums of hot contexts.
+    The answer has the kept ones of the pairs asked (context, word, node, count, code), and the back-off
+    weights of the contexts asked (context, weight). The row with block -1 reports the sums of hot contexts.
     """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
-        sent = []
-        for body in table.column("body").to_pylist():
-            gaps, runs, heads, word, times, low, own = unpack(body)
-            sent.append((np.repeat(np.cumsum(gaps), runs), np.repeat(heads, runs), word, times, low, np.cumsum(own)))
-        c, big, w, times, low = (np.concatenate([x[k] for x in sent]) for k in range(5))
-        order = np.lexsort((w, c))
-        c, big, w, times, low = c[order], big[order], w[order], times[order], low[order]
-        new = np.ones(len(c), dtype=bool)
-        new[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
-        group = np.cumsum(new) - 1
-        total = np.bincount(group, weights=times, minlength=int(new.sum())).astype(np.int64)
-        c, big, w, low_p = c[new], np.maximum(big[new], 1), w[new], 10.0 ** from_code(low[new])
-        ratio = total / (big * low_p)
-        kept = (total >= min_count) & (total * np.log(np.maximum(ratio, 1.0)) >= gain)
+        blocks, bodies = table.column("block").to_pylist(), table.column("body")
+        parts: list[list[np.ndarray]] = [[], [], [], [], []]
+        for body in bodies:
+            gaps, runs, heads, word, times, low, _ = unpack(body.as_py())
+            for held, a in zip(parts, (np.repeat(np.cumsum(gaps), runs), np.repeat(heads, runs), word, times, low), strict=True):
+                held.append(a)
+        c, big, w, times, low = (np.concatenate(x) for x in parts)
+        del parts
+        order, new = _groups(c, w)
+        first = np.flatnonzero(new)
+        total = np.add.reduceat(times[order], first) if len(first) else times
+        some = order[first]
+        c, big, w, low_p = c[some], np.maximum(big[some], 1), w[some], 10.0 ** from_code(low[some])
+        kept = np.flatnonzero((total >= min_count) & (total * np.log(np.maximum(total / (big * low_p), 1.0)) >= gain))
         c, big, w, total, low_p = c[kept], big[kept], w[kept], total[kept], low_p[kept]
         p = (total - discount) / big
         heads = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else np.zeros(0, dtype=np.int64)
         contexts, sums = c[heads], np.add.reduceat(p, heads) if len(c) else p
         lows = np.add.reduceat(low_p, heads) if len(c) else p
-        ends = np.append(heads, len(c))[1:]
+        ends = np.append(heads, len(c))
         # Successors relative to the end of the stretch before make one monotone sequence.
-        shift = np.concatenate([[0], np.cumsum(w[ends - 1])[:-1]]) if len(c) else np.zeros(0, dtype=np.int64)
-        monotone = w + np.repeat(shift, np.diff(np.append(heads, len(c))))
-        hot = big[heads] > hot_from if len(c) else np.zeros(0, dtype=bool)
+        shift = np.concatenate([[0], np.cumsum(w[ends[1:] - 1])[:-1]]) if len(c) else np.zeros(0, dtype=np.int64)
+        hot = big[heads] > hot_from
         weight = np.where(hot, 255, to_weight(np.maximum(1 - sums, 1e-6) / np.maximum(1 - lows, 1e-3)))
         name, held, size = _stored(root, {
-            "contexts": EliasFano.encode(contexts), "pointers": EliasFano.encode(np.append(heads, len(c))), "successors": EliasFano.encode(monotone),
+            "contexts": EliasFano.encode(contexts), "pointers": EliasFano.encode(ends), "successors": EliasFano.encode(w + np.repeat(shift, np.diff(ends))),
             "codes": to_code(p).astype(np.uint8), "weights": weight.astype(np.uint8), "counts": total,
         })
         level = Stored(held)
-        report = pickle.dumps((contexts[hot], sums[hot], lows[hot]), protocol=5)
-        out = [(shard, -1, report, 0, len(c), name, size)]
-        for block, (ask_c, _, ask_w, _, _, own) in zip(table.column("block").to_pylist(), sent, strict=True):
-            node = level.find(ask_c, ask_w)
-            hit = node >= 0
-            number = np.where(hit, node * shards + shard + 1, 0)
-            answer = pack(number, np.where(hit, level.counts[node], 0), np.where(hit, level.codes[node], 0), level.weight(own))
-            out.append((shard, block, answer, None, None, None, None))
+        out = [(shard, -1, pickle.dumps((contexts[hot], sums[hot], lows[hot]), protocol=5), 0, len(c), name, size)]
+        for block, body in zip(blocks, bodies, strict=True):
+            gaps, runs, _, word, _, _, more = unpack(body.as_py())
+            out.append((shard, block, level.answer(np.cumsum(gaps), runs, word, np.cumsum(more), shards, shard), None, None, None, None))
         return _reply_table(out)
 
     return run
@@ -392,28 +373,59 @@ class Stored:
         at = np.minimum(self.contexts.successor(c), self.contexts.n - 1)
         return at, self.contexts.access(at) == c.astype(np.uint64)
 
+    def _stretch(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.pointers.access(at).astype(np.int64), self.pointers.access(at + 1).astype(np.int64)
+
+    def successors_of(self, first: np.ndarray, last: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Place of the word in each stretch, -1 if it is not there: a search relative to the stretch."""
+        base = np.where(first > 0, self.successors.access(np.maximum(first - 1, 0)), 0).astype(np.uint64)
+        wanted = base + w.astype(np.uint64)
+        place = self.successors.successor(wanted, first, last)
+        inside = place < last
+        inside[inside] = self.successors.access(place[inside]) == wanted[inside]
+        return np.where(inside, place, -1)
+
     def find(self, c: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """Node of every (context, word), -1 if it is not kept: a search in the context's stretch."""
+        """Node of every (context, word), -1 if it is not kept."""
         at, known = self._context(c)
         out = np.full(len(c), -1, dtype=np.int64)
         ask = np.flatnonzero(known)
         if len(ask):
-            first, last = self.pointers.access(at[ask]).astype(np.int64), self.pointers.access(at[ask] + 1).astype(np.int64)
-            base = np.where(first > 0, self.successors.access(np.maximum(first - 1, 0)), 0)
-            wanted = base + w[ask].astype(np.uint64)
-            place = self.successors.successor(wanted, first, last)
-            inside = place < last
-            inside[inside] = self.successors.access(place[inside]) == wanted[inside]
-            out[ask[inside]] = place[inside]
+            out[ask] = self.successors_of(*self._stretch(at[ask]), w[ask])
         return out
 
-    def weight(self, c: np.ndarray) -> np.ndarray:
-        at, known = self._context(c)
-        return np.where(known & (self.weights[at] < 255), self.weights[at] + 1, 0)
-
-
-def _joined(replies: list[tuple[int, bytes]]) -> list[list[np.ndarray]]:
-    return [unpack(body) for _, body in sorted(replies)]
+    def answer(self, heads: np.ndarray, runs: np.ndarray, w: np.ndarray, more: np.ndarray, shards: int, shard: int) -> bytes:
+        """What is kept of pairs given by context (`heads`, each for a run of words), and back-off weights."""
+        at, known = self._context(heads)
+        ask = np.repeat(known, runs)
+        word = w[ask]
+        if len(word):
+            first, last = (np.repeat(x, runs[known]) for x in self._stretch(at[known]))
+            node = self.successors_of(first, last, word)
+        else:
+            node = np.zeros(0, dtype=np.int64)
+        hit = node >= 0
+        c = np.repeat(heads[known], runs[known])[hit]
+        node = node[hit]
+        other, also = self._context(more)
+        weighed = np.concatenate([at[known], other[also]])
+        own = np.concatenate([heads[known], more[also]])
+        given = self.weights[weighed] < 255
+        return pack(c, word[hit], node * shards + shard, self.counts[node], self.codes[node], own[given], self.weights[weighed][given])
+
+
+def _joined(replies: list[tuple[int, bytes]]) -> list[np.ndarray]:
+    """The answers of all shards, array by array."""
+    parts = [unpack(body) for _, body in sorted(replies)]
+    return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else []
+
+
+def _look_up(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each asked value a place in `keys` (any order), and whether it is there."""
+    order = np.argsort(keys)
+    at = np.minimum(np.searchsorted(keys[order], asked), len(keys) - 1)
+    at = order[at]
+    return at, keys[at] == asked
 
 
 @dataclass
@@ -433,46 +445,45 @@ class Run:
 
 
 def _replayed(run: Run, lengths: bytes, held: bytes, codes: bytes, order: bytes, replies: list) -> tuple:
-    """Token states of a block after the levels answered so far: (block, count of words, lp, context, its count, word)."""
+    """Token states of a block after the levels answered so far.
+
+    (block, counts of words, log10 p, context node, its count, word number, is the longest n-gram kept)
+    """
     b = _block(lengths, held, codes)
-    words_ = _joined(replies[0])
     by_hash = unpack_codes(order)  # codes in order of their hashes
     number, count = np.zeros(len(by_hash), dtype=np.int64), np.zeros(len(by_hash), dtype=np.int64)
-    if words_:
-        number[by_hash], count[by_hash] = np.concatenate([x[0] for x in words_]), np.concatenate([x[1] for x in words_])
+    if answer := _joined(replies[0]):
+        number[by_hash], count[by_hash] = answer
     c, word = count[b.codes], number[b.codes]
-    lp = np.log10((c + 1) / (run.tokens + run.types + 1))
+    lp = np.log10((count + 1) / (run.tokens + run.types + 1))[b.codes]
     context, context_count = np.roll(word, 1), np.roll(c, 1)
-    context = np.where(context > 0, context, -1)
+    context[context == 0] = -1
     context[b.first], context_count[b.first] = START, run.docs
+    hit = word > 0
     for k, answers in enumerate(replies[1:]):
-        level = _level(b, context, context_count, word, lp, run.hot_from, run.pair_shards[k])
-        got = {s: unpack(body) for s, body in answers}
-        n = len(level.word)
-        node, node_count, code = (np.zeros(n, dtype=np.int64) for _ in range(3))
-        weight = np.zeros(len(level.contexts), dtype=np.int64)
-        for s, (a, b_, c_, d) in got.items():
-            lo, hi = level.cuts[s], level.cuts[s + 1]
-            node[lo:hi], node_count[lo:hi], code[lo:hi] = a, b_, c_
-            own = level.alone[level.alone_cuts[s] : level.alone_cuts[s + 1]]
-            weight[own[np.argsort(level.contexts[own], kind="stable")]] = d
-        back = np.where(weight > 0, from_weight(weight - 1), 0.0)
-        if run.hot[k]:
-            hot = np.array(sorted(run.hot[k]), dtype=np.int64)
-            at = np.minimum(np.searchsorted(hot, level.contexts), len(hot) - 1)
-            back = np.where(hot[at] == level.contexts, np.array([run.hot[k][x] for x in hot.tolist()])[at], back)
-        hit = level.pair >= 0
-        hit[hit] = node[level.pair[hit]] > 0
-        lp = lp + np.where(level.at >= 0, back[np.maximum(level.at, 0)] if len(back) else 0.0, 0.0)
-        lp[hit] = from_code(code[level.pair[hit]])
+        hit = np.zeros(len(word), dtype=bool)
+        after, total = np.full(len(word), -1, dtype=np.int64), np.zeros(len(word), dtype=np.int64)
+        back = np.zeros(len(word))
+        hc, hw, node, times, code, own, weight = _joined(answers) or [np.zeros(0, dtype=np.int64)] * 7
+        hot = np.array(sorted(run.hot[k]), dtype=np.int64)
+        own = np.concatenate([own, hot])
+        shift = np.concatenate([from_weight(weight), np.array([run.hot[k][x] for x in hot.tolist()])])
+        asked = np.flatnonzero(context >= 0)
+        if len(own) and len(asked):
+            at, found = _look_up(own, context[asked])
+            back[asked[found]] = shift[at[found]]
+            asked = asked[found]  # only contexts with successors that are kept have a weight
+        lp = lp + back
+        asked = asked[word[asked] > 0]
+        if len(hc) and len(asked):
+            at, found = _look_up(_pair_key(hc, hw), _pair_key(context[asked], word[asked]))
+            found &= (hc[at] == context[asked]) & (hw[at] == word[asked])
+            at, asked = at[found], asked[found]
+            hit[asked], lp[asked], after[asked], total[asked] = True, from_code(code[at]), node[at], times[at]
         # The node of this n-gram is the context of the next word.
-        after = np.full(len(word), -1, dtype=np.int64)
-        after[hit] = node[level.pair[hit]] - 1
-        total = np.zeros(len(word), dtype=np.int64)
-        total[hit] = node_count[level.pair[hit]]
         context, context_count = np.roll(after, 1), np.roll(total, 1)
         context[b.first] = -1
-    return b, c, lp, context, context_count, word
+    return b, c, lp, context, context_count, word, hit
 
 
 def _with_replies(blocks: DataFrame, levels: list[DataFrame]) -> DataFrame:
@@ -516,8 +527,9 @@ def score(
 
         def build(row: tuple, run: Run = fixed, shards: int = shards) -> Iterator[tuple[int, bytes]]:
             _, _, lengths, held, codes, order_, *answers = row
-            b, _, lp, context, count, word = _replayed(run, lengths, held, codes, order_, [_pairs_of(a) for a in answers])
-            yield from _ask_pairs(_level(b, context, count, word, lp, run.hot_from, shards), shards)
+            b, _, lp, context, count, word, hit = _replayed(run, lengths, held, codes, order_, [_pairs_of(a) for a in answers])
+            # As usual in such tries, an n-gram is kept only if the n-gram without its first word is.
+            yield from _ask_pairs(b, context, count, word, lp, hit, run.hot_from, shards)
 
         asked = _requests(_with_replies(blocks, replies), build)
         level = _pair_level(f"{root}/{k}", shards, state.hot_from, min_count, discount, gain)
@@ -531,6 +543,8 @@ def score(
                 held_[1] += low
         state.pair_shards.append(shards)
         state.hot.append({c: float(np.log10(max(1 - p, 1e-6) / max(1 - low, 1e-3))) for c, (p, low) in sums.items()})
+        del asked
+        _release(spark)
         pairs = min(pairs, 4 * sum(r["types"] or 0 for r in reports) + SHARD_ENTRIES)
     final = state
 
@@ -560,5 +574,11 @@ def score(
     return scored, files
 
 
+def _release(spark) -> None:
+    """Let Spark's cleaner drop the shuffle files of levels that are done: it acts when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _pairs_of(answers: list | None) -> list[tuple[int, bytes]]:
     return [(a["shard"], a["body"]) for a in answers or []]

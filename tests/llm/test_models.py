@@ -78,7 +78,7 @@ def brute_score(rows, order=3, min_count=2, discount=0.5, gain=8.0):
                     continue
                 big = train if context == ("<s>",) else counts[1][context]
             else:
-                if context not in kept[n - 1]:
+                if context not in kept[n - 1] or gram[1:] not in kept[n - 1]:
                     continue
                 big = counts[n - 1][context]
             if counts[1][gram[-1:]] < min_count:
