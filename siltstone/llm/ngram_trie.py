@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.elias_fano import EliasFano
 from siltstone.llm.packed import chunks, mixed, word_hashes, words
 from siltstone.session import pin, scratch_path
+from siltstone.sources.storage import remove_folder
 
 BLOCK_BYTES = 3 << 20
 SHARD_ENTRIES = 1_000_000
@@ -52,32 +53,31 @@ _END = np.uint64(0x5D39E2B1C8A4F067)
 _CODEC = pa.Codec("zstd", compression_level=3)
 
 
-def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of whole numbers (not negative) in their smallest types, compressed."""
-    small = [a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0)) for a in arrays]
-    raw = pickle.dumps(small, protocol=5)
-    return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
-
-
-def unpack(body: bytes) -> list[np.ndarray]:
-    size = int.from_bytes(body[:8], "little")
-    return [a.astype(np.int64) for a in pickle.loads(_CODEC.decompress(body[8:], size, asbytes=True))]
+def _planes(a: np.ndarray) -> bytes:
+    """Little-endian bytes by significance: the upper ones of small numbers are all alike and compress."""
+    small = a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
+    return np.ascontiguousarray(small.view(np.uint8).reshape(len(small), small.itemsize).T).tobytes()
 
 
-def pack_codes(codes: np.ndarray) -> bytes:
-    """Token codes by byte planes, which compress better apart."""
-    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    raw = np.ascontiguousarray(planes[: 1 + (int(codes.max()).bit_length() - 1) // 8 if len(codes) and codes.max() else 1]).tobytes()
-    return len(codes).to_bytes(8, "little") + len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers (not negative), compressed."""
+    parts = [_planes(a) for a in arrays]
+    head = np.array([x for a, p in zip(arrays, parts, strict=True) for x in (len(a), len(p))], dtype="<u4")
+    raw = b"".join(parts)
+    return len(arrays).to_bytes(1, "little") + head.tobytes() + _CODEC.compress(raw, asbytes=True)
 
 
-def unpack_codes(body: bytes) -> np.ndarray:
-    n, size = int.from_bytes(body[:8], "little"), int.from_bytes(body[8:16], "little")
-    out = np.zeros((n, 4), dtype=np.uint8)
-    if n:
-        planes = np.frombuffer(_CODEC.decompress(body[16:], size, asbytes=True), dtype=np.uint8).reshape(-1, n)
-        out[:, : len(planes)] = planes.T
-    return out.view("<u4").ravel().astype(np.int64)
+def unpack(body: bytes) -> list[np.ndarray]:
+    head = np.frombuffer(body[1 : 1 + 8 * body[0]], dtype="<u4").reshape(-1, 2).tolist()
+    raw = np.frombuffer(_CODEC.decompress(body[1 + 8 * body[0] :], sum(p for _, p in head), asbytes=True), dtype=np.uint8)
+    out, at = [], 0
+    for n, size in head:
+        a = np.zeros(n, dtype=np.int64)
+        for k, plane in enumerate(raw[at : at + size].reshape(size // n if n else 0, n)):
+            a |= plane.astype(np.int64) << (8 * k)
+        out.append(a)
+        at += size
+    return out
 
 
 def to_code(p: np.ndarray) -> np.ndarray:
@@ -102,40 +102,52 @@ def from_weight(code: np.ndarray) -> np.ndarray:
 # ---- blocks ---------------------------------------------------------------------------------------
 
 
-_BLOCK = "block bigint, doc_ids array<{kind}>, lengths binary, held binary, hashes binary, codes binary, by_hash binary, n_distinct bigint, n_tokens bigint"
+_BLOCK = "block bigint, doc_ids array<{kind}>, lengths binary, held binary, hashes binary, codes binary, by_hash binary, n_distinct bigint, n_tokens bigint, part int"
+
 
+def make_blocks(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
+    """Blocks of (doc_id, text, held): per document its tokens, one end token last.
 
-def make_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of (doc_id, text, held): per document its tokens, one end token last."""
+    Returns the blocks, their words' hashes, and the folder of the hashes, which only level 1 reads.
+    """
+    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            held = np.asarray(batch.column(2).fill_null(False))
+            held = np.asarray(batch.column(2).fill_null(False)).astype(np.int64)
             for chunk in chunks(batch.column(1), BLOCK_BYTES, 1 << 16):
                 w = words(chunk)
                 rows = chunk.last - chunk.first
                 h = np.insert(word_hashes(w), w.rows[1:], _END)
-                lengths = np.diff(w.rows) + 1
                 distinct, codes, counts = np.unique(h, return_inverse=True, return_counts=True)
                 # Codes by falling frequency: small numbers for frequent words.
                 order = np.argsort(-counts, kind="stable")
                 rank = np.empty(len(order), dtype=np.int64)
                 rank[order] = np.arange(len(order))
+                out_held = held[chunk.first : chunk.last]
+                lengths = np.diff(w.rows) + 1
+                times = np.bincount(codes[np.repeat(out_held == 0, lengths)], minlength=len(distinct))
+                ids = pa.concat_arrays([batch.column(0).slice(chunk.first, rows), pa.nulls(0, batch.column(0).type)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([block], pa.int64()),
-                        pa.ListArray.from_arrays(pa.array([0, rows], pa.int32()), batch.column(0).slice(chunk.first, rows)),
-                        pa.array([pack(lengths)], pa.binary()), pa.array([pack(held[chunk.first : chunk.last].astype(np.int64))], pa.binary()),
-                        pa.array([distinct[order].tobytes()], pa.binary()), pa.array([pack_codes(rank[codes])], pa.binary()), pa.array([pack_codes(rank)], pa.binary()),
-                        pa.array([len(order)], pa.int64()), pa.array([len(h)], pa.int64()),
+                        pa.array([block, block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, rows, rows], pa.int32()), ids),
+                        *(pa.array(x, pa.binary()) for x in (
+                            [pack(lengths), None], [pack(out_held), None], [None, distinct.tobytes()], [pack(rank[codes]), pack(times)], [pack(rank), None],
+                        )),
+                        pa.array([len(order), None], pa.int64()), pa.array([len(h), None], pa.int64()), pa.array([0, 1], pa.int32()),
                     ],
-                    names=["block", "doc_ids", "lengths", "held", "hashes", "codes", "by_hash", "n_distinct", "n_tokens"],
+                    names=["block", "doc_ids", "lengths", "held", "hashes", "codes", "by_hash", "n_distinct", "n_tokens", "part"],
                 )
                 block += 1
 
-    return pin(docs.select("doc_id", "text", "held").mapInArrow(run, _BLOCK.format(kind=kind)), "blocks")
+    schema = _BLOCK.format(kind=kind)
+    path = scratch_path(spark, "blocks")
+    docs.select("doc_id", "text", "held").mapInArrow(run, schema).write.partitionBy("part").parquet(path)
+    every = spark.read.schema(schema).parquet(path)
+    hashes = every.filter("part = 1").select("block", "hashes", F.col("codes").alias("times"))
+    return every.filter("part = 0").drop("part", "hashes"), hashes, f"{path}/part=1"
 
 
 @dataclass
@@ -151,7 +163,7 @@ def _block(lengths: bytes, held: bytes, codes: bytes) -> Block:
     kept, = unpack(held)
     first = np.zeros(int(size.sum()), dtype=bool)
     first[np.cumsum(size) - size] = True
-    return Block(unpack_codes(codes), size, np.repeat(kept == 0, size), first)
+    return Block(unpack(codes)[0], size, np.repeat(kept == 0, size), first)
 
 
 # ---- messages -------------------------------------------------------------------------------------
@@ -211,12 +223,8 @@ def _by_shard(h: np.ndarray, shards: int) -> np.ndarray:
 
 def _ask_words(shards: int) -> Callable[[tuple], Iterator[tuple[int, bytes]]]:
     def build(row: tuple) -> Iterator[tuple[int, bytes]]:
-        _, lengths, held, hashes, codes = row
-        b = _block(lengths, held, codes)
-        h = np.frombuffer(hashes, dtype=np.uint64)
-        counts = np.bincount(b.codes[b.train], minlength=len(h))
-        order = np.argsort(h)
-        h, counts = h[order], counts[order]
+        _, hashes, times = row
+        h, counts = np.frombuffer(hashes, dtype=np.uint64), unpack(times)[0]
         shard = _by_shard(h, shards)
         for s in np.unique(shard).tolist():
             lo, hi = np.searchsorted(shard, [s, s + 1])
@@ -246,9 +254,9 @@ def _word_level(root: str, shards: int, min_count: int) -> Callable:
         for block, (own, _) in zip(table.column("block").to_pylist(), sent, strict=True):
             at = np.minimum(known.successor(own), max(0, known.n - 1))
             found = known.access(at) == own if known.n else np.zeros(len(own), dtype=bool)
-            number = np.where(found, at * shards + shard + 1, 0)
             total = np.where(found, kept_counts[at] if known.n else 0, counts[np.searchsorted(h, own)])
-            out.append((shard, block, pack(number, total), None, None, None, None))
+            # Places rise with the hashes, so that their steps are small.
+            out.append((shard, block, pack(found, np.diff(at[found], prepend=0), total), None, None, None, None))
         return _reply_table(out)
 
     return run
@@ -351,7 +359,7 @@ def _pair_level(root: str, shards: int, hot_from: int, min_count: int, discount:
         out = [(shard, -1, pickle.dumps((contexts[hot], sums[hot], lows[hot]), protocol=5), 0, len(c), name, size)]
         for block, body in zip(blocks, bodies, strict=True):
             gaps, runs, _, word, _, _, more = unpack(body.as_py())
-            out.append((shard, block, level.answer(np.cumsum(gaps), runs, word, np.cumsum(more), shards, shard), None, None, None, None))
+            out.append((shard, block, level.answer(np.cumsum(gaps), runs, word, np.cumsum(more)), None, None, None, None))
         return _reply_table(out)
 
     return run
@@ -394,7 +402,7 @@ class Stored:
             out[ask] = self.successors_of(*self._stretch(at[ask]), w[ask])
         return out
 
-    def answer(self, heads: np.ndarray, runs: np.ndarray, w: np.ndarray, more: np.ndarray, shards: int, shard: int) -> bytes:
+    def answer(self, heads: np.ndarray, runs: np.ndarray, w: np.ndarray, more: np.ndarray) -> bytes:
         """What is kept of pairs given by context (`heads`, each for a run of words), and back-off weights."""
         at, known = self._context(heads)
         ask = np.repeat(known, runs)
@@ -411,13 +419,34 @@ class Stored:
         weighed = np.concatenate([at[known], other[also]])
         own = np.concatenate([heads[known], more[also]])
         given = self.weights[weighed] < 255
-        return pack(c, word[hit], node * shards + shard, self.counts[node], self.codes[node], own[given], self.weights[weighed][given])
+        own, weight = own[given], self.weights[weighed][given]
+        order = np.argsort(own)
+        # Contexts and nodes rise, so that their steps are small.
+        return pack(
+            np.diff(c, prepend=0), word[hit], np.diff(node, prepend=0), self.counts[node], self.codes[node], np.diff(own[order], prepend=0), weight[order]
+        )
+
+
+def _words_of(replies: list[tuple[int, bytes]], shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers (0: none) and counts of a block's words in the order of their hashes."""
+    numbers, counts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for shard, body in sorted(replies):
+        found, steps, total = unpack(body)
+        number = np.zeros(len(found), dtype=np.int64)
+        number[found > 0] = np.cumsum(steps) * shards + shard + 1
+        numbers.append(number)
+        counts.append(total)
+    return np.concatenate(numbers), np.concatenate(counts)
 
 
-def _joined(replies: list[tuple[int, bytes]]) -> list[np.ndarray]:
-    """The answers of all shards, array by array."""
-    parts = [unpack(body) for _, body in sorted(replies)]
-    return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else []
+def _kept_of(replies: list[tuple[int, bytes]], shards: int) -> list[np.ndarray]:
+    """Context, word, node, count and code of what is kept; contexts with a weight, and the weights."""
+    parts = [[np.zeros(0, dtype=np.int64)] for _ in range(7)]
+    for shard, body in replies:
+        c, w, node, count, code, own, weight = unpack(body)
+        for held, a in zip(parts, (np.cumsum(c), w, np.cumsum(node) * shards + shard, count, code, np.cumsum(own), weight), strict=True):
+            held.append(a)
+    return [np.concatenate(x) for x in parts]
 
 
 def _look_up(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -450,10 +479,9 @@ def _replayed(run: Run, lengths: bytes, held: bytes, codes: bytes, order: bytes,
     (block, counts of words, log10 p, context node, its count, word number, is the longest n-gram kept)
     """
     b = _block(lengths, held, codes)
-    by_hash = unpack_codes(order)  # codes in order of their hashes
+    by_hash = unpack(order)[0]  # codes in order of their hashes
     number, count = np.zeros(len(by_hash), dtype=np.int64), np.zeros(len(by_hash), dtype=np.int64)
-    if answer := _joined(replies[0]):
-        number[by_hash], count[by_hash] = answer
+    number[by_hash], count[by_hash] = _words_of(replies[0], run.word_shards)
     c, word = count[b.codes], number[b.codes]
     lp = np.log10((count + 1) / (run.tokens + run.types + 1))[b.codes]
     context, context_count = np.roll(word, 1), np.roll(c, 1)
@@ -464,7 +492,7 @@ def _replayed(run: Run, lengths: bytes, held: bytes, codes: bytes, order: bytes,
         hit = np.zeros(len(word), dtype=bool)
         after, total = np.full(len(word), -1, dtype=np.int64), np.zeros(len(word), dtype=np.int64)
         back = np.zeros(len(word))
-        hc, hw, node, times, code, own, weight = _joined(answers) or [np.zeros(0, dtype=np.int64)] * 7
+        hc, hw, node, times, code, own, weight = _kept_of(answers, run.pair_shards[k])
         hot = np.array(sorted(run.hot[k]), dtype=np.int64)
         own = np.concatenate([own, hot])
         shift = np.concatenate([from_weight(weight), np.array([run.hot[k][x] for x in hot.tolist()])])
@@ -511,11 +539,14 @@ def score(
     root = root or scratch_path(spark, "trie")
     kind = docs.schema[doc_id].dataType.simpleString()
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(held_out), F.lit(False)).alias("held"))
-    blocks = make_blocks(named)
+    blocks, hashes, hashes_path = make_blocks(named)
     distinct, tokens = blocks.agg(F.sum("n_distinct"), F.sum("n_tokens")).first()
     word_shards = 1 + int(distinct or 0) // SHARD_ENTRIES
-    asked = _requests(blocks.select("block", "lengths", "held", "hashes", "codes"), _ask_words(word_shards))
+    asked = _requests(hashes, _ask_words(word_shards))
     replies = [pin(asked.groupBy("shard").applyInArrow(_word_level(f"{root}/1", word_shards, min_count), _REPLY), "words")]
+    del asked, hashes
+    _release(spark)
+    remove_folder(spark, hashes_path)
     trained = replies[0].filter("block < 0").agg(F.sum("tokens"), F.sum("types")).first()
     train_docs = named.filter(~F.col("held")).count()
     state = Run(int(trained[0] or 0), int(trained[1] or 0), train_docs, word_shards, [], [])
