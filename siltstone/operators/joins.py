@@ -1,8 +1,10 @@
 """Keyed joins that hold when the lookup side grows or one key dominates.
 
-`keyed_join` counts the lookup side. Within `BROADCAST_ROWS` it is broadcast. Beyond that both sides
-are shuffled on the key, and the few keys that hold a large share of the left rows are spread over
-several tasks, with the matching lookup rows repeated for each of them.
+Joins are left to the adaptive optimizer: it broadcasts a side whose measured bytes are below
+`spark.sql.autoBroadcastJoinThreshold`, and otherwise shuffles both sides and splits partitions of the
+left side that are too large (`spark.sql.adaptive.skewJoin`, for inner, left, semi and anti joins alike),
+repeating the matching lookup rows for each piece. Nothing is counted while a plan is built, and the
+number of pieces follows from the size of the partition.
 """
 
 from __future__ import annotations
@@ -11,40 +13,17 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.session import pin
+from siltstone.session import pin_sized
 
-# Lookup sides are narrow (keys and a few attributes): this many rows is some tens of megabytes.
-BROADCAST_ROWS = 200_000
-# A key with more than this share of the left rows is split. At most 1/share keys can qualify.
-HOT_SHARE = 0.01
-# Number of tasks one hot key is spread over.
-HOT_SPLITS = 64
+# A batch of changes is sent to every executor if its files have at most this many bytes.
+BATCH_BYTES = 16 << 20
 
 Residual = Callable[[str, str], Column]
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list[tuple]:
-    """Keys, NULL included, that hold more than `share` of the rows: at most 1/share of them."""
-    seen = Observation()
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    counted = counts.observe(seen, F.sum("_n").alias("rows"))
-    top = counted.orderBy(F.desc("_n")).limit(int(1 / share)).collect()
-    rows = seen.get["rows"] or 0
-    return [tuple(row[c] for c in on) for row in top if row["_n"] > share * rows]
-
-
-def _is_hot(on: Sequence[str], hot: Sequence[tuple]) -> Column:
-    """Literal membership test, NULL-safe; `hot` is bounded by `hot_keys`."""
-    tests = [
-        reduce(and_, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(on, values, strict=True)])
-        for values in hot
-    ]
-    return reduce(lambda a, b: a | b, tests)
-
-
 def _matched(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str, residual: Residual | None
 ) -> DataFrame:
@@ -59,67 +38,37 @@ def _matched(
     return joined.select("l.*", *extra)
 
 
-def split_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str,
-    hot: Sequence[tuple],
-    residual: Residual | None = None,
-    splits: int = HOT_SPLITS,
-) -> DataFrame:
-    """Shuffle join in which the rows of the `hot` keys are spread over `splits` tasks."""
-    # The split number mixes row content with the input partition: identical copies of one row
-    # still spread, and a retried task repeats its choice.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(splits)).cast("int")
-    none = F.lit(0)
-    salted = left.withColumn("_split", F.when(_is_hot(on, hot), spread).otherwise(none))
-    copies = F.when(_is_hot(on, hot), F.sequence(none, F.lit(splits - 1))).otherwise(F.array(none))
-    repeated = right.withColumn("_split", F.explode(copies))
-    return _matched(salted, repeated, [*on, "_split"], how, residual).drop("_split")
-
-
 def keyed_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
     residual: Residual | None = None,
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join a large left side to a lookup on `on` (inner, left, left_semi or left_anti).
 
-    Join keys come first in the result, as with a join by names, unless a residual is given.
+    Join keys come first in the result, as with a join by names, unless a residual is given. Any column
+    type may stand beside the keys.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how!r} is not supported")
-    if is_small(right, broadcast_rows):
-        return _matched(left, F.broadcast(right), on, how, residual)
-    hot = hot_keys(left, on)
-    if hot:
-        return split_join(left, right, on, how, hot, residual)
     return _matched(left, right, on, how, residual)
 
 
-def is_small(df: DataFrame, rows: int | None = None) -> bool:
-    """Counted, not estimated: few enough rows to be sent to every executor."""
-    return df.count() <= (BROADCAST_ROWS if rows is None else rows)
-
-
 def pair_rows(
     target: DataFrame, source: DataFrame, key: Sequence[str], all_targets: bool = True
 ) -> DataFrame:
     """Match a large target with a batch of changes, both unique per key.
 
     The result holds both rows as structs `d` (target) and `s` (source), one of them NULL without a
-    partner; without `all_targets`, target rows that no change refers to are left out. A small batch
-    is broadcast, so that the target is read in place and not shuffled. A larger one takes an outer
-    join on the key.
+    partner; without `all_targets`, target rows that no change refers to are left out. A batch of at most
+    `BATCH_BYTES` is broadcast, so that the target is read in place and not shuffled. A larger one takes
+    an outer join on the key. Either way gives the same rows.
     """
-    source = pin(source, "batch")  # read up to four times below, computed once
+    source, size = pin_sized(source, "batch")  # read up to four times below, computed once
     t = target.select(*key, F.struct(*target.columns).alias("d"))
     s = source.select(*key, F.struct(*source.columns).alias("s"))
-    if not is_small(source):
+    if size > BATCH_BYTES:
         how = "full_outer" if all_targets else "right_outer"
         return t.join(s, list(key), how).select("d", "s")
     keys = F.broadcast(source.select(*key))
@@ -135,13 +84,23 @@ def attach_keys(
 ) -> DataFrame:
     """Resolve surrogate keys: `{key column: (dimension, natural key columns)}`.
 
-    Rows without a partner are dropped (inner join); the caller reports how many.
+    Rows without a partner are dropped (inner join); `unmatched` lists them with the key they lack.
     """
     for key, (dim, on) in dims.items():
         fact = keyed_join(fact, dim.select(key, *on), on)
     return fact
 
 
+def unmatched(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """The rows that `attach_keys` drops, with `missing_key`: the first surrogate key not found."""
+    marked, tests = fact, []
+    for key, (dim, on) in dims.items():
+        marked = mark_known(marked, dim, on, f"_has_{key}")
+        tests.append(F.when(~F.col(f"_has_{key}"), key))
+    missing = F.coalesce(*tests)
+    return marked.select(*fact.columns, missing.alias("missing_key")).filter("missing_key is not null")
+
+
 def star_join(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Join a fact to its dimensions by surrogate key."""
     for key, dim in dims.items():

@@ -1,4 +1,4 @@
-"""Ordering, top-k, unions and generated rows."""
+"""Ordering, top-k, unions and calendars."""
 
 from __future__ import annotations
 
@@ -37,8 +37,3 @@ def calendar_of(df: DataFrame, column: str, name: str = "cal_date") -> DataFrame
     """Every day between the first and last date found in the data."""
     span = df.agg(F.to_date(F.min(column)).alias("lo"), F.to_date(F.max(column)).alias("hi"))
     return span.select(F.explode(F.sequence("lo", "hi")).alias(name))
-
-
-def generate(spark: SparkSession, n: int, columns: Mapping[str, Column]) -> DataFrame:
-    """`n` rows computed from the sequence number `id` (0-based), spread over the cluster."""
-    return spark.range(n).select(*[c.alias(name) for name, c in columns.items()])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,23 +166,13 @@ def dim_menu_item(sales: DataFrame) -> DataFrame:
     return dense_key(item_history(sales), ["item_id", "valid_from"], "menu_item_key")
 
 
-# Fixed reference rows: store and region.
-STORE_ROWS = (
-    ("ST01", "Campus"),
-    ("ST02", "Campus"),
-    ("ST03", "Fairfax"),
-    ("ST04", "Arlington"),
-    ("ST05", "DC"),
-)
+def seed_dim(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Reference dimension: the rows given, numbered in the order of their natural key."""
+    return dense_key(rows, [key], name)
 
 
-def seed_dim(spark: SparkSession, rows: tuple[tuple, ...], schema: str) -> DataFrame:
-    """Reference dimension from literal rows."""
-    return spark.createDataFrame(list(rows), schema)
-
-
-def dim_store(spark: SparkSession) -> DataFrame:
-    return dense_key(seed_dim(spark, STORE_ROWS, "store_id string, region string"), ["store_id"], "store_key")
+def dim_store(stores: DataFrame) -> DataFrame:
+    return seed_dim(stores, "store_id", "store_key")
 
 
 def dim_date(sales: DataFrame) -> DataFrame:

@@ -69,7 +69,8 @@ def try_cast_suite(spark, d):
 
 @query(
     "normalise_keys",
-    """select store_id, item_id, count(*) as row_count from daily_norm group by all""",
+    """select upper(trim(store_id)) as store_id, upper(trim(item_id)) as item_id, count(*) as row_count
+       from daily_sales_raw group by all""",
 )
 def normalise_keys(spark, d):
     rows = C.normalise(shapes.daily_sales_raw(spark, d), ["store_id", "item_id"])
@@ -154,8 +155,8 @@ def derived_amounts(spark, d):
     """select o_orderkey, case o_orderstatus when 'O' then 'open' when 'F' then 'filled'
               else 'other' end as status_name,
               case when o_totalprice >= 200000 then 'large' else 'small' end as size_class,
-              case cast(o_orderkey % 3 as int) when 0 then 'web' when 1 then 'mobile'
-              else 'store' end as channel
+              case year(o_orderdate) % 4 when 0 then 'leap' when 2 then 'even'
+              else 'odd' end as year_kind
        from orders""",
 )
 def case_mapping(spark, d):
@@ -163,7 +164,7 @@ def case_mapping(spark, d):
         "o_orderkey",
         C.map_case("o_orderstatus", {"O": "open", "F": "filled"}, "other").alias("status_name"),
         F.when(F.col("o_totalprice") >= 200000, "large").otherwise("small").alias("size_class"),
-        C.map_case(F.col("o_orderkey") % 3, {0: "web", 1: "mobile"}, "store").alias("channel"),
+        C.map_case(F.year("o_orderdate") % 4, {0: "leap", 2: "even"}, "odd").alias("year_kind"),
     )
 
 

@@ -39,7 +39,7 @@ def fact(spark: SparkSession, d: str, day: str | None = None) -> tuple[DataFrame
     """(daily fact, item dimension)."""
     sales = pin(silver_sales(spark, d), "silver-daily")
     items = daily.dim_menu_item(sales)
-    stores = daily.dim_store(spark)
+    stores = daily.dim_store(shapes.daily_stores(spark, d))
     return daily.fact_daily_sales(sales, silver_inventory(spark, d), stores, items, day), items
 
 
@@ -189,7 +189,7 @@ def backfill_range(spark, d):
     return daily.backfill(
         raw_sales(spark, d),
         shapes.daily_inventory_raw(spark, d),
-        daily.dim_store(spark),
+        daily.dim_store(shapes.daily_stores(spark, d)),
         shapes.DAILY_ORDER,
         "1996-01-01",
         "2000-12-31",
@@ -208,10 +208,9 @@ def backfill_range(spark, d):
 def seed_dim(spark, d):
     keyed = attach_keys(
         silver_sales(spark, d).groupBy("store_id").agg(F.count(F.lit(1)).alias("row_count")),
-        {"store_key": (daily.dim_store(spark), ["store_id"])},
+        {"store_key": (daily.dim_store(shapes.daily_stores(spark, d)), ["store_id"])},
     )
-    regions = daily.seed_dim(spark, daily.STORE_ROWS, "store_id string, region string")
-    return keyed.join(F.broadcast(regions), "store_id")
+    return keyed.join(shapes.daily_stores(spark, d), "store_id")
 
 
 _LOG_DAY = "2000-03-01"

@@ -146,12 +146,12 @@ def evolve(spark, d):
 @query(
     "ingest_rescued",
     """select event_id, user_id, event_type,
-              case when device = 'web' then '{"device":"web","coupon":"' || sku || '"}' end
+              case when device = 'client 2' then '{"device":"client 2","coupon":"' || sku || '"}' end
               as _rescued_data from clicks_raw""",
 )
 def ingest_rescued(spark, d):
     base = scratch_path(spark, "ingest")
-    web = F.col("device") == "web"
+    web = F.col("device") == "client 2"
     shapes.clicks_raw(spark, d).select(
         "event_id",
         "user_id",

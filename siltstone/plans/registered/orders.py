@@ -303,30 +303,3 @@ def bootstrap_then_incremental(spark, d):
     )
     facts = warehouse.read_orders(spark, base).drop("order_month", "order_date", "_updated_at")
     return facts.join(versions, "customer_sk", "left")
-
-
-@query(
-    "row_generator",
-    """select 'O' || lpad(cast(id + 1 as varchar), cast(greatest(8, length(cast(id + 1 as varchar)))
-              as int), '0') as order_id,
-              timestamp '2026-03-01' + to_minutes(id) as order_ts,
-              case when id % 10 = 0 then 'returned' else 'delivered' end as status,
-              20 + id % 380 as order_total
-       from range((select count(*) from orders)) r(id)""",
-)
-def row_generator(spark, d):
-    from siltstone.functions.columns import shift
-    from siltstone.operators.sets import generate
-
-    number = F.col("id")
-    start = F.lit("2026-03-01 00:00:00").cast("timestamp_ntz")
-    return generate(
-        spark,
-        shapes.table(spark, d, "orders").count(),
-        {
-            "order_id": pad_id("O", number + 1, 8),
-            "order_ts": shift(start, number.cast("int"), "minutes"),
-            "status": F.when(number % 10 == 0, "returned").otherwise("delivered"),
-            "order_total": 20 + number % 380,
-        },
-    )

@@ -78,10 +78,11 @@ def silver_products(raw: DataFrame) -> DataFrame:
         "name",
         "category",
         "brand",
-        F.col("list_price").cast("decimal(10,2)").alias("list_price"),
+        tolerant("list_price", T.DecimalType(10, 2)).alias("list_price"),
         "updated_at",
     )
-    return latest(typed, ["sku"], ["updated_at", "name", "brand", "list_price"])
+    changed = F.col("updated_at").try_cast("timestamp_ntz").desc_nulls_last()
+    return latest(typed, ["sku"], [changed, "name", "brand", "category", "list_price", "updated_at"])
 
 
 def silver_clicks(raw: DataFrame) -> DataFrame:
@@ -96,7 +97,7 @@ def silver_clicks(raw: DataFrame) -> DataFrame:
         "device",
         "_ingest_ts",
     )
-    order = ["_ingest_ts", "event_ts", "user_id", "event_type", "device"]
+    order = ["_ingest_ts", "event_ts", "user_id", "event_type", "device", "session_id", "sku"]
     return latest(typed, ["event_id"], order)
 
 

@@ -9,6 +9,7 @@ Identifiers are padded to a minimum width and never cut.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,10 +56,9 @@ def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                 when l_orderkey % 509 = 0 then 'n/a'
                 else cast(cast(l_quantity as int) as string) end as qty""",
         f"{_cents(price)} as unit_price",
-        "element_at(array('card', 'cash', 'mobile'), cast(l_orderkey % 3 as int) + 1) as payment_type",
-        f"""case when year(l_shipdate) >= 1999 then
-                 case when l_orderkey % 5 < 3 then concat('L', {_pad('l_orderkey % 99999 + 1', 6)})
-                      else '' end end as loyalty_id""",
+        "concat(l_returnflag, '-', l_linestatus) as payment_type",
+        """case when year(l_shipdate) >= 1999 then
+                case when l_returnflag = 'R' then '' else concat('supplier-', l_suppkey) end end as loyalty_id""",
         "l_shipdate as _ingest_ts",
         "l_partkey as _part",
         "l_suppkey as _supp",
@@ -66,15 +66,22 @@ def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as a product feed. One part in 19 comes twice, first with an older name; one in 43 has an
+    unreadable price; some change times are unreadable too."""
     return table(spark, sf_dir, "part").selectExpr(
+        "*", "explode(case when p_partkey % 19 = 4 then array(0, 1) else array(0) end) as older"
+    ).selectExpr(
         f"concat('sku', {_pad('p_partkey', 5)}) as sku",
-        "p_name as name",
+        "case when older = 1 then concat('former ', p_name) else p_name end as name",
         "p_type as category",
         "p_brand as brand",
         "cast(round(p_retailprice * 100) as bigint) as _cents",
-        "cast(timestamp_ntz'1995-01-01 00:00:00' + make_dt_interval(p_size) as string) as updated_at",
+        "p_partkey % 43 = 11 as _bad_price",
+        "case when p_partkey % 71 = 9 then 'soon' else "
+        "cast(timestamp_ntz'1995-01-01 00:00:00' + make_dt_interval(p_size, -older) as string) end as updated_at",
     ).selectExpr(
-        "sku", "name", "category", "brand", f"{_cents('_cents')} as list_price", "updated_at"
+        "sku", "name", "category", "brand",
+        f"case when _bad_price then 'ask' else {_cents('_cents')} end as list_price", "updated_at",
     )
 
 
@@ -92,7 +99,7 @@ def clicks_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "else event_type end as event_type",
         f"concat('sku', {_pad('event_id % 200', 5)}) as sku",
         "cast(date_trunc('second', ts) as timestamp_ntz) as event_time",
-        "element_at(array('ios', 'android', 'web'), cast((event_id + copy) % 3 as int) + 1) as device",
+        "concat('client ', (event_id + copy) % 4) as device",
         "ts + make_dt_interval(0, 0, copy) as _ingest_ts",
     ).selectExpr(
         "event_id", "user_id", "session_id", "event_type", "sku",
@@ -124,14 +131,14 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"concat('C', {_pad('c_custkey + 1', 6)}) as customer_id",
             "c_name as full_name",
             f"case when c_custkey % 17 = 0 and not ({changed}) then null "
-            "else concat('customer', c_custkey, '@example.com') end as email",
-            f"concat('703-555-', {_pad('c_custkey % 10000', 4)}) as phone",
+            "else concat(lower(c_mktsegment), '.', c_custkey, '@mail.test') end as email",
+            f"concat('+', c_nationkey + 10, ' ', {_pad('c_custkey', 7)}) as phone",
             f"""case when stale = 1 then 'STALE'
                      when {changed} then concat('CITY_', (c_nationkey + 1) % 25)
                      else concat('CITY_', c_nationkey) end as city""",
             f"case when {state_only} then 'ZZ' else concat('ST', c_nationkey % 5) end as state",
             "case when c_custkey % 31 = 0 then 'unknown' "
-            "else cast(date_add(date'2024-01-01', cast(c_custkey % 700 as int)) as string) end"
+            "else cast(date_add(date'1994-06-01', cast(abs(c_acctbal) as int) % 1000) as string) end"
             " as signup_date",
             "cast(timestamp_ntz'2026-05-01 12:00:00' + make_dt_interval(batch, -stale) as string)"
             " as updated_at",
@@ -157,42 +164,45 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"else concat('C', {_pad('o_custkey + 1', 6)}) end as customer_id",
             "cast(o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int)) as string)"
             " as order_ts",
-            f"case when {resent} then 'returned' else o_orderstatus end as status",
-            "element_at(array('web', 'mobile', 'store'), cast(o_orderkey % 3 as int) + 1) as channel",
+            f"case when {resent} then 'again' else o_orderstatus end as status",
+            "o_orderpriority as channel",
             """case when o_orderkey % 101 = 0 then '2.5' when o_orderkey % 103 = 0 then 'n/a'
-                    else cast(o_orderkey % 8 + 1 as string) end as items""",
+                    else cast(cast(o_totalprice as bigint) div 20000 + 1 as string) end as items""",
             f"{_cents(total)} as order_total",
             "batch",
         )
     )
 
 
-def _menu_cents() -> str:
-    """Menu price in cents on the ship date, with two price rises."""
-    item = "(l_partkey % 60 + 1)"
-    base = f"(250 + {item} * 10)"
-    first = f"case when {item} % 4 = 0 and l_shipdate >= '1998-01-01' then {base} * 106 div 100 else {base} end"
-    return f"case when {item} % 6 = 0 and l_shipdate >= '2000-01-01' then ({first}) * 104 div 100 else {first} end"
+# Items of the daily feeds are parts folded to this many, stores suppliers folded to this many.
+DAILY_ITEMS, DAILY_STORES = 75, 10
+
+
+def _item_cents() -> str:
+    """Price of a folded part in cents; one item in seven rises by 25 cents with every year."""
+    item = f"(l_partkey % {DAILY_ITEMS})"
+    rise = f"case when {item} % 7 = 2 then 25 * (year(l_shipdate) - 1994) else 0 end"
+    return f"(199 + {item} * 37 % 900 + {rise})"
 
 
 def daily_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily store sales as landed, with blank, nameless, oddly spelled and unreadable values."""
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "cast(cast(l_shipdate as date) as string) as business_date",
-        """case when l_orderkey % 223 = 0 then ' '
-                when l_orderkey % 3 = 0 then concat(' st0', l_suppkey % 5 + 1, ' ')
-                else concat('ST0', l_suppkey % 5 + 1) end as store_id""",
+        "case when l_orderkey % 229 = 0 then 'yesterday' else cast(cast(l_shipdate as date) as string) end"
+        " as business_date",
+        f"""case when l_orderkey % 223 = 0 then ' '
+                 when l_orderkey % 3 = 0 then concat(' st', l_suppkey % {DAILY_STORES}, ' ')
+                 else concat('ST', l_suppkey % {DAILY_STORES}) end as store_id""",
         f"""case when l_orderkey % 211 = 0 then ''
-                 when l_orderkey % 307 = 0 then concat('M9', l_orderkey % 7)
-                 when l_orderkey % 5 = 0 then concat('m', {_pad('l_partkey % 60 + 1', 3)})
-                 else concat('M', {_pad('l_partkey % 60 + 1', 3)}) end as item_id""",
+                 when l_orderkey % 307 = 0 then concat('UNLISTED', l_orderkey % 7)
+                 when l_orderkey % 5 = 0 then concat('part', l_partkey % {DAILY_ITEMS})
+                 else concat('PART', l_partkey % {DAILY_ITEMS}) end as item_id""",
         f"case when l_orderkey % 307 = 0 then '' "
-        f"else concat('Menu Item ', {_pad('l_partkey % 60 + 1', 3)}) end as item_name",
-        "element_at(array('Entree', 'Side', 'Appetizer', 'Drink', 'Dessert'), "
-        "cast(l_partkey % 5 as int) + 1) as category",
-        f"case when l_orderkey % 401 = 0 then 'bad' else {_cents(_menu_cents())} end as unit_price",
+        f"else concat('part number ', l_partkey % {DAILY_ITEMS}) end as item_name",
+        "concat('shelf ', l_partkey % 5) as category",
+        f"case when l_orderkey % 401 = 0 then 'bad' else {_cents(_item_cents())} end as unit_price",
         "cast(cast(l_quantity as int) as string) as qty_sold",
-        f"{_cents(f'({_menu_cents()}) * cast(l_quantity as bigint)')} as gross_sales",
+        f"{_cents(f'{_item_cents()} * cast(l_quantity as bigint)')} as gross_sales",
         "cast(l_linenumber as string) as txn_count",
         "l_shipdate + make_dt_interval(0, 0, l_linenumber) as _loaded_at",
         "l_orderkey as _order",
@@ -203,20 +213,19 @@ def daily_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_inventory_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stock movements on the sales grid; some items are never counted."""
+    """Stock counts on the sales grid; some items are never counted."""
     return (
         table(spark, sf_dir, "lineitem")
-        .filter("l_partkey % 60 % 7 <> 3")
+        .filter(f"l_partkey % {DAILY_ITEMS} % 7 <> 3")
         .selectExpr(
-            "cast(cast(l_shipdate as date) as string) as business_date",
-            "concat('ST0', l_suppkey % 5 + 1) as store_id",
-            f"concat('M', {_pad('l_partkey % 60 + 1', 3)}) as item_id",
-            "cast(l_orderkey % 180 + 20 as string) as begin_qty",
-            "cast(l_partkey % 3 * 50 as string) as received_qty",
+            "case when l_orderkey % 233 = 0 then '' else cast(cast(l_shipdate as date) as string) end as business_date",
+            f"concat('ST', l_suppkey % {DAILY_STORES}) as store_id",
+            f"concat('PART', l_partkey % {DAILY_ITEMS}) as item_id",
+            "cast(l_orderkey % 90 + 35 as string) as begin_qty",
+            "cast(l_linenumber * 12 as string) as received_qty",
             "cast(cast(l_quantity as int) as string) as sold_qty",
-            "cast(cast(l_quantity as int) % 5 as string) as waste_qty",
-            "cast(l_orderkey % 180 + 20 + l_partkey % 3 * 50 - cast(l_quantity as int)"
-            " - cast(l_quantity as int) % 5 as string) as end_qty",
+            "cast(cast(round(l_discount * 100) as int) as string) as waste_qty",
+            "cast(l_orderkey % 61 + l_linenumber as string) as end_qty",
             "l_shipdate + make_dt_interval(0, 0, l_linenumber) as _loaded_at",
             "l_orderkey as _order",
             "l_partkey as _part",
@@ -226,6 +235,17 @@ def daily_inventory_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stores of the daily feeds: the first suppliers, with the region of their nation."""
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    suppliers = table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") < DAILY_STORES)
+    return suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.concat(F.lit("ST"), F.col("s_suppkey")).alias("store_id"), F.col("r_name").alias("region")
+    )
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two answers per part: price as truth, a wordy prediction that is off by up to six percent,
     and some failed requests."""

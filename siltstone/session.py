@@ -60,7 +60,16 @@ def pin(df: DataFrame, label: str = "pinned") -> DataFrame:
     when executors are lost. Later readers fetch only the columns they need, and the optimizer knows
     the table's size.
     """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pin_sized(df: DataFrame, label: str = "pinned") -> tuple[DataFrame, int]:
+    """`pin`, and the bytes that the table takes in the shared folder."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return spark.read.schema(df.schema).parquet(path), files.getContentSummary(location).getLength()

@@ -19,25 +19,65 @@ def lookup(spark):
     return spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w")).cache()
 
 
-def test_hot_keys_are_found_with_null(skewed):
-    assert set(joins.hot_keys(skewed, ["k"], 0.1)) == {(1,), (None,)}
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_split_join_equals_plain_join(skewed, lookup, how):
-    got = joins.keyed_join(skewed, lookup, ["k"], how, broadcast_rows=0)
-    assert "_split" in plan(got)
-    assert rows(got) == rows(skewed.join(lookup, "k", how))
-
-
-def test_small_lookup_is_broadcast(skewed, lookup):
-    assert "BroadcastHashJoin" in plan(joins.keyed_join(skewed, lookup, ["k"]))
-
-
-def test_identical_copies_spread_over_tasks(skewed, lookup):
-    splits = F.pmod(F.xxhash64(F.spark_partition_id(), "k", "v"), F.lit(joins.HOT_SPLITS))
-    copies = skewed.filter("k = 1 and v = 0").select(splits.alias("s")).distinct().count()
-    assert copies > 1
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_keyed_join_equals_plain_join(spark, skewed, lookup, how, threshold):
+    """By shuffle and by broadcast, with a map column beside the key."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        left = skewed.withColumn("m", F.create_map(F.lit("v"), "v"))
+        got = joins.keyed_join(left, lookup, ["k"], how)
+        want = skewed.join(lookup, "k", how)
+        assert rows(got.drop("m")) == rows(want)
+        assert ("BroadcastHashJoin" in plan(got)) == (threshold == "10m")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_job_runs_while_a_join_is_planned(spark, skewed, lookup):
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        joined = joins.star_join(joins.keyed_join(skewed, lookup, ["k"]).withColumnRenamed("w", "j"), {"k": lookup})
+        joins.mark_known(joined, lookup, ["k"], "known")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+
+
+def test_half_of_the_rows_under_one_key_are_split(spark, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        half = spark.range(0, 200_000, 1, 16).select(
+            F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 997).alias("k"), F.md5(F.col("id").cast("string")).alias("v")
+        )
+        other = spark.range(0, 997, 1, 2).select(F.col("id").cast("int").alias("k"), (F.col("id") * 3).alias("w"))
+        half = half.withColumn("k", F.col("k").cast("int"))
+        joined = joins.keyed_join(half, other, ["k"]).withColumn("task", F.spark_partition_id())
+        sizes = sorted(r["count"] for r in joined.groupBy("task").count().collect())
+        assert sum(sizes) == 200_000
+        assert sizes[-1] < 40_000 and "skew=true" in plan(joined) or len(sizes) > 8
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_unmatched_rows_name_the_key_they_lack(spark):
+    fact = spark.createDataFrame([("a", "x"), ("b", "x"), ("a", None), (None, "y")], "p string, s string")
+    dims = {
+        "p_key": (spark.createDataFrame([(1, "a")], "p_key int, p string"), ["p"]),
+        "s_key": (spark.createDataFrame([(1, "x"), (2, "y")], "s_key int, s string"), ["s"]),
+    }
+    assert rows(joins.attach_keys(fact, dims), "p", "s") == [("a", "x")]
+    assert rows(joins.unmatched(fact, dims), "p", "s", "missing_key") == sorted(
+        [("b", "x", "p_key"), ("a", None, "s_key"), (None, "y", "p_key")], key=repr
+    )
 
 
 def test_unsupported_join_type(skewed, lookup):
@@ -56,9 +96,7 @@ def versions(spark):
     )
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_asof_closed_days(spark, versions, limit, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+def test_asof_closed_days(spark, versions):
     facts = spark.createDataFrame(
         [("a", day(d)) for d in ("2025-12-31", "2026-01-01", "2026-01-10", "2026-01-11", "2026-05-05")]
         + [("b", day("2026-01-01"))],

@@ -43,10 +43,10 @@ def delta(spark):
     )
 
 
-@pytest.fixture(params=[0, 1000], ids=["outer_join", "broadcast_batch"])
+@pytest.fixture(params=[0, 1 << 20], ids=["outer_join", "broadcast_batch"])
 def batch_limit(request, monkeypatch):
     """Both ways of pairing a batch with its target."""
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", request.param)
+    monkeypatch.setattr(joins, "BATCH_BYTES", request.param)
     return request.param
 
 
