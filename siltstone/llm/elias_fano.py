@@ -18,7 +18,9 @@ class EliasFano:
     def __init__(self, buffer: np.ndarray):
         head = buffer[:24].view(_U)
         self.n, self.low_bits, size = int(head[0]), int(head[1]), int(head[2])
-        self._low = buffer[24 : 24 + size]
+        low = np.ascontiguousarray(buffer[24 : 24 + size])
+        # Eight bytes from any byte on, as one number.
+        self._window = np.ndarray(shape=(size - 7,), dtype="<u8", buffer=low, strides=(1,))
         ones = np.flatnonzero(np.unpackbits(buffer[24 + size :], bitorder="little"))[: self.n]
         self._high = (ones - np.arange(self.n)).astype(_U)
         self.nbytes = len(buffer)
@@ -51,8 +53,7 @@ class EliasFano:
         if self.low_bits == 0:
             return self._high[i]
         at = i * self.low_bits
-        window = self._low[(at >> 3)[:, None] + np.arange(8)].copy().view(_U).ravel()
-        low = (window >> (at & 7).astype(_U)) & ((_U(1) << _U(self.low_bits)) - _U(1))
+        low = (self._window[at >> 3] >> (at & 7).astype(_U)) & ((_U(1) << _U(self.low_bits)) - _U(1))
         return (self._high[i] << _U(self.low_bits)) | low
 
     def successor(self, x: np.ndarray, first: np.ndarray | int = 0, last: np.ndarray | int | None = None) -> np.ndarray:

@@ -45,8 +45,8 @@ from siltstone.llm.packed import chunks, mixed, word_hashes, words
 from siltstone.session import pin, scratch_path
 from siltstone.sources.storage import remove_folder
 
-BLOCK_BYTES = 3 << 20
-SHARD_ENTRIES = 1_000_000
+BLOCK_BYTES = 4 << 20
+SHARD_ENTRIES = 1_300_000
 HOT_SHARE = 1e-3
 START = 0  # number of the context before the first word; words are numbered from 1
 _END = np.uint64(0x5D39E2B1C8A4F067)
@@ -355,7 +355,7 @@ def _pair_level(root: str, shards: int, hot_from: int, min_count: int, discount:
             "contexts": EliasFano.encode(contexts), "pointers": EliasFano.encode(ends), "successors": EliasFano.encode(w + np.repeat(shift, np.diff(ends))),
             "codes": to_code(p).astype(np.uint8), "weights": weight.astype(np.uint8), "counts": total,
         })
-        level = Stored(held)
+        level = Stored(held, _sieve(c, w))
         out = [(shard, -1, pickle.dumps((contexts[hot], sums[hot], lows[hot]), protocol=5), 0, len(c), name, size)]
         for block, body in zip(blocks, bodies, strict=True):
             gaps, runs, _, word, _, _, more = unpack(body.as_py())
@@ -365,10 +365,23 @@ def _pair_level(root: str, shards: int, hot_from: int, min_count: int, discount:
     return run
 
 
+def _place(c: np.ndarray, w: np.ndarray, sieve: np.ndarray) -> np.ndarray:
+    mixed_up = c.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + w.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (mixed_up >> np.uint64(65 - len(sieve).bit_length())).astype(np.int64)
+
+
+def _sieve(c: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """A bit for every pair by its hash, about one in sixteen set: pairs that miss it are not there."""
+    sieve = np.zeros(1 << max(10, (16 * len(c)).bit_length()), dtype=bool)
+    sieve[_place(c, w, sieve)] = True
+    return sieve
+
+
 class Stored:
     """One shard of a level above the first, over memory-mapped arrays."""
 
-    def __init__(self, held: dict[str, np.ndarray]):
+    def __init__(self, held: dict[str, np.ndarray], sieve: np.ndarray | None = None):
+        self._sieve = sieve
         self.contexts, self.pointers, self.successors = (EliasFano(held[k]) for k in ("contexts", "pointers", "successors"))
         pad = np.zeros(1, dtype=np.int64)
         self.codes = np.append(held["codes"], np.uint8(0)).astype(np.int64)
@@ -406,15 +419,17 @@ class Stored:
         """What is kept of pairs given by context (`heads`, each for a run of words), and back-off weights."""
         at, known = self._context(heads)
         ask = np.repeat(known, runs)
-        word = w[ask]
+        if self._sieve is not None:  # most pairs that are not kept need no search
+            ask &= self._sieve[_place(np.repeat(heads, runs), w, self._sieve)]
+        head, word = np.repeat(np.arange(len(heads)), runs)[ask], w[ask]
         if len(word):
-            first, last = (np.repeat(x, runs[known]) for x in self._stretch(at[known]))
-            node = self.successors_of(first, last, word)
+            first, last = self._stretch(at[known])
+            rank = np.cumsum(known) - 1
+            node = self.successors_of(first[rank[head]], last[rank[head]], word)
         else:
             node = np.zeros(0, dtype=np.int64)
         hit = node >= 0
-        c = np.repeat(heads[known], runs[known])[hit]
-        node = node[hit]
+        c, word, node = heads[head[hit]], word[hit], node[hit]
         other, also = self._context(more)
         weighed = np.concatenate([at[known], other[also]])
         own = np.concatenate([heads[known], more[also]])
@@ -423,7 +438,7 @@ class Stored:
         order = np.argsort(own)
         # Contexts and nodes rise, so that their steps are small.
         return pack(
-            np.diff(c, prepend=0), word[hit], np.diff(node, prepend=0), self.counts[node], self.codes[node], np.diff(own[order], prepend=0), weight[order]
+            np.diff(c, prepend=0), word, np.diff(node, prepend=0), self.counts[node], self.codes[node], np.diff(own[order], prepend=0), weight[order]
         )
 
 
@@ -496,13 +511,26 @@ def _replayed(run: Run, lengths: bytes, held: bytes, codes: bytes, order: bytes,
         hot = np.array(sorted(run.hot[k]), dtype=np.int64)
         own = np.concatenate([own, hot])
         shift = np.concatenate([from_weight(weight), np.array([run.hot[k][x] for x in hot.tolist()])])
-        asked = np.flatnonzero(context >= 0)
-        if len(own) and len(asked):
-            at, found = _look_up(own, context[asked])
-            back[asked[found]] = shift[at[found]]
-            asked = asked[found]  # only contexts with successors that are kept have a weight
+        successor = np.isin(number, hw)[b.codes]
+        if k == 0:  # contexts are words: look up each distinct one once
+            weights, known = np.zeros(len(number) + 1), np.zeros(len(number) + 1, dtype=bool)
+            values = np.append(number, START)
+            values[:-1][number == 0] = -1
+            if len(own):
+                at, found = _look_up(own, values)
+                weights[found], known[found] = shift[at[found]], True
+            before = np.roll(b.codes, 1)
+            before[b.first] = len(number)
+            back = weights[before]
+            asked = np.flatnonzero(known[before] & successor)
+        else:
+            asked = np.flatnonzero(context >= 0)
+            if len(own) and len(asked):
+                at, found = _look_up(own, context[asked])
+                back[asked[found]] = shift[at[found]]
+                asked = asked[found]  # only contexts with successors that are kept have a weight
+            asked = asked[successor[asked]]
         lp = lp + back
-        asked = asked[word[asked] > 0]
         if len(hc) and len(asked):
             at, found = _look_up(_pair_key(hc, hw), _pair_key(context[asked], word[asked]))
             found &= (hc[at] == context[asked]) & (hw[at] == word[asked])
@@ -545,10 +573,10 @@ def score(
     asked = _requests(hashes, _ask_words(word_shards))
     replies = [pin(asked.groupBy("shard").applyInArrow(_word_level(f"{root}/1", word_shards, min_count), _REPLY), "words")]
     del asked, hashes
-    _release(spark)
     remove_folder(spark, hashes_path)
     trained = replies[0].filter("block < 0").agg(F.sum("tokens"), F.sum("types")).first()
     train_docs = named.filter(~F.col("held")).count()
+    _release(spark)
     state = Run(int(trained[0] or 0), int(trained[1] or 0), train_docs, word_shards, [], [])
 
     pairs = int(tokens or 0)
