@@ -85,7 +85,7 @@ def brute_score(rows, order=3, min_count=2, discount=0.5, gain=8.0):
                 continue
             code = int(ngram_trie.to_code(np.array([10.0 ** low(gram[1:])]))[0])
             p = 10.0 ** (code / -20)
-            if c >= min_count and c * math.log(max(c / (big * p), 1.0)) >= gain:
+            if c >= min_count and c * math.log(max(c / (big * p), 1.0)) - max(c - big * p, 0) >= gain:
                 level[gram] = int(ngram_trie.to_code(np.array([(c - discount) / big]))[0])
                 sums[context] += (c - discount) / big
                 lows[context] += p
