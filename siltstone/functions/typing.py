@@ -19,6 +19,8 @@ def tolerant(column: str | Column, data_type: T.DataType) -> Column:
     not lost. The plain parse comes first since it is the cheap and usual case.
     """
     col = F.col(column) if isinstance(column, str) else column
+    if isinstance(data_type, T.StringType):
+        return col.cast("string")  # text stays as it is
     text = F.trim(col.cast("string"))
     if isinstance(data_type, (T.IntegerType, T.LongType)):
         rounded = text.try_cast("decimal(38,0)").try_cast(data_type)

@@ -134,13 +134,18 @@ def scd2_from_log(
     batch: str,
     interval: Interval = "half_open",
     order: Sequence[str | Column] | None = None,
+    run_ts: Column | None = None,
 ) -> DataFrame:
     """The whole version history from a change log in one pass, whatever order it arrived in.
 
+    A missing change instant is replaced by `run_ts`, as in `scd2_apply`.
+
     First the latest row per key and batch is kept; after that a key has at most one row per batch,
     which bounds the groups of the two neighbour lookups by the number of batches, not by the data.
     """
-    per_batch = latest(log, [*key, batch], order or [ts])
+    per_batch = latest(log, [*key, batch], order or [ts])  # a readable instant wins over a missing one
+    if run_ts is not None:
+        per_batch = per_batch.withColumn(ts, F.coalesce(F.col(ts), run_ts))
     in_time = Window.partitionBy(*key).orderBy(ts, batch)
     state = F.struct(
         *[(F.col(t) if isinstance(t, str) else t).alias(f"t{i}") for i, t in enumerate(tracked)]

@@ -39,7 +39,7 @@ def with_business_date(raw: DataFrame) -> DataFrame:
 
 
 def normal_grain(raw: DataFrame) -> DataFrame:
-    """Typed date, normalised store and item; rows without a readable date are left out."""
+    """Typed date, normalised store and item; rows without a readable date are in `rejected_sales`."""
     keyed = with_business_date(raw).withColumns(
         {"store_id": normal_key("store_id"), "item_id": normal_key("item_id")}
     )
@@ -65,8 +65,13 @@ def silver_sales(raw: DataFrame, order: tuple[str | Column, ...]) -> DataFrame:
 
 def rejected_sales(raw: DataFrame) -> DataFrame:
     """Rows that cannot reach silver, with the reason."""
-    reason = F.when(is_blank("item_id"), "NULL_ITEM").when(is_blank("store_id"), "NULL_STORE")
-    return normal_grain(raw).withColumn("reject_reason", reason).filter("reject_reason IS NOT NULL")
+    dated = tolerant("business_date", T.DateType())
+    reason = (
+        F.when(dated.isNull(), "BAD_DATE")
+        .when(is_blank("item_id"), "NULL_ITEM")
+        .when(is_blank("store_id"), "NULL_STORE")
+    )
+    return raw.withColumn("reject_reason", reason).filter("reject_reason IS NOT NULL")
 
 
 def silver_inventory(raw: DataFrame, order: tuple[str | Column, ...]) -> DataFrame:
@@ -189,7 +194,7 @@ def fact_daily_sales(
 ) -> DataFrame:
     """Sales with the item version valid that day and the waste of the same store and item.
 
-    Rows of unknown stores or items are dropped. `day` restricts the load to one business date and
+    Rows of unknown stores or items are dropped; `joins.unmatched` lists them. `day` restricts the load to one business date and
     reaches the scans.
     """
     if day is not None:

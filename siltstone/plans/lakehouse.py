@@ -13,45 +13,52 @@ from siltstone.operators.quality import DataQualityError
 from siltstone.plans import retail
 from siltstone.session import pin
 from siltstone.sources import tables
+from siltstone.sources.evolve import RESCUED
 from siltstone.sources.files import INGEST_TS, SOURCE_FILE
-from siltstone.streaming.ingest import ingest, ingest_evolving_csv
+from siltstone.streaming.ingest import ingest_evolving_csv, ingest_rescued
 
 NULL_SKU_LIMIT = 0.02
-CLICK_SCHEMA = ", ".join(
-    f"{c} string"
-    for c in ("event_id", "user_id", "session_id", "event_type", "sku", "event_ts", "device")
-)
-PRODUCT_SCHEMA = ", ".join(
-    f"{c} string" for c in ("sku", "name", "category", "brand", "list_price", "updated_at")
-)
+CLICK_COLUMNS = ["event_id", "user_id", "session_id", "event_type", "sku", "event_ts", "device"]
+PRODUCT_COLUMNS = ["sku", "name", "category", "brand", "list_price", "updated_at"]
 # Rows of one load carry one load time; the source file and the content decide between copies.
 SALES_ORDER = (INGEST_TS, SOURCE_FILE, "txn_ts", "sku", "qty", "unit_price", "payment_type", "loyalty_id")
 
 
 def bronze(spark: SparkSession, landing: str, base: str) -> None:
-    """Ingest new files of the three feeds. A rerun adds only what arrived since."""
+    """Ingest new files of the three feeds. A rerun adds only what arrived since.
+
+    New sales columns are added; new fields of clicks and products, and lines that cannot be read, are kept
+    in `_rescued_data` (see `rescued`).
+    """
     ingest_evolving_csv(spark, f"{landing}/pos", f"{base}/bronze/pos", f"{base}/chk/pos")
-    ingest(
-        spark, f"{landing}/clicks", "json", f"{base}/bronze/clicks", f"{base}/chk/clicks", CLICK_SCHEMA
-    )
-    ingest(
-        spark,
-        f"{landing}/products",
-        "json",
-        f"{base}/bronze/products",
-        f"{base}/chk/products",
-        PRODUCT_SCHEMA,
-        {"multiLine": "true"},
+    ingest_rescued(spark, f"{landing}/clicks", f"{base}/bronze/clicks", f"{base}/chk/clicks", CLICK_COLUMNS)
+    ingest_rescued(
+        spark, f"{landing}/products", f"{base}/bronze/products", f"{base}/chk/products", PRODUCT_COLUMNS, array=True
     )
 
 
+def rescued(spark: SparkSession, base: str) -> DataFrame:
+    """(feed, unreadable, row_count): bronze rows that carry something no column holds."""
+    parts = []
+    for feed, key in (("clicks", "event_id"), ("products", "sku")):
+        rows = spark.read.parquet(f"{base}/bronze/{feed}").filter(F.col(RESCUED).isNotNull())
+        parts.append(rows.select(F.lit(feed).alias("feed"), F.col(key).isNull().alias("unreadable")))
+    return parts[0].union(parts[1]).groupBy("feed", "unreadable").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _read_rows(spark: SparkSession, base: str, feed: str, key: str) -> DataFrame:
+    """Bronze rows without those that are nothing but unreadable text."""
+    rows = spark.read.parquet(f"{base}/bronze/{feed}")
+    return rows.filter(F.col(key).isNotNull() | F.col(RESCUED).isNull())
+
+
 def silver(spark: SparkSession, base: str) -> dict[str, int]:
     """Typed, deduplicated and checked tables; returns the row counts of the sales load.
 
     Clean and rejected sales are written in one pass, as two partitions of one table. The null-SKU
     gate is measured by that same pass and the table is published only if it holds.
     """
-    products = retail.silver_products(spark.read.parquet(f"{base}/bronze/products"))
+    products = retail.silver_products(_read_rows(spark, base, "products", "sku"))
     tables.write_overwrite(products, f"{base}/silver/products")
 
     raw = spark.read.option("mergeSchema", True).parquet(f"{base}/bronze/pos")
@@ -75,7 +82,7 @@ def silver(spark: SparkSession, base: str) -> dict[str, int]:
         raise DataQualityError(f"null SKU in {counts['null_sku']} of {counts['rows']} sales lines")
     tables.publish(spark, path)
 
-    clicks = retail.silver_clicks(spark.read.parquet(f"{base}/bronze/clicks"))
+    clicks = retail.silver_clicks(_read_rows(spark, base, "clicks", "event_id"))
     tables.write_overwrite(clicks, f"{base}/silver/clicks")
     return counts
 

@@ -12,13 +12,17 @@ from siltstone.operators.aggregates import rollup_by
 from siltstone.operators.dedupe import change_set
 from siltstone.operators.joins import lookup_current
 from siltstone.operators.keys import dense_key
-from siltstone.operators.merge import open_versions, scd2_apply, upsert
+from siltstone.operators.merge import late_changes, open_versions, scd2_apply, upsert
 from siltstone.operators.sets import ordered
 
 # Fixed values of the order model.
 TRACKED = ("city", "email", "phone", "full_name")
 UPDATED_ON_MATCH = ("status", "order_total")
 CUSTOMER_KEY = "customer_sk"
+ORDER_FACT = (
+    "order_id string, customer_sk bigint, order_ts timestamp_ntz, order_date date, status string, channel string, "
+    "items decimal(38,0), order_total decimal(12,2), _updated_at timestamp_ntz"
+)
 
 
 def typed_customers(raw: DataFrame) -> DataFrame:
@@ -73,6 +77,11 @@ def merge_customers(dim: DataFrame, batch: DataFrame, run_ts: Column | None = No
     )
 
 
+def late_customers(dim: DataFrame, batch: DataFrame) -> DataFrame:
+    """Changes of a batch that are older than the customer's current version, which are not applied."""
+    return late_changes(dim, customer_changes(batch), ["customer_id"], TRACKED, "updated_at")
+
+
 def order_facts(batch: DataFrame, dim: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """Order rows with the customer version that is current now; NULL for an unknown customer."""
     orders = lookup_current(order_changes(batch), dim, ["customer_id"], [CUSTOMER_KEY])

@@ -129,39 +129,33 @@ def asof(spark, d):
     )
 
 
-# The first price rise takes effect on this day.
-_MERGE_DAY = "1998-01-01"
-
-
 @query(
     "scd2_daily",
-    f"""with days as (select * from items_of_day where business_date < date '{_MERGE_DAY}'),
-        versions as (
-          select *, lead(business_date) over (partition by item_id order by business_date) as nxt
-          from (select *, lag(business_date) over w as pd, lag(unit_price) over w as pu,
-                       lag(category) over w as pc, lag(item_name) over w as pn
-                from days window w as (partition by item_id order by business_date))
-          where pd is null or pu <> unit_price or pc <> category or pn <> item_name),
-        today as (select * from items_of_day where business_date = date '{_MERGE_DAY}'),
-        moved as (select t.* from today t join versions v on v.item_id = t.item_id and v.nxt is null
-                  where t.unit_price <> v.unit_price or t.category <> v.category
-                     or t.item_name <> v.item_name)
-        select item_id, item_name, category, unit_price, business_date as valid_from,
-               case when nxt is not null then cast(nxt - interval 1 day as date)
-                    when item_id in (select item_id from moved)
-                    then date '{_MERGE_DAY}' - 1 end as valid_to,
-               nxt is null and item_id not in (select item_id from moved) as is_current
-        from versions
-        union all
-        select item_id, item_name, category, unit_price, business_date, null, true from today
-        where item_id in (select item_id from moved)
-           or item_id not in (select item_id from versions)""",
+    "select item_id, item_name, category, unit_price, valid_from, valid_to, is_current from item_hist",
 )
 def scd2_daily(spark, d):
+    """All days but the last from the log, the last one merged on top."""
     rows = pin(silver_sales(spark, d), "silver-daily")
-    at = F.lit(_MERGE_DAY).cast("date")
-    before = daily.item_history(rows.filter(F.col("business_date") < at))
-    return daily.merge_items(before, rows.filter(F.col("business_date") == at))
+    last = F.lit(rows.agg(F.max("business_date")).first()[0]).cast("date")
+    before = daily.item_history(rows.filter(F.col("business_date") < last))
+    return daily.merge_items(before, rows.filter(F.col("business_date") == last))
+
+
+@query(
+    "rejected_daily",
+    """select reject_reason, count(*) as row_count from (
+         select case when try_cast(business_date as date) is null then 'BAD_DATE'
+                     when trim(item_id) = '' then 'NULL_ITEM' when trim(store_id) = '' then 'NULL_STORE' end
+                as reject_reason from daily_sales_raw)
+       where reject_reason is not null group by 1
+       union all select 'ACCEPTED', count(*) from daily_norm where item_id <> '' and store_id <> ''""",
+)
+def rejected_daily(spark, d):
+    """Every landed row is accepted or set aside with a reason."""
+    raw = raw_sales(spark, d)
+    kept = daily.normal_grain(raw).filter(~is_blank("item_id") & ~is_blank("store_id"))
+    counted = kept.select(F.lit("ACCEPTED").alias("reject_reason")).unionByName(daily.rejected_sales(raw).select("reject_reason"))
+    return counted.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query("fact_daily_sales", "select * from fact_daily")

@@ -24,7 +24,7 @@ _CLICK_SCHEMA = ", ".join(f"{c} string" for c in shapes.CLICK_COLUMNS)
 
 def land_csv(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> str:
     """Write text columns as they are: no trimming."""
-    writer = df.write.mode("append").option("header", True)
+    writer = df.write.mode("append").options(**files.CSV_QUOTES).option("header", True)
     for side in ("Leading", "Trailing"):
         writer = writer.option(f"ignore{side}WhiteSpace", False)
     (writer.partitionBy(*by) if by else writer).csv(path)
@@ -208,15 +208,15 @@ def copy_pattern(spark, d):
 @query(
     "csv_null_tokens",
     """select store_id, txn_id, line_id, nullif(sku, '') as sku,
-              case when payment_type <> 'cash' then payment_type end as payment_type,
+              case when payment_type <> 'A-F' then payment_type end as payment_type,
               nullif(loyalty_id, '') as loyalty_id from pos_raw""",
 )
 def csv_null_tokens(spark, d):
     raw = shapes.pos_raw(spark, d)
     columns = ["store_id", "txn_id", "line_id", "sku", "payment_type", "loyalty_id"]
-    cash = F.when(F.col("payment_type") == "cash", "NULL").otherwise(F.col("payment_type"))
+    returned = F.when(F.col("payment_type") == "A-F", "NULL").otherwise(F.col("payment_type"))
     path = land_csv(
-        raw.withColumn("payment_type", cash).select(*columns), scratch_path(spark, "landing")
+        raw.withColumn("payment_type", returned).select(*columns), scratch_path(spark, "landing")
     )
     return files.csv_dialect(files.read_raw_csv(spark, path, columns))
 
@@ -254,6 +254,58 @@ def load_range(spark, d):
     return rows.groupBy("business_day").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query("csv_quoted", """select cast(doc_id as varchar) as doc_id, '"' || text || '", it said' as quote from documents""")
+def csv_quoted(spark, d):
+    """Whole texts with quotes, commas and line breaks, written with doubled quotes and read back."""
+    texts = shapes.table(spark, d, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"), F.concat(F.lit('"'), "text", F.lit('", it said')).alias("quote")
+    )
+    path = land_csv(texts, scratch_path(spark, "landing"))
+    return files.read_raw_csv(spark, path, ["doc_id", "quote"], multiline=True)
+
+
+@query(
+    "ingest_malformed",
+    """select event_id % 23 = 5 as unreadable, count(*) as row_count,
+              count(*) filter (where event_id % 23 <> 5) as with_id,
+              count(distinct case when event_id % 23 = 5 then event_id end) as kept_lines
+       from events group by 1""",
+)
+def ingest_malformed(spark, d):
+    """Every 23rd line breaks off; its text is kept."""
+    base = scratch_path(spark, "ingest")
+    events = shapes.table(spark, d, "events")
+    whole = F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), "event_type"))
+    broken = F.concat(F.lit('{"event_id":"'), F.col("event_id").cast("string"), F.lit('","event_ty'))
+    events.select(F.when(F.col("event_id") % 23 == 5, broken).otherwise(whole).alias("value")).write.text(f"{base}/landing")
+    bronze = streams.ingest_rescued(
+        spark, f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint", ["event_id", "event_type"]
+    )
+    return bronze.groupBy(F.col("_rescued_data").isNotNull().alias("unreadable")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("event_id").alias("with_id"), F.countDistinct("_rescued_data").alias("kept_lines")
+    )
+
+
+@query(
+    "ingest_evolving_json",
+    """select sku, name, case when regexp_extract(sku, '(\\d+)', 1)::bigint % 2 = 0
+                              then '{"brand":"' || brand || '"}' end as _rescued_data
+       from products_raw""".replace("\\\\d", "\\d"),
+)
+def ingest_evolving_json(spark, d):
+    """Arrays of products in which some carry a field that is not declared."""
+    base = scratch_path(spark, "ingest")
+    number = F.regexp_extract("sku", r"(\d+)", 1).cast("bigint")
+    brand = F.when(number % 2 == 0, F.col("brand"))
+    products = shapes.products_raw(spark, d).withColumns({"file": F.floor(number / 500), "brand": brand})
+    arrays = products.groupBy("file").agg(F.to_json(F.collect_list(F.struct("sku", "name", "brand"))).alias("value"))
+    arrays.write.partitionBy("file").text(f"{base}/landing")
+    bronze = streams.ingest_rescued(
+        spark, f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint", ["sku", "name"], array=True
+    )
+    return bronze.select("sku", "name", "_rescued_data")
+
+
 # ---- table writes ----
 
 
@@ -288,14 +340,13 @@ _MONTH = "cast(strftime(o_orderdate, '%Y%m') as int)"
     "write_partitioned",
     f"""select {_MONTH} as month_key, count(*) as orders,
                cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(18,2)) as total
-        from orders where {_MONTH} between 199601 and 199912 group by 1""",
+        from orders group by 1""",
 )
 def write_partitioned(spark, d):
     path = tables.write_partitioned(
         _monthly_orders(spark, d), scratch_path(spark, "table"), ["month_key"]
     )
-    rows = spark.read.parquet(path).filter(F.col("month_key").between(199601, 199912))
-    return rows.groupBy("month_key").agg(
+    return spark.read.parquet(path).groupBy("month_key").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("total").cast("decimal(18,2)").alias("total")
     )
 
@@ -318,6 +369,19 @@ def replace_by_date(spark, d):
     return spark.read.parquet(path).select("o_orderkey", "month_key", "total")
 
 
+@query(
+    "replace_by_empty",
+    f"select o_orderkey, {_MONTH} as month_key from orders where {_MONTH} <> 199801",
+)
+def replace_by_empty(spark, d):
+    """January 1998 is replaced by an empty frame that was never read from anywhere."""
+    path = scratch_path(spark, "table")
+    orders = _monthly_orders(spark, d)
+    tables.write_partitioned(orders, path, ["month_key"])
+    tables.replace_by_key(spark.createDataFrame([], orders.schema), path, "month_key", [199801])
+    return spark.read.parquet(path).select("o_orderkey", "month_key")
+
+
 @query(
     "append_select",
     """select o_orderkey, o_orderstatus, 'first' as load_name from orders where o_orderstatus = 'F'

@@ -10,7 +10,6 @@ from siltstone.plans.registry import query
 from siltstone.session import scratch_path
 
 _ORDERS = "select o_orderkey, o_custkey, o_orderdate, o_orderstatus from orders"
-_FILES = 8
 
 
 def _orders(spark, d):
@@ -27,18 +26,18 @@ def _written(spark, df, label):
 
 @query("cluster_by", _ORDERS)
 def clustered(spark, d):
-    path = _written(spark, cluster_by(_orders(spark, d), ["o_orderdate"], _FILES), "clustered")
+    path = _written(spark, cluster_by(_orders(spark, d), ["o_orderdate"]), "clustered")
     return spark.read.parquet(path)
 
 
 @query("zorder_layout", _ORDERS)
 def zordered(spark, d):
-    layout = zorder_by(_orders(spark, d), ["o_custkey", "o_orderkey"], _FILES)
+    layout = zorder_by(_orders(spark, d), ["o_custkey", "o_orderkey"])
     return spark.read.parquet(_written(spark, layout, "zordered"))
 
 
 @query("clustering_info")
 def info(spark, d):
-    path = _written(spark, cluster_by(_orders(spark, d), ["o_orderdate"], _FILES), "clustered")
+    path = _written(spark, cluster_by(_orders(spark, d), ["o_orderdate"]), "clustered")
     report = clustering_info(spark, path, "o_orderdate")
     return report.withColumn("file_path", F.element_at(F.split("file_path", "/"), -1))

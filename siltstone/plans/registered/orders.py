@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.columns import pad_id
 from siltstone.operators.dedupe import change_set, latest
-from siltstone.operators.joins import keys_with_history, lookup_current, new_keys
+from siltstone.operators.joins import keys_with_history, lookup_current, new_keys, unmatched
 from siltstone.operators.keys import continue_key, dense_key
 from siltstone.operators.merge import (
     log_as_of,
@@ -113,19 +115,55 @@ def multi_version_keys(spark, d):
 
 @query(
     "merge_actions",
-    """select t.customer_id, case when h.customer_id is null then 'insert'
+    """select t.batch, t.customer_id, case when h.customer_id is null then 'insert'
               when h.city is distinct from t.city or h.email is distinct from t.email
                    or h.phone is distinct from t.phone or h.full_name is distinct from t.full_name
               then 'update' else 'none' end as merge_action
        from cust_delta t left join (select * from cust_delta where batch = 0) h
-         on h.customer_id = t.customer_id
-       where t.batch = 1""",
+         on h.customer_id = t.customer_id""",
 )
 def actions(spark, d):
     raw = customers(spark, d)
     baseline = orders.first_customers(batch_of(raw, 0))
-    delta = orders.customer_changes(batch_of(raw, 1))
-    return merge_actions(baseline, delta, ["customer_id"], orders.TRACKED)
+    baseline = pin(baseline, "customer-dim")
+    planned = [
+        merge_actions(baseline, orders.customer_changes(batch_of(raw, b)), ["customer_id"], orders.TRACKED)
+        .withColumn("batch", F.lit(b))
+        for b in (0, *BATCHES)
+    ]
+    return reduce(lambda a, b: a.unionByName(b), planned)
+
+
+@query(
+    "late_changes",
+    """select customer_id, city, updated_at, 'late' as state from (
+         select c.customer_id, 'TOO_LATE' as city, timestamp '1990-01-01 00:00:00' as updated_at
+         from cust_hist c where c.is_current and c.customer_id in (
+           select customer_id from customers_raw where batch = 0) and right(c.customer_id, 1) = '3')
+       union all select customer_id, city, valid_from, 'current' from cust_hist where is_current""",
+)
+def late(spark, d):
+    """A batch of changes older than the current versions is set aside and changes nothing."""
+    dim = customer_dim(spark, d)
+    known = batch_of(customers(spark, d), 0).filter(F.right("customer_id", F.lit(1)) == "3")
+    batch = known.withColumns({"city": F.lit("TOO_LATE"), "updated_at": F.lit("1990-01-01 00:00:00")})
+    aside = orders.late_customers(dim, batch).select("customer_id", "city", "updated_at", F.lit("late").alias("state"))
+    after = orders.merge_customers(dim, batch).filter("is_current")
+    return aside.unionByName(
+        after.select("customer_id", "city", F.col("valid_from").alias("updated_at"), F.lit("current").alias("state"))
+    )
+
+
+@query(
+    "unmatched_facts",
+    """select 'customer_sk' as missing_key, batch, count(*) as row_count from orders_raw
+       where customer_id not in (select customer_id from customers_raw where batch = 0) group by batch""",
+)
+def unmatched_facts(spark, d):
+    """Order rows that an inner lookup of the baseline customers would drop."""
+    dim = orders.first_customers(batch_of(customers(spark, d), 0))
+    rows = unmatched(shapes.orders_raw(spark, d), {"customer_sk": (dim, ["customer_id"])})
+    return rows.groupBy("missing_key", "batch").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query(

@@ -55,16 +55,25 @@ def read_evolving_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_by_header(spark, headers_of(first_block_lines(lines)))
 
 
-def rescue(lines: DataFrame, known: Sequence[str], column: str = "value") -> DataFrame:
-    """Flat JSON lines to text columns; unexpected fields are kept as JSON in `_rescued_data`.
+def rescue(
+    lines: DataFrame, known: Sequence[str], column: str = "value", array: bool = False
+) -> DataFrame:
+    """Flat JSON objects to text columns; what does not fit is kept as text in `_rescued_data`.
 
-    Works on batch and streaming frames. Other columns of `lines` are passed on.
+    Unexpected fields are kept as JSON. A text that is not an object (with `array`: an array of objects)
+    gives one row with all columns NULL and the text itself. Blank texts give no row. Works on batch and
+    streaming frames. Other columns of `lines` are passed on.
     """
-    fields = F.from_json(F.col(column), "map<string,string>")
-    unexpected = F.map_filter("_fields", lambda k, v: ~k.isin(list(known)))
     rest = [c for c in lines.columns if c != column]
-    return lines.withColumn("_fields", fields).select(
-        *[F.col("_fields")[k].alias(k) for k in known],
-        F.when(F.size(unexpected) > 0, F.to_json(unexpected)).alias(RESCUED),
-        *rest,
-    )
+    text = F.col(column)
+    readable = F.get_json_object(text, "$").isNotNull() & F.trim(text).startswith("[" if array else "{")
+    if array:
+        parsed = F.when(readable, F.from_json(text, "array<map<string,string>>"))
+        whole = F.array(F.lit(None).cast("map<string,string>"))
+        rows = lines.select("*", F.explode(F.coalesce(parsed, whole)).alias("_fields"))
+    else:
+        rows = lines.withColumn("_fields", F.when(readable, F.from_json(text, "map<string,string>")))
+    rows = rows.filter(F.col("_fields").isNotNull() | (F.trim(text) != ""))
+    unexpected = F.map_filter("_fields", lambda k, v: ~k.isin(list(known)))
+    rescued = F.when(F.col("_fields").isNull(), text).when(F.size(unexpected) > 0, F.to_json(unexpected))
+    return rows.select(*[F.col("_fields")[k].alias(k) for k in known], rescued.alias(RESCUED), *rest)

@@ -16,13 +16,20 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+# Enclosed fields double their quotes, as spreadsheet and standard-library writers do.
+CSV_QUOTES = {"quote": '"', "escape": '"'}
+
+
+def read_raw_csv(
+    spark: SparkSession, path: str | list[str], columns: Sequence[str], multiline: bool = False
+) -> DataFrame:
     """CSV with a header row, every column as text, bound in header order.
 
-    Files whose header differs in order or content belong into `read_evolving_csv`.
+    Files whose header differs in order or content belong into `read_evolving_csv`. With `multiline`
+    enclosed fields may hold line breaks; a file is then read by one task.
     """
-    reader = spark.read.option("header", True).option("recursiveFileLookup", True)
-    return reader.schema(text_schema(columns)).csv(path)
+    reader = spark.read.options(**CSV_QUOTES).option("header", True).option("recursiveFileLookup", True)
+    return reader.option("multiLine", multiline).schema(text_schema(columns)).csv(path)
 
 
 def read_raw_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:

@@ -11,6 +11,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.operators.joins import keyed_join
 from siltstone.operators.merge import upsert
@@ -83,9 +84,8 @@ def replace_by_key(df: DataFrame, path: str, key: str, values: Sequence[Any]) ->
     Partitions without replacement rows are cleared, which a dynamic overwrite alone does not do.
     """
     spark = df.sparkSession
-    rows = df.filter(F.col(key).isin(list(values)))
-    written = Observation()
-    rows = rows.observe(written, F.collect_set(key).alias("found"))  # at most len(values) entries
+    rows = pin(df.filter(F.col(key).isin(list(values))), "replacement")
+    found = {row[0] for row in rows.select(key).distinct().collect()}  # at most len(values) entries
     (
         _spread(rows, [key])
         .write.mode("overwrite")
@@ -93,7 +93,7 @@ def replace_by_key(df: DataFrame, path: str, key: str, values: Sequence[Any]) ->
         .partitionBy(key)
         .parquet(path)
     )
-    for value in set(values) - set(written.get["found"]):
+    for value in set(values) - found:
         storage.remove_folder(spark, f"{path}/{key}={value}")
     return path
 
@@ -103,12 +103,6 @@ def append_select(df: DataFrame, path: str) -> str:
     return path
 
 
-def temp_view(df: DataFrame, name: str) -> DataFrame:
-    """Session-scoped intermediate, readable from SQL."""
-    df.createOrReplaceTempView(name)
-    return df
-
-
 def update_where(df: DataFrame, condition: Column, **assignments: Any) -> DataFrame:
     """New table state with the assigned columns where the condition holds."""
     hit = F.coalesce(condition, F.lit(False))
@@ -135,14 +129,17 @@ def upsert_partitions(
     update_columns: Sequence[str],
     partition: str,
     run_ts: Column | None = None,
+    schema: T.StructType | str | None = None,
 ) -> int:
     """Upsert into a partitioned table, rewriting only the partitions that the source touches.
 
+    `schema` is needed if the table may still be without a file.
+
     A first pass reads just the key and partition columns to find them. Rerunning after a failure
     between two partitions gives the same table, since the upsert itself is idempotent. Returns the
     number of rewritten partitions.
     """
-    target = spark.read.parquet(path)
+    target = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     source = pin(source.select(*[c for c in target.columns if c in source.columns]), "batch")
     matched = keyed_join(target.select(*key, partition), source.select(*key), key, "left_semi")
     touched = matched.select(partition).union(source.select(partition)).distinct()

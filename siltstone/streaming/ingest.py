@@ -6,16 +6,21 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.sources.evolve import first_block_lines, headers_of, read_by_header, rescue
-from siltstone.sources.files import with_audit
+from siltstone.sources.files import CSV_QUOTES, with_audit
 
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _reader(spark: SparkSession, fmt: str, options: Mapping[str, str] | None):
     reader = spark.readStream.format(fmt).option("recursiveFileLookup", True)
-    return reader.options(**(options or {}))
+    return reader.options(**{**(CSV_QUOTES if fmt == "csv" else {}), **(options or {})})
+
+
+def _writer(rows: DataFrame, checkpoint: str):
+    return rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
 
 
 def ingest(
@@ -26,37 +31,43 @@ def ingest(
     checkpoint: str,
     schema: T.StructType | str,
     options: Mapping[str, str] | None = None,
-    every: str | None = None,
 ) -> DataFrame:
     """Append new files below `src` to the Parquet table `dst` with audit columns.
 
-    By default all files that are there are drained and the stream stops; a rerun adds only files
-    that came since. With `every` ("1 minute") the stream keeps running and the caller stops it
-    through `spark.streams`.
+    All files that are there are drained and the stream stops; a rerun adds only files that came since.
     """
     rows = with_audit(_reader(spark, fmt, options).schema(schema).load(src))
-    writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-    if every is None:
-        writer.trigger(availableNow=True).start(dst).awaitTermination()
-    else:
-        writer.trigger(processingTime=every).start(dst)
+    _writer(rows, checkpoint).trigger(availableNow=True).start(dst).awaitTermination()
     return spark.read.schema(rows.schema).parquet(dst)
 
 
+def ingest_continuously(
+    spark: SparkSession,
+    src: str,
+    fmt: str,
+    dst: str,
+    checkpoint: str,
+    schema: T.StructType | str,
+    options: Mapping[str, str] | None = None,
+    every: str = "1 minute",
+    files_per_trigger: int = 10_000,
+) -> StreamingQuery:
+    """As `ingest`, but the stream keeps running; the caller waits for it or stops it."""
+    reader = _reader(spark, fmt, {**(options or {}), "maxFilesPerTrigger": str(files_per_trigger)})
+    return _writer(with_audit(reader.schema(schema).load(src)), checkpoint).trigger(processingTime=every).start(dst)
+
+
 def ingest_rescued(
-    spark: SparkSession, src: str, dst: str, checkpoint: str, known: list[str]
+    spark: SparkSession, src: str, dst: str, checkpoint: str, known: list[str], array: bool = False
 ) -> DataFrame:
-    """JSON Lines with unexpected fields kept in `_rescued_data`."""
-    lines = with_audit(_reader(spark, "text", None).load(src))
-    rows = rescue(lines, known)
-    query = (
-        rows.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(dst)
-    )
-    query.awaitTermination()
-    return spark.read.parquet(dst)
+    """JSON Lines, or with `array` files of one JSON array each, as text columns.
+
+    Unexpected fields and unreadable lines or files are kept in `_rescued_data`.
+    """
+    options = {"wholetext": "true"} if array else None
+    rows = rescue(with_audit(_reader(spark, "text", options).load(src)), known, array=array)
+    _writer(rows, checkpoint).trigger(availableNow=True).start(dst).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(dst)
 
 
 def run_if_new_data(

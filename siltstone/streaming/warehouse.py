@@ -9,6 +9,7 @@ Tables below `base`:
 
 * `customers_current/v=N`: current versions after batch N-1, a new folder per batch;
 * `customers_closed/batch=N`: versions closed by batch N, never rewritten;
+* `customers_late/batch=N`: changes of batch N that are older than the current version, set aside;
 * `orders/order_month=yyyyMM`: facts; a batch rewrites only the months it touches.
 """
 
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.plans.orders import (
+    ORDER_FACT,
     UPDATED_ON_MATCH,
     first_customers,
+    late_customers,
     merge_customers,
     order_facts,
 )
@@ -36,6 +39,7 @@ from siltstone.sources.tables import (
 from siltstone.streaming.ingest import run_if_new_data
 
 FEED = "_feed"
+_FACT = f"{ORDER_FACT}, order_month int"
 
 
 def changes(spark: SparkSession, feeds: dict[str, tuple[str, T.StructType]]) -> DataFrame:
@@ -64,15 +68,20 @@ def apply_batch(base: str, run_ts: Column | None = None):
             write_overwrite(first_customers(customers, run_ts), current, version=1)
         else:
             before = spark.read.parquet(version_path(current, batch_id))
+            late = late_customers(before, customers)
+            late.write.mode("overwrite").parquet(f"{base}/customers_late/batch={batch_id}")
             merged = pin(merge_customers(before, customers, run_ts))
             ended = merged.filter(~F.col("is_current"))
             ended.write.mode("overwrite").parquet(f"{closed}/batch={batch_id}")
             write_overwrite(merged.filter("is_current"), current, version=batch_id + 1)
         dim = spark.read.parquet(version_path(current, batch_id + 1))
+        # Current rows are in the new version; a batch that is repeated reads the one before, nothing older.
+        if batch_id > 1:
+            storage.remove_folder(spark, version_path(current, batch_id - 1))
         facts = _with_month(order_facts(orders, dim, run_ts))
         if storage.exists(spark, f"{base}/orders/_SUCCESS"):
             upsert_partitions(
-                spark, f"{base}/orders", facts, ["order_id"], UPDATED_ON_MATCH, "order_month", run_ts
+                spark, f"{base}/orders", facts, ["order_id"], UPDATED_ON_MATCH, "order_month", run_ts, _FACT
             )
         else:
             write_partitioned(facts, f"{base}/orders", ["order_month"])
@@ -99,5 +108,11 @@ def read_customers(spark: SparkSession, base: str) -> DataFrame:
     return current.unionByName(spark.read.parquet(closed).drop("batch"))
 
 
+def read_late(spark: SparkSession, base: str) -> DataFrame | None:
+    """Late customer changes with their batch; None before the second batch."""
+    path = f"{base}/customers_late"
+    return spark.read.parquet(path) if storage.exists(spark, path) else None
+
+
 def read_orders(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/orders")
+    return spark.read.schema(_FACT).parquet(f"{base}/orders")
