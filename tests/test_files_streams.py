@@ -9,7 +9,7 @@ from siltstone.operators.layout import cluster_by, clustering_info, pruned_files
 from siltstone.plans import shapes
 from siltstone.session import pin
 from siltstone.sources import files, storage, tables
-from siltstone.sources.evolve import read_evolving_csv
+from siltstone.sources.evolve import read_evolving_csv, rescue
 from siltstone.streaming import ingest as streams
 from siltstone.streaming import warehouse
 
@@ -222,3 +222,71 @@ def test_shape_counts(spark, sf_dir):
     assert raw.count() == shapes.table(spark, sf_dir, "lineitem").count()
     batches = dict(rows(shapes.orders_raw(spark, sf_dir).groupBy("batch").count()))
     assert set(batches) == {0, 1, 2, 3}
+
+
+def test_warehouse_takes_orders_after_the_first_batch_and_sets_late_changes_aside(spark, tmp_path):
+    base = str(tmp_path)
+    run = F.lit("2026-06-01 00:00:00").cast("timestamp_ntz")
+    feeds = {
+        "customers": (f"{base}/raw_customers", spark.createDataFrame([], CUSTOMER).schema),
+        "orders": (f"{base}/raw_orders", spark.createDataFrame([], ORDER).schema),
+    }
+    os.makedirs(f"{base}/raw_orders")
+    one = ("C1", "One", "a@x", "1", "Here", "VA", "2025-01-01", "2026-05-01 00:00:00")
+
+    def land(feed, schema, values):
+        spark.createDataFrame(values, schema).write.mode("append").parquet(f"{base}/raw_{feed}")
+
+    land("customers", CUSTOMER, [one])
+    assert warehouse.maintain(spark, base, feeds, run) == 1
+    assert warehouse.read_orders(spark, base).count() == 0
+    land("orders", ORDER, [("O1", "C1", "2026-05-01 10:00:00", "new", "x", "1", "5.00")])
+    land("customers", CUSTOMER, [(*one[:4], "Earlier", *one[5:7], "2020-01-01 00:00:00")])
+    assert warehouse.maintain(spark, base, feeds, run) == 1
+    assert rows(warehouse.read_orders(spark, base), "order_id", "customer_sk") == [("O1", 1)]
+    assert rows(warehouse.read_customers(spark, base), "city", "is_current") == [("Here", True)]
+    assert rows(warehouse.read_late(spark, base), "customer_id", "city", "batch") == [("C1", "Earlier", 1)]
+
+
+@pytest.mark.parametrize("emptied", [True, False])
+def test_replace_by_key_with_an_empty_frame(spark, tmp_path, emptied):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, 10), (3, 30)], "n int, d int")
+    tables.write_partitioned(df, path, ["d"])
+    empty = df.filter("n > 99") if emptied else spark.createDataFrame([], df.schema)
+    tables.replace_by_key(empty, path, "d", [10])
+    assert rows(spark.read.schema(df.schema).parquet(path), "n", "d") == [(3, 30)]
+
+
+def test_csv_with_doubled_quotes_and_line_breaks(spark, tmp_path):
+    put(f"{tmp_path}/a.csv", 'a,b\n"say ""hi"", ok",2\n"two\nlines","3"\n,""\n')
+    got = rows(files.read_raw_csv(spark, str(tmp_path), ["a", "b"], multiline=True))
+    assert got == sorted([('say "hi", ok', "2"), ("two\nlines", "3"), (None, None)], key=repr)
+
+
+def test_every_json_line_is_read_or_kept(spark):
+    lines = ['{"a":"1","b":"2"}', '{"a":"1"', "not json", "[1]", "", " ", '{"a":null}', '{"a":{"x":1}}']
+    got = rescue(spark.createDataFrame([(x,) for x in lines], "value string"), ["a"])
+    assert rows(got, "a", "_rescued_data") == sorted(
+        [("1", '{"b":"2"}'), (None, '{"a":"1"'), (None, "not json"), (None, "[1]"), (None, None), ('{"x":1}', None)], key=repr
+    )
+    texts = ['[{"a":"1"},{"a":"2","c":"3"}]', "[]", "[broken", '{"a":"1"}']
+    got = rescue(spark.createDataFrame([(x,) for x in texts], "value string"), ["a"], array=True)
+    assert rows(got, "a", "_rescued_data") == sorted(
+        [("1", None), ("2", '{"c":"3"}'), (None, "[broken"), (None, '{"a":"1"}')], key=repr
+    )
+
+
+def test_continuous_ingest_gives_its_query(spark, tmp_path):
+    base = str(tmp_path)
+    os.makedirs(f"{base}/landing")
+    query = streams.ingest_continuously(
+        spark, f"{base}/landing", "csv", f"{base}/bronze", f"{base}/checkpoint", "n string", {"header": "true"}, every="1 second"
+    )
+    try:
+        for k in (1, 2):
+            put(f"{base}/landing/{k}.csv", f"n\n{k}\n")
+            query.processAllAvailable()
+            assert spark.read.parquet(f"{base}/bronze").count() == k
+    finally:
+        query.stop()

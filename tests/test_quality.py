@@ -112,4 +112,4 @@ def test_silver_sales_does_not_fall_back_to_an_older_row(spark):
     )
     silver = daily.silver_sales(raw, ("_loaded_at",))
     assert rows(silver, "store_id", "item_id") == [("S1", "M2")]
-    assert rows(daily.rejected_sales(raw), "reject_reason") == [("NULL_ITEM",), ("NULL_STORE",)]
+    assert rows(daily.rejected_sales(raw), "reject_reason") == [("BAD_DATE",), ("NULL_ITEM",), ("NULL_STORE",)]
