@@ -56,16 +56,21 @@ def keyed_join(
 
 
 def pair_rows(
-    target: DataFrame, source: DataFrame, key: Sequence[str], all_targets: bool = True
+    target: DataFrame,
+    source: DataFrame,
+    key: Sequence[str],
+    all_targets: bool = True,
+    size: int | None = None,
 ) -> DataFrame:
     """Match a large target with a batch of changes, both unique per key.
 
     The result holds both rows as structs `d` (target) and `s` (source), one of them NULL without a
     partner; without `all_targets`, target rows that no change refers to are left out. A batch of at most
     `BATCH_BYTES` is broadcast, so that the target is read in place and not shuffled. A larger one takes
-    an outer join on the key. Either way gives the same rows.
+    an outer join on the key. Either way gives the same rows. `size` is given if the batch is pinned already.
     """
-    source, size = pin_sized(source, "batch")  # read up to four times below, computed once
+    if size is None:
+        source, size = pin_sized(source, "batch")  # read up to four times below, computed once
     t = target.select(*key, F.struct(*target.columns).alias("d"))
     s = source.select(*key, F.struct(*source.columns).alias("s"))
     if size > BATCH_BYTES:

@@ -16,7 +16,7 @@ from siltstone.functions.predicates import Differs, changed
 from siltstone.operators.dedupe import latest
 from siltstone.operators.joins import pair_rows
 from siltstone.operators.keys import continue_key
-from siltstone.session import pin
+from siltstone.session import pin_sized
 
 VERSION_COLUMNS = ("valid_from", "valid_to", "is_current")
 Interval = Literal["half_open", "closed_day"]
@@ -62,7 +62,7 @@ def scd2_apply(
     version are left out (`late="reject"`, list them with `late_changes`) or applied as they come.
     Closed history passes by without being joined. Write the result (or `pin` it) before applying
     the next batch: the dimension is read more than once. With `surrogate`, new versions continue its
-    numbering in key order.
+    numbering in key order; only they are placed and numbered, the others are passed through.
     """
     differs = tracked if callable(tracked) else changed(tracked)
     if run_ts is not None:
@@ -71,9 +71,13 @@ def scd2_apply(
     current = dim.filter(F.col("is_current"))
     history = dim.filter(~F.col("is_current"))
 
-    pairs = _decide(pair_rows(current, delta, key), ts, differs)
-    replaces = F.col("_differs") & ~F.col("_late") if late == "reject" else F.col("_differs")
-    pairs = pairs.withColumn("_replaces", replaces)
+    delta, size = pin_sized(delta, "batch")
+
+    def decided(all_targets: bool) -> DataFrame:
+        pairs = _decide(pair_rows(current, delta, key, all_targets, size), ts, differs)
+        applies = F.col("_differs") & ~F.col("_late") if late == "reject" else F.col("_differs")
+        return pairs.withColumn("_replaces", applies)
+
     replaces, opening = F.col("_replaces"), F.col(f"s.{ts}")
     in_dim, in_delta = F.col("d").isNotNull(), F.col("s").isNotNull()
 
@@ -94,13 +98,14 @@ def scd2_apply(
     opened = F.when(
         in_delta & (~in_dim | replaces), version("s", opening, F.lit(None), F.lit(True))
     )
-    merged = pairs.select(F.explode(F.array_compact(F.array(kept, opened))).alias("v")).select("v.*")
     if surrogate is None:
+        both = F.explode(F.array_compact(F.array(kept, opened)))
+        merged = decided(True).select(both.alias("v")).select("v.*")
         return history.select(*merged.columns).unionByName(merged)
-    merged = pin(merged)
-    numbered = merged.filter(F.col(surrogate).isNotNull())
-    added = continue_key(dim, merged.filter(F.col(surrogate).isNull()), list(key), surrogate)
-    return history.select(*merged.columns).unionByName(numbered).unionByName(added)
+    stays = decided(True).filter(in_dim).select(kept.alias("v")).select("v.*")
+    new = decided(False).select(opened.alias("v")).filter("v is not null").select("v.*")
+    added = continue_key(dim, new, list(key), surrogate)
+    return history.select(*stays.columns).unionByName(stays).unionByName(added)
 
 
 def late_changes(
