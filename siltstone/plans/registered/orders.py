@@ -30,9 +30,9 @@ VERSION = ["customer_sk", *shapes.CUSTOMER_COLUMNS[:-1], "valid_from", "valid_to
 _VERSION_SQL = ", ".join(VERSION)
 
 
-def run_ts():
-    """Load instant of the registered queries, fixed so that results can be compared."""
-    return F.lit("2026-06-01 00:00:00").cast("timestamp_ntz")
+def run_ts(batch: int = 0):
+    """Load instant of a batch, fixed so that results can be compared: a day per batch."""
+    return F.lit(f"2026-06-{batch + 1:02d} 00:00:00").cast("timestamp_ntz")
 
 
 def customers(spark: SparkSession, d: str) -> DataFrame:
@@ -219,9 +219,9 @@ def fact_upsert(spark, d):
     for batch in BATCHES:
         dim = pin(orders.merge_customers(dim, batch_of(customer_rows, batch)), "customer-dim")
         fact = pin(
-            orders.merge_orders(fact, batch_of(order_rows, batch), dim, run_ts()), "order-fact"
+            orders.merge_orders(fact, batch_of(order_rows, batch), dim, run_ts(batch)), "order-fact"
         )
-    return fact.drop("_updated_at")
+    return fact
 
 
 @query(
