@@ -15,8 +15,8 @@ are files in the shared folder that shards map into memory.
 Probabilities: level 1 has (c + 1) / (N + V + 1). An n-gram with count c, whose context has C, is kept if
 the n-gram without its first word is, c >= `min_count`, and c * ln(c / E) - (c - E) >= `gain`. E = C * p is
 what the level below expects of it, so that is the log likelihood gained by storing it (a Poisson
-likelihood ratio): what the level below says as well, or what may be chance, is not stored. A kept n-gram
-has (c - `discount`) / C; the mass that is left over goes to the level below, normalised by what that level
+likelihood ratio): what the level below says as well, or what may be chance, is not stored. A `gain` of 0
+stores every n-gram with the count. A kept n-gram has (c - `discount`) / C; the mass that is left over goes to the level below, normalised by what that level
 gives to words that are not kept. Probabilities are stored to 1/20 of a decade.
 
 A context with more than `HOT_SHARE` of all tokens (there can be 1 / HOT_SHARE of them at most) is spread
@@ -343,7 +343,7 @@ def _pair_level(root: str, shards: int, hot_from: int, min_count: int, discount:
         c, big, w, low_p = c[some], np.maximum(big[some], 1), w[some], 10.0 ** from_code(low[some])
         expected = big * low_p
         more = total * np.log(np.maximum(total / expected, 1.0)) - np.maximum(total - expected, 0)
-        kept = np.flatnonzero((total >= min_count) & (more >= gain))
+        kept = np.flatnonzero((total >= min_count) & ((more >= gain) | (gain <= 0)))
         c, big, w, total, low_p = c[kept], big[kept], w[kept], total[kept], low_p[kept]
         p = (total - discount) / big
         heads = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else np.zeros(0, dtype=np.int64)

@@ -187,6 +187,14 @@ def test_lm_query_counts_and_gain(spark, sf_dir, documents):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_query_drops_no_ngram_with_the_count(spark, sf_dir, documents):
+    rows = documents.select("doc_id", "text").collect()
+    want = brute_score([(r.text, zlib.crc32(str(r.doc_id).encode()) % 7 == 2) for r in rows], gain=0.0)
+    got = {r.doc_id: r.score for r in QUERIES["op3_ngram_trie"](spark, sf_dir).collect()}
+    for r, (*_, score) in zip(rows, want, strict=True):
+        assert got[r.doc_id] == pytest.approx(score, abs=1e-6)
+
+
 def brute_grams(text):
     padded = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
     found = collections.Counter()
