@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import (
     chat_prefix,
+    merkle_manifest,
     ngram_trie,
     pareto_mix,
     positional_index,
@@ -19,7 +20,7 @@ from siltstone.llm import (
     unit_dedup,
     warc_index,
 )
-from siltstone.llm.queries_sql import OP8_SQL, OP9_SQL
+from siltstone.llm.queries_sql import OP8_SQL, OP9_SQL, OP13_SQL
 from siltstone.session import pin, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +114,10 @@ def op10_simhash_gph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.audit(_table(spark, sf_dir, "documents"), merkle_manifest.tampered_text())
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_index": op1_warc_index,
     "op2_chat_prefix": op2_chat_prefix,
@@ -124,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "op8_positional_index": op8_positional_index,
     "op9_pareto_mix": op9_pareto_mix,
     "op10_simhash_gph": op10_simhash_gph,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLES: dict[str, str] = {"op8_positional_index": OP8_SQL, "op9_pareto_mix": OP9_SQL}
+ORACLES: dict[str, str] = {"op8_positional_index": OP8_SQL, "op9_pareto_mix": OP9_SQL, "op13_merkle_manifest": OP13_SQL}

@@ -72,3 +72,71 @@ WITH RECURSIVE sized AS (
 )
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copies::BIGINT AS copies FROM decided
 """
+
+OP13_SQL = r"""
+WITH RECURSIVE rows AS (
+    SELECT doc_id, lang, text,
+           CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END
+           || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+           || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
+           || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END AS head,
+           list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(range(1, len(doc_id::VARCHAR) + 1), lambda i: ascii((doc_id::VARCHAR)[i])::BIGINT)),
+               lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))
+           ) AS crc
+    FROM documents
+), leaves AS (
+    SELECT doc_id, lang, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+           sha256(head || CASE WHEN seen IS NULL THEN '-' ELSE strlen(seen) || ':' || seen END) AS altered
+    FROM (SELECT *, CASE WHEN xor(crc, 4294967295) % 3 = 0
+                         THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS seen
+          FROM rows)
+), placed AS (
+    SELECT doc_id, leaf, altered, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+           count(*) OVER (PARTITION BY lang) AS n
+    FROM leaves
+), low AS (
+    SELECT 0 AS level, tree, pos, n, leaf AS h FROM placed
+    UNION ALL
+    SELECT level + 1, tree, pos // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY pos))
+    FROM low WHERE n > 1 GROUP BY level, tree, pos // 8
+), subroots AS (
+    SELECT tree, h AS subroot FROM low WHERE n = 1
+), high AS (
+    SELECT 0 AS level, tree AS pos, (SELECT count(*) FROM subroots) AS n, subroot AS h FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY pos))
+    FROM high WHERE n > 1 GROUP BY level, pos // 8
+), siblings AS (
+    SELECT level, tree, pos,
+           coalesce(string_agg(h, '') OVER (PARTITION BY level, tree, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+           coalesce(string_agg(h, '') OVER (PARTITION BY level, tree, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+    FROM low WHERE n > 1
+), high_siblings AS (
+    SELECT level, pos,
+           coalesce(string_agg(h, '') OVER (PARTITION BY level, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+           coalesce(string_agg(h, '') OVER (PARTITION BY level, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+    FROM high WHERE n > 1
+), steps AS (
+    SELECT p.tree, p.pos, s.level, s.l, s.r
+    FROM placed p JOIN siblings s ON s.tree = p.tree AND s.pos = p.pos // (8 ** s.level)::BIGINT
+    UNION ALL
+    SELECT p.tree, p.pos, 100 + s.level, s.l, s.r
+    FROM placed p JOIN high_siblings s ON s.pos = p.tree // (8 ** s.level)::BIGINT
+), proofs AS (
+    SELECT tree, pos, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs, string_agg(l || r, '' ORDER BY level) AS path
+    FROM steps GROUP BY tree, pos
+), folded AS (
+    SELECT p.tree, p.pos, 0 AS k, p.altered AS h FROM placed p
+    UNION ALL
+    SELECT f.tree, f.pos, k + 1, sha256(ls[k + 1] || h || rs[k + 1])
+    FROM folded f JOIN proofs q ON f.tree = q.tree AND f.pos = q.pos WHERE k < len(ls)
+)
+SELECT p.doc_id, p.leaf, s.subroot, t.h AS root, sha256(coalesce(q.path, '')) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+FROM placed p
+JOIN subroots s ON s.tree = p.tree
+JOIN (SELECT h FROM high WHERE n = 1) t ON true
+LEFT JOIN proofs q ON q.tree = p.tree AND q.pos = p.pos
+JOIN folded f ON f.tree = p.tree AND f.pos = p.pos AND f.k = coalesce(len(q.ls), 0)
+"""
