@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import (
+    blas_ranking,
     chat_prefix,
+    hyper_minhash,
     merkle_manifest,
     ngram_trie,
     pareto_mix,
@@ -20,7 +22,7 @@ from siltstone.llm import (
     unit_dedup,
     warc_index,
 )
-from siltstone.llm.queries_sql import OP8_SQL, OP9_SQL, OP13_SQL
+from siltstone.llm.queries_sql import OP8_SQL, OP9_SQL, OP11_SQL, OP12_SQL, OP13_SQL
 from siltstone.session import pin, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +116,14 @@ def op10_simhash_gph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_blas_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blas_ranking.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_hyper_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyper_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.audit(_table(spark, sf_dir, "documents"), merkle_manifest.tampered_text())
 
@@ -129,7 +139,12 @@ QUERIES: dict[str, Query] = {
     "op8_positional_index": op8_positional_index,
     "op9_pareto_mix": op9_pareto_mix,
     "op10_simhash_gph": op10_simhash_gph,
+    "op11_blas_ranking": op11_blas_ranking,
+    "op12_hyper_minhash": op12_hyper_minhash,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLES: dict[str, str] = {"op8_positional_index": OP8_SQL, "op9_pareto_mix": OP9_SQL, "op13_merkle_manifest": OP13_SQL}
+ORACLES: dict[str, str] = {
+    "op8_positional_index": OP8_SQL, "op9_pareto_mix": OP9_SQL, "op11_blas_ranking": OP11_SQL,
+    "op12_hyper_minhash": OP12_SQL, "op13_merkle_manifest": OP13_SQL,
+}

@@ -73,6 +73,63 @@ WITH RECURSIVE sized AS (
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copies::BIGINT AS copies FROM decided
 """
 
+OP11_SQL = r"""
+WITH doc_terms AS (
+    SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), sized AS (
+    SELECT d, doc_id, len(w)::BIGINT AS n FROM doc_terms WHERE len(w) > 0
+), totals AS (
+    SELECT count(*)::BIGINT AS total, sum(n)::BIGINT AS length FROM sized
+), counts AS (
+    SELECT d, term, count(*)::BIGINT AS tf FROM (SELECT d, unnest(w) AS term FROM doc_terms) GROUP BY d, term
+), terms AS (
+    SELECT term, floor(1000 * ln((2 * any_value(total) + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM counts, totals GROUP BY term
+), impacts AS (
+    SELECT d, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * total) // length))) AS impact
+    FROM counts JOIN sized USING (d) JOIN terms USING (term), totals
+), item_terms AS (
+    SELECT DISTINCT item, item_id, term FROM (
+        SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark)
+), scores AS (
+    SELECT item, item_id, d, sum(impact)::BIGINT AS score FROM item_terms JOIN impacts USING (term) GROUP BY item, item_id, d
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+    FROM scores JOIN sized USING (d) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+OP12_SQL = r"""
+WITH RECURSIVE doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents WHERE text IS NOT NULL
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[k : k + 3], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS k FROM doc_words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+), edges AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT a AS doc_id, b AS other FROM edges
+    UNION
+    SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other
+), least AS (
+    SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(least(d.doc_id, other), d.doc_id) AS component_id,
+       coalesce(least(d.doc_id, other), d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.doc_id = d.doc_id
+"""
+
 OP13_SQL = r"""
 WITH RECURSIVE rows AS (
     SELECT doc_id, lang, text,
