@@ -5,6 +5,8 @@ Every layer is a set of Parquet tables below `base`; a job reads only the tables
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +29,8 @@ SALES_ORDER = (INGEST_TS, SOURCE_FILE, "txn_ts", "sku", "qty", "unit_price", "pa
 def bronze(spark: SparkSession, landing: str, base: str) -> None:
     """Ingest new files of the three feeds. A rerun adds only what arrived since.
 
-    New sales columns are added; new fields of clicks and products, and lines that cannot be read, are kept
-    in `_rescued_data` (see `rescued`).
+    New sales columns are added; sales records that do not fit their header, new fields of clicks and products,
+    and lines that cannot be read, are kept in `_rescued_data` (see `rescued`).
     """
     ingest_evolving_csv(spark, f"{landing}/pos", f"{base}/bronze/pos", f"{base}/chk/pos")
     ingest_rescued(spark, f"{landing}/clicks", f"{base}/bronze/clicks", f"{base}/chk/clicks", CLICK_COLUMNS)
@@ -40,10 +42,11 @@ def bronze(spark: SparkSession, landing: str, base: str) -> None:
 def rescued(spark: SparkSession, base: str) -> DataFrame:
     """(feed, unreadable, row_count): bronze rows that carry something no column holds."""
     parts = []
-    for feed, key in (("clicks", "event_id"), ("products", "sku")):
-        rows = spark.read.parquet(f"{base}/bronze/{feed}").filter(F.col(RESCUED).isNotNull())
+    for feed, key in (("pos", "txn_id"), ("clicks", "event_id"), ("products", "sku")):
+        bronze = spark.read.option("mergeSchema", True).parquet(f"{base}/bronze/{feed}")
+        rows = bronze.filter(F.col(RESCUED).isNotNull())
         parts.append(rows.select(F.lit(feed).alias("feed"), F.col(key).isNull().alias("unreadable")))
-    return parts[0].union(parts[1]).groupBy("feed", "unreadable").agg(F.count(F.lit(1)).alias("row_count"))
+    return reduce(DataFrame.union, parts).groupBy("feed", "unreadable").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def _read_rows(spark: SparkSession, base: str, feed: str, key: str) -> DataFrame:

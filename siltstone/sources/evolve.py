@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.sources.files import read_raw_csv, with_audit
-
-RESCUED = "_rescued_data"
+from siltstone.sources.files import CSV_QUOTES, INGEST_TS, RESCUED, SOURCE_FILE, text_schema, with_audit
+from siltstone.sources.headers import files_by_header
 
 
 def evolve_union(*frames: DataFrame) -> DataFrame:
@@ -19,40 +17,60 @@ def evolve_union(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def first_block_lines(lines: DataFrame) -> DataFrame:
-    """Lines from the first block of every file of a text frame, numbered.
+def read_rescued_csv(
+    spark: SparkSession, files: str | list[str], header: Sequence[str], multiline: bool = True
+) -> DataFrame:
+    """CSV files of one header as text columns, with the whole record in `_rescued_data` where it has more or
+    fewer fields than the header.
 
-    Inside a block lines keep their order, and so do their numbers.
+    Fields of such a record are bound from the left. With `multiline` enclosed fields may hold line breaks and
+    a file is read by one task; without, files are split, and every line is a record of its own.
     """
-    return lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-    ).filter("block = 0")
+    reader = spark.read.options(**CSV_QUOTES, mode="PERMISSIVE", columnNameOfCorruptRecord=RESCUED)
+    # With pruning Spark would count only the fields that are asked for.
+    reader = reader.options(header=True, columnPruning=False, multiLine=multiline, recursiveFileLookup=True)
+    return reader.schema(text_schema([*header, RESCUED])).csv(files)
 
 
-def headers_of(first_lines: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """Files by header. Brings one line per file to the driver, as a file listing does."""
-    headers = first_lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in headers.orderBy("file").collect():
-        groups.setdefault(tuple(next(csv.reader([row["header"]]))), []).append(row["file"])
-    return groups
+def with_known(rows: DataFrame, known: Sequence[str] | None) -> DataFrame:
+    """Only the `known` columns, NULL where a file lacks them; values of others go to `_rescued_data` as JSON.
+
+    A record that is kept there as a whole stays as it is. Without `known` all columns stay.
+    """
+    if known is None:
+        return rows
+    lower = {c.lower(): c for c in known}
+    other = [c for c in rows.columns if c.lower() not in lower and c != RESCUED and c not in (INGEST_TS, SOURCE_FILE)]
+    have = {c.lower() for c in rows.columns}
+    own = [(F.col(c) if c.lower() in have else F.lit(None).cast("string")).alias(c) for c in known]
+    extra = F.lit(None).cast("string")
+    if other:
+        fields = F.to_json(F.struct(*other))
+        extra = F.when(F.coalesce(*other).isNotNull(), fields)
+    audit = [c for c in rows.columns if c in (INGEST_TS, SOURCE_FILE)]
+    return rows.select(*own, F.coalesce(RESCUED, extra).alias(RESCUED), *audit)
 
 
 def read_by_header(
-    spark: SparkSession, groups: Mapping[tuple[str, ...], list[str]], audit: bool = False
+    spark: SparkSession,
+    groups: Mapping[tuple[str, ...], list[str]],
+    audit: bool = False,
+    known: Sequence[str] | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
-    """Each group of files is bound by its own header, then aligned by name."""
-    frames = [read_raw_csv(spark, files, header) for header, files in groups.items()]
-    return evolve_union(*[with_audit(f) if audit else f for f in frames])
+    """Each group of files is bound by its own header, then aligned by name; no field is lost."""
+    frames = []
+    for header, files in groups.items():
+        rows = read_rescued_csv(spark, files, header, multiline)
+        frames.append(with_known(with_audit(rows) if audit else rows, known))
+    return evolve_union(*frames)
 
 
-def read_evolving_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV files with differing headers below one folder."""
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
-    return read_by_header(spark, headers_of(first_block_lines(lines)))
+def read_evolving_csv(
+    spark: SparkSession, path: str, known: Sequence[str] | None = None, multiline: bool = True
+) -> DataFrame:
+    """CSV files with differing headers below one folder, with `_rescued_data`; see `read_by_header`."""
+    return read_by_header(spark, files_by_header(spark, path), known=known, multiline=multiline)
 
 
 def rescue(

@@ -10,6 +10,7 @@ from siltstone.plans import shapes
 from siltstone.session import pin
 from siltstone.sources import files, storage, tables
 from siltstone.sources.evolve import read_evolving_csv, rescue
+from siltstone.sources.headers import files_by_header
 from siltstone.streaming import ingest as streams
 from siltstone.streaming import warehouse
 
@@ -44,6 +45,60 @@ def test_evolving_ingest_adds_a_column_and_reruns_add_nothing(spark, tmp_path):
     assert rows(got, "a", "b", "c") == [("1", "2", None), ("3", None, "4")]
 
 
+def test_records_that_do_not_fit_are_kept_whole(spark, tmp_path):
+    put(f"{tmp_path}/in/1.csv", 'a,b\n1,2\n3,4,extra\n"x\ny",6\n7\n\n8,"say ""hi"", you"\n')
+    put(f"{tmp_path}/in/2.csv", "b,a,new\n20,10,n\n21,11,\n")
+    put(f"{tmp_path}/in/3.csv", "a,b\n")
+    put(f"{tmp_path}/in/4.csv", "")
+    args = (spark, f"{tmp_path}/in")
+    want = [("1", "2", None), ("3", "4", "3,4,extra"), ("7", None, "7"), ("8", 'say "hi", you', None), ("x\ny", "6", None)]
+    known = [*want, ("10", "20", '{"new":"n"}'), ("11", "21", None)]
+    got = streams.ingest_evolving_csv(*args, f"{tmp_path}/b1", f"{tmp_path}/c1", known=["a", "b"])
+    assert rows(got, "a", "b", "_rescued_data") == sorted(known, key=repr)
+    got = streams.ingest_evolving_csv(*args, f"{tmp_path}/b2", f"{tmp_path}/c2", files_per_batch=1)
+    all_columns = [(*w[:2], None, w[2]) for w in want] + [("10", "20", "n", None), ("11", "21", None, None)]
+    assert rows(got, "a", "b", "new", "_rescued_data") == sorted(all_columns, key=repr)
+    assert got.select("_source_file").distinct().count() == 2
+
+
+def test_single_lines_can_be_split(spark, tmp_path):
+    put(f"{tmp_path}/in/1.csv", "a,b\n" + "".join(f"{k},x\n" for k in range(1000)) + "1,2,3\n")
+    got = read_evolving_csv(spark, f"{tmp_path}/in", multiline=False)
+    assert got.count() == 1001
+    assert rows(got.filter("_rescued_data is not null"), "a", "_rescued_data") == [("1", "1,2,3")]
+
+
+def test_declared_feeds_keep_what_does_not_fit(spark, tmp_path):
+    put(f"{tmp_path}/in/1.csv", "a,b\n1,2\n3,4,5\n6\n")
+    put(f"{tmp_path}/js/1.json", '{"a":"1"}\n{"a":\n')
+
+    def drain(kind, folder, schema, options):
+        return streams.ingest(spark, f"{tmp_path}/{folder}", kind, f"{tmp_path}/b{folder}", f"{tmp_path}/c{folder}", schema, options, 1)
+
+    got = drain("csv", "in", files.text_schema(["a", "b"]), {"header": "true"})
+    assert rows(got, "a", "b", "_rescued_data") == sorted([("1", "2", None), ("3", "4", "3,4,5"), ("6", None, "6")], key=repr)
+    got = drain("json", "js", "a string", None)
+    assert rows(got, "a", "_rescued_data") == sorted([("1", None), (None, '{"a":')], key=repr)
+
+
+def test_headers_are_read_without_the_files(spark, tmp_path):
+    """Bytes that the local file system hands out per file; the files are a hundred times as long."""
+    for n in range(3):
+        put(f"{tmp_path}/in/{n}.csv", 'id,"two\nlines",id,\n' + "0123456789,abcdefghij,k,l\n" * 2_000_000)
+    jvm = spark.sparkContext._jvm
+
+    def read():
+        found = jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+        return sum(found.get(k).getBytesRead() for k in range(found.size()) if found.get(k).getScheme() == "file")
+
+    before = read()
+    groups = files_by_header(spark, f"{tmp_path}/in")
+    assert (read() - before) / 3 < 1_000_000 < os.path.getsize(f"{tmp_path}/in/0.csv") / 40
+    assert list(groups) == [("id", "two\nlines", "id_2", "_c3")]
+    assert len(groups["id", "two\nlines", "id_2", "_c3"]) == 3
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != str(1 << 40)
+
+
 def test_ingest_takes_each_file_once(spark, tmp_path):
     def drain():
         schema = files.text_schema(["a"])
