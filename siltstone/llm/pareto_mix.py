@@ -78,6 +78,9 @@ def _bin(order: str) -> Column:
     return F.floor(odds / (1 + odds) * _BINS)
 
 
+RESULTS = ("source_size", "target", "copies", "taken")
+
+
 def _rate(target: str, source_size: str, own: Column, mean: str) -> Column:
     return F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)).otherwise(0.0) * own / F.col(mean)
 
@@ -161,7 +164,15 @@ def apply_plan(
     source: str = "source",
     weight: str | None = None,
 ) -> DataFrame:
-    """`docs` with source_size, target, copies and taken (words, repeats counted)."""
+    """`docs` with source_size, target, copies and taken (words, repeats counted).
+
+    Columns of `docs` with these names are replaced. They cannot be the id, size, source or weight at the same
+    time, and names that start with `_mix_` are taken.
+    """
+    inputs = {doc_id.lower(), size.lower(), source.lower(), (weight or "").lower()}
+    if inputs & set(RESULTS) or any(c.lower().startswith("_mix_") for c in docs.columns):
+        raise ValueError(f"{', '.join(RESULTS)} are results, and names that start with _mix_ are taken")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in RESULTS])
     columns = docs.columns
     side = mix.select(*[F.col(c).alias(f"_mix_{c}") for c in mix.columns])
     joined = docs.join(side, F.col(source).eqNullSafe(F.col("_mix_source")), "left")

@@ -177,11 +177,12 @@ def near_pairs(
 def near_duplicates(
     docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = 3, distance: int = 2, row: Column | None = None
 ) -> DataFrame:
-    """(doc_id, row if given, fp, component_id): each fingerprint and the smallest id it is linked to."""
+    """(doc_id, row if given, fp, root, component_id): each fingerprint, one that stands for all it is linked to,
+    and the smallest id of these. Where ids repeat, only `root` tells components apart."""
     own = pin(fingerprints(docs, text=text, doc_id=doc_id, shingle=shingle, row=row), "fingerprints")
     classes = pin(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     found = components(near_pairs(classes.select("fp"), distance=distance)).withColumnRenamed("node", "fp")
     rooted = classes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = pin(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "labels")
-    return own.join(labels, "fp").select(*own.columns, "component_id")
+    labels = pin(rooted.select("fp", "root").join(least, "root").select("fp", "root", "component_id"), "labels")
+    return own.join(labels, "fp").select(*own.columns, "root", "component_id")

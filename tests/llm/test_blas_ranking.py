@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from siltstone.llm import blas_ranking
-from tests.llm.conftest import SCHEMA
+from llm.conftest import SCHEMA
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 UPPER = {c: c + 32 for c in range(65, 91)}

@@ -6,7 +6,7 @@ import pyarrow as pa
 
 from siltstone.llm import hyper_minhash
 from siltstone.llm.packed import chunks
-from tests.llm.conftest import SCHEMA
+from llm.conftest import SCHEMA
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UPPER = {c: c + 32 for c in range(65, 91)}

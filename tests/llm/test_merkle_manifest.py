@@ -2,7 +2,7 @@ import hashlib
 import zlib
 
 from siltstone.llm import merkle_manifest
-from tests.llm.conftest import SCHEMA, edge_rows
+from llm.conftest import SCHEMA, edge_rows
 
 COLUMNS = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 

@@ -9,6 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.conftest import SCHEMA, edge_rows, prose
 
+from pyspark.sql import functions as F
+
 from siltstone.llm import components, pareto_mix, positional_index, prefix_hash, simhash_gph, unit_dedup
 from siltstone.llm.queries import QUERIES
 
@@ -245,9 +247,16 @@ def test_unequal_probabilities_within_a_source(spark):
 
 
 def test_mix_of_edge_rows(clashing, no_docs):
-    sized = clashing.drop("size", "copies", "taken", "target").withColumn("size", pareto_mix.word_count("text"))
-    rows = pareto_mix.apply_plan(sized, pareto_mix.plan(sized)).collect()
+    sized = clashing.withColumn("size", pareto_mix.word_count("text"))
+    mixed = pareto_mix.apply_plan(sized, pareto_mix.plan(sized))
+    rows = mixed.filter("copies >= 0").collect()
     assert len(rows) == 13 and all(r.taken <= 3 * r.size for r in rows)
+    assert len(mixed.columns) == len(set(mixed.columns))
+    assert all(r.target > 0 and r.fp == "x" for r in rows if r.size)
+    with pytest.raises(ValueError, match="are results"):
+        pareto_mix.apply_plan(sized.withColumnRenamed("size", "taken"), pareto_mix.plan(sized), size="taken")
+    with pytest.raises(ValueError, match="_mix_"):
+        pareto_mix.apply_plan(sized.withColumn("_mix_bin", F.lit(1)), pareto_mix.plan(sized))
     none = no_docs.withColumn("size", pareto_mix.word_count("text"))
     assert pareto_mix.apply_plan(none, pareto_mix.plan(none)).count() == 0
 
@@ -358,6 +367,39 @@ def test_components_of_chains_stars_and_loops(spark):
 # ---- pipeline
 
 
+def test_near_copies_stage_against_brute_force(spark, sf_dir, documents):
+    import corpus_pipeline
+
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    root = plain_components([plain_print(t) for _, t in rows])
+    least = {}
+    for i, t in rows:
+        key = root[plain_print(t)]
+        least[key] = min(i, least.get(key, i))
+    stage = dict(corpus_pipeline.STAGES)["near_copies"]
+    assert sorted(r.doc_id for r in stage(spark, documents, sf_dir).collect()) == sorted(least.values())
+
+
+def test_leaks_and_mix_stages_against_their_operators_results(spark, sf_dir, documents):
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    hit = {r.doc_id for r in QUERIES["op8_positional_index"](spark, sf_dir).filter("contaminated").collect()}
+    kept = {r.doc_id for r in stages["benchmark_leaks"](spark, documents, sf_dir).collect()}
+    assert kept == {r.doc_id for r in documents.collect()} - hit and hit
+    mixed = {r.doc_id: (r.copies, r.taken) for r in QUERIES["op9_pareto_mix"](spark, sf_dir).filter("copies > 0").collect()}
+    assert {r.doc_id: (r.copies, r.taken) for r in stages["source_mix"](spark, documents, sf_dir).collect()} == mixed
+
+
+def test_two_runs_agree(spark, sf_dir):
+    import corpus_pipeline
+
+    def rows():
+        return sorted((tuple(r) for r in corpus_pipeline.run(spark, sf_dir).collect()), key=repr)
+
+    assert rows() == rows()
+
+
 def test_stages_keep_columns_and_take_effect(spark, sf_dir, documents):
     import corpus_pipeline
 
@@ -383,6 +425,10 @@ def test_stages_on_edge_rows(spark, edges, no_docs, tmp_path):
     extra = edges.selectExpr("*", "'x' as removed", "1 as hits", "'y' as _kept", "2 as copies")
     near = stages["near_copies"](spark, extra, str(tmp_path)).collect()
     assert sorted((r.doc_id for r in near), key=repr) == sorted([1, 2, 5, 6, 7, 9, 10, None], key=repr)
+    same_id = spark.createDataFrame([(7, prose(8, 50), "en", "a", 3), (7, prose(21, 50), "en", "a", 3), (7, prose(21, 50), "de", "a", 3)], edges.schema)
+    two = stages["near_copies"](spark, edges.union(same_id), str(tmp_path)).collect()
+    assert sorted((r.text for r in two if r.doc_id == 7)) == sorted([prose(8, 50), prose(21, 50)])
+    assert len(two) == len(near) + 1
     passages = stages["repeated_passages"](spark, extra, str(tmp_path)).collect()
     assert {5, 6, 7, 9, 1, 2} <= {r.doc_id for r in passages}
     assert all(r.n_chars == len(r.text) for r in passages if r.doc_id == 6)
