@@ -4,19 +4,20 @@ Each stage takes (spark, docs, sf_dir) and returns a frame; it is written as Par
 the next stage's docs. All stages but the last return the columns of documents (doc_id, text, lang,
 source, n_chars); the last adds copies, the number of times the mix holds a document.
 
-Nulls and ties follow the operators. A null text is a blank text. Rows that share an id count as one
-document: near_copies keeps one of them. Rows without an id are kept by near_copies unless their texts
-are equal, and rank last in repeated_passages; a leak in one of them removes them all.
+Nulls and ties follow the operators. A null text is a blank text. Rows that share an id are documents of
+their own: near_copies keeps one row of every group of linked texts, whatever their ids, and rows that are
+the same in every column are one. Rows without an id rank last in near_copies and repeated_passages; a
+leak in one of them removes them all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import pareto_mix, positional_index, rule_ensemble, shingle_copies, unit_dedup
+from siltstone.llm import pareto_mix, positional_index, rule_ensemble, simhash_gph, unit_dedup
 from siltstone.session import pin
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -35,13 +36,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter(rule_ensemble.score_column(model) >= ACCEPTED).select(*COLUMNS)
 
 
+def _row_key() -> Column:
+    """128 bits of all columns of a row: rows of one key are the same in every column."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x01")) for c in COLUMNS]
+    return F.md5(F.concat_ws("\x00", *parts).cast("binary"))
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group linked by a five-word shingle similarity of 0.8: the one with the smallest id."""
-    same = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce("text", F.lit("")))))
-    found = shingle_copies.similar_documents(docs, row=same)
-    kept = pin(found.filter("doc_id = component_id or doc_id is null").select(F.col("row").alias("_same")).distinct(), "kept")
+    """Keep one document of each group of linked SimHash fingerprints: the one with the smallest id, ties by digest."""
+    found = simhash_gph.near_duplicates(docs, row=_row_key())
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    kept = pin(first.select(F.col("first.row").alias("_same")), "kept")
     # Texts are dealt out once: by the key that is joined and then made unique.
-    own = docs.select(*COLUMNS, same.alias("_same")).join(kept, "_same", "left_semi")
+    own = docs.select(*COLUMNS, _row_key().alias("_same")).join(kept, "_same", "left_semi")
     return own.dropDuplicates(["_same"]).select(*COLUMNS)
 
 
