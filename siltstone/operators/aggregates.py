@@ -71,3 +71,20 @@ def rollup_by(df: DataFrame, columns: Sequence[str], amount: str) -> DataFrame:
     return df.groupBy(*columns).agg(
         F.count(F.lit(1)).alias("orders"), money(F.sum(amount)).alias("revenue")
     )
+
+
+def distinct_bitmaps(df: DataFrame, by: Sequence[str], key: str) -> DataFrame:
+    """(by, bucket, bits): which values of a dense, not negative number occur, as bitmaps of 32,768 values each.
+
+    Bitmaps of any groups can be joined to those of larger groups without the rows, and the counts stay exact.
+    Rows whose number is NULL are left out, as by a distinct count.
+    """
+    known = df.filter(F.col(key).isNotNull())
+    placed = known.select(*by, F.bitmap_bucket_number(key).alias("bucket"), F.bitmap_bit_position(key).alias("_place"))
+    return placed.groupBy(*by, "bucket").agg(F.bitmap_construct_agg("_place").alias("bits"))
+
+
+def distinct_from(bitmaps: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """Exact distinct counts of larger groups from the bitmaps of smaller ones."""
+    merged = bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return merged.groupBy(*by).agg(F.sum(F.bitmap_count("bits")).alias(name))

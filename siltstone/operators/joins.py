@@ -13,9 +13,10 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.operators.keys import placed_rows
 from siltstone.session import pin_sized
 
 # A batch of changes is sent to every executor if its files have at most this many bytes.
@@ -149,6 +150,48 @@ def asof_version(
     return keyed_join(df, versions, on, how, valid).select(*df.columns, *take)
 
 
+def asof_carried(
+    df: DataFrame,
+    dim: DataFrame,
+    on: Sequence[str],
+    ts: str,
+    take: Sequence[str],
+    closed: bool = True,
+    how: str = "inner",
+) -> DataFrame:
+    """`asof_version` for histories of any length, if the versions of a key do not overlap.
+
+    Rows and versions are sorted together by key and instant, and every row takes the last version before it.
+    A key with a hundred thousand versions, or a third of all rows, is cut by the range partitions like any
+    other; what is open at a cut is carried over as one version per partition. Nothing is multiplied.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"join type {how!r} is not supported")
+    present = reduce(and_, [F.col(c).isNotNull() for c in on])
+    held = F.struct(*take, F.col("valid_to").alias("_until"))
+    versions = dim.filter(present & F.col("valid_from").isNotNull()).select(*on, F.col("valid_from").alias("_at"), held.alias("_v"))
+    rows = df.select(*on, F.col(ts).alias("_at"), F.struct(*df.columns).alias("_fact"))
+    both = rows.unionByName(versions, allowMissingColumns=True)
+    is_row = F.col("_fact").isNotNull()
+    sorted_rows = placed_rows(both.withColumn("_is_row", is_row), [*on, "_at", "_is_row"])
+
+    before = Window.partitionBy("_part", *on).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.max_by(F.struct(*on, "_v"), F.when(F.col("_v").isNotNull(), F.col("_pos")))
+    ends = sorted_rows.groupBy("_part").agg(last.alias("_end"))  # one row per partition
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select("_part", F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
+    carried = sorted_rows.withColumn("_v", F.last("_v", ignorenulls=True).over(before)).filter("_is_row")
+    joined = carried.join(F.broadcast(carry), "_part")
+    same = reduce(and_, [F.col(f"_carry.{c}") == F.col(c) for c in on])
+    found = F.coalesce(F.col("_v"), F.when(same, F.col("_carry._v")))
+    joined = joined.select("_fact", "_at", found.alias("_v"))
+    end = F.col("_v._until")
+    valid = F.col("_v").isNotNull() & (end.isNull() | ((F.col("_at") <= end) if closed else (F.col("_at") < end)))
+    if how == "inner":
+        joined = joined.filter(valid)
+    return joined.select("_fact.*", *[F.when(valid, F.col(f"_v.{c}")).alias(c) for c in take])
+
+
 def left_on(df: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Left join of two large frames on several columns; `other` has unique keys."""
     return df.join(other, list(columns), "left")

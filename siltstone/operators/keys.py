@@ -19,7 +19,7 @@ from siltstone.session import pin
 _POSITION_BITS = 33
 
 
-def _placed(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+def placed_rows(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """Globally sorted rows with their partition (`_part`) and position in it (`_pos`).
 
     Range bounds come from a sample, so the placement is pinned before anything reads it twice.
@@ -59,7 +59,7 @@ def dense_key(
 
     `order` has to identify rows, otherwise numbers inside a tie are arbitrary.
     """
-    numbered = _with_offsets(_placed(df, order), {"rows": F.count(F.lit(1))})
+    numbered = _with_offsets(placed_rows(df, order), {"rows": F.count(F.lit(1))})
     key = F.col("_before_rows") + F.col("_pos") + F.lit(start)
     return numbered.select(key.cast("bigint").alias(name), *df.columns)
 
@@ -76,7 +76,7 @@ def running_totals(
     df: DataFrame, order: Sequence[str | Column], values: dict[str, Column]
 ) -> DataFrame:
     """Running sum (inclusive) of every value in global `order`."""
-    placed = _placed(df.withColumns(values), order)
+    placed = placed_rows(df.withColumns(values), order)
     numbered = _with_offsets(placed, {name: F.sum(name) for name in values})
     inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     return numbered.select(

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from siltstone.operators.keys import running_totals
+from siltstone.session import pin
 
 
 _TIE = "_tie"
@@ -73,22 +79,88 @@ def zorder_by(
     return placed.sortWithinPartitions(*within, "_z", *columns).drop("_z", _TIE)
 
 
+SORT_BITS = 8
+
+
+def dense_cell(key: str, count: int, bits: int) -> Column:
+    """Which of 2^bits equal stretches of 1 .. count the key lies in; NULL goes to the first."""
+    place = F.floor((F.col(key) - 1) * F.lit(1 << bits) / F.lit(max(count, 1)))
+    return F.coalesce(F.greatest(F.least(place, F.lit((1 << bits) - 1)), F.lit(0)), F.lit(0)).cast("bigint")
+
+
+def zorder_dense(df: DataFrame, keys: Mapping[str, int], within: Sequence[str] = (), cells: int = 64) -> DataFrame:
+    """As `zorder_by` for dense surrogate keys {column: highest key}, without looking at the data first.
+
+    Dense keys need no quantiles and no sampled ranges: a key's cell follows from its number. Rows of one of
+    `cells` cells (per combination of `within`) come together by hash; AQE merges small neighbours and splits
+    large cells, and inside a task rows lie in Morton order. The frame is computed once.
+    """
+    width = len(keys)
+    coarse = min(SORT_BITS, max(1, -(-(cells - 1).bit_length() // width)))
+    parts = [dense_cell(key, count, SORT_BITS) for key, count in keys.items()]
+    pieces = [
+        F.shiftleft(F.shiftright(part, bit).bitwiseAND(F.lit(1)), bit * width + place)
+        for bit in range(SORT_BITS)
+        for place, part in enumerate(parts)
+    ]
+    keyed = df.withColumn("_z", reduce(lambda x, y: x.bitwiseOR(y), pieces))
+    keyed = keyed.withColumn("_cell", F.shiftright("_z", (SORT_BITS - coarse) * width))
+    return keyed.hint("rebalance", *within, "_cell").sortWithinPartitions(*within, "_z", *keys).drop("_z", "_cell")
+
+
+def file_ranges(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """(file_path, row_count, min_value, max_value) of every Parquet file, from the footers alone.
+
+    Tasks open the footers on file systems that Arrow knows. Files whose footers hold no range for the column
+    (some writers and types leave it out) are scanned; so is everything on other file systems.
+    """
+    table = spark.read.parquet(path)
+    kind = table.schema[column].dataType
+    arrow_kind = to_arrow_type(kind)
+
+    def run(batches):
+        for batch in batches:
+            files, counts, lows, highs, known = [], [], [], [], []
+            for name in batch.column(0).to_pylist():
+                scheme, _, rest = name.partition(":")
+                try:
+                    fs, place = (pafs.LocalFileSystem(), "/" + rest.lstrip("/")) if scheme == "file" else pafs.FileSystem.from_uri(name)
+                    footer = pq.read_metadata(place, filesystem=fs)
+                except (pa.ArrowInvalid, OSError):
+                    files, counts, lows, highs, known = [*files, name], [*counts, None], [*lows, None], [*highs, None], [*known, False]
+                    continue
+                groups = [footer.row_group(k) for k in range(footer.num_row_groups)]
+                stats = [g.column(k).statistics for g in groups for k in range(g.num_columns) if g.column(k).path_in_schema == column]
+                held = [x for x in stats if x is not None and x.has_min_max]
+                blank = [x for x in stats if x is not None and not x.has_min_max and x.has_null_count and x.num_values == 0]
+                files.append(name)
+                counts.append(footer.num_rows)
+                lows.append(min((x.min for x in held), default=None))
+                highs.append(max((x.max for x in held), default=None))
+                known.append(len(stats) == len(groups) == len(held) + len(blank))
+            columns = [pa.array(files, pa.string()), pa.array(counts, pa.int64()), pa.array(lows, arrow_kind), pa.array(highs, arrow_kind), pa.array(known, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["file_path", "row_count", "min_value", "max_value", "known"])
+
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path")
+    out = T.StructType.fromDDL("file_path string, row_count bigint").add("min_value", kind).add("max_value", kind).add("known", "boolean")
+    found = pin(listing.mapInArrow(run, out), "footers")
+    rest = [r[0] for r in found.filter("not known").select("file_path").collect()]  # one entry per file without a range
+    found = found.filter("known").drop("known")
+    if not rest:
+        return found
+    scanned = spark.read.parquet(*rest).groupBy(F.col("_metadata.file_path").alias("file_path"))
+    return found.union(
+        scanned.agg(F.count(F.lit(1)).alias("row_count"), F.min(column).alias("min_value"), F.max(column).alias("max_value"))
+    )
+
+
 def clustering_info(spark: SparkSession, path: str, column: str) -> DataFrame:
     """Per file: rows, smallest and largest value, and how many files overlap its range.
 
     Overlaps are counted by a sweep: files that start at or before this file's end, less the files
     that end before it starts.
     """
-    files = (
-        spark.read.parquet(path)
-        .groupBy(F.col("_metadata.file_path").alias("file_path"))
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.min(column).alias("min_value"),
-            F.max(column).alias("max_value"),
-        )
-        .filter(F.col("min_value").isNotNull())
-    )
+    files = file_ranges(spark, path, column).filter(F.col("min_value").isNotNull())
     start = F.struct(F.col("min_value").alias("at"), F.lit(0).alias("is_end"))
     end = F.struct(F.col("max_value").alias("at"), F.lit(1).alias("is_end"))
     marks = files.withColumn("mark", F.explode(F.array(start, end)))

@@ -22,7 +22,7 @@ VERSION_COLUMNS = ("valid_from", "valid_to", "is_current")
 Interval = Literal["half_open", "closed_day"]
 
 
-def _end_of(opening: Column, interval: Interval) -> Column:
+def end_of(opening: Column, interval: Interval) -> Column:
     """`valid_to` of the version that ends when the next one opens."""
     return F.date_sub(opening, 1) if interval == "closed_day" else opening
 
@@ -35,7 +35,7 @@ def open_versions(delta: DataFrame, ts: str, run_ts: Column | None = None) -> Da
     return delta.withColumns(opened).drop(ts)
 
 
-def _decide(pairs: DataFrame, ts: str, differs: Differs) -> DataFrame:
+def decide(pairs: DataFrame, ts: str, differs: Differs) -> DataFrame:
     """Mark pairs whose tracked attributes differ, and those of them that are too old."""
     both = F.col("d").isNotNull() & F.col("s").isNotNull()
     differing = both & F.coalesce(differs("d", "s"), F.lit(False))
@@ -74,7 +74,7 @@ def scd2_apply(
     delta, size = pin_sized(delta, "batch")
 
     def decided(all_targets: bool) -> DataFrame:
-        pairs = _decide(pair_rows(current, delta, key, all_targets, size), ts, differs)
+        pairs = decide(pair_rows(current, delta, key, all_targets, size), ts, differs)
         applies = F.col("_differs") & ~F.col("_late") if late == "reject" else F.col("_differs")
         return pairs.withColumn("_replaces", applies)
 
@@ -93,7 +93,7 @@ def scd2_apply(
             is_open.alias("is_current"),
         )
 
-    closed_end = F.when(replaces, _end_of(opening, interval)).otherwise(F.col("d.valid_to"))
+    closed_end = F.when(replaces, end_of(opening, interval)).otherwise(F.col("d.valid_to"))
     kept = F.when(in_dim, version("d", F.col("d.valid_from"), closed_end, ~replaces))
     opened = F.when(
         in_delta & (~in_dim | replaces), version("s", opening, F.lit(None), F.lit(True))
@@ -114,7 +114,7 @@ def late_changes(
     """Changes that `scd2_apply(late="reject")` leaves out."""
     differs = tracked if callable(tracked) else changed(tracked)
     current = dim.filter(F.col("is_current"))
-    pairs = _decide(pair_rows(current, delta, key, all_targets=False), ts, differs)
+    pairs = decide(pair_rows(current, delta, key, all_targets=False), ts, differs)
     return pairs.filter("_late").select("s.*")
 
 
@@ -166,7 +166,7 @@ def scd2_from_log(
         *attributes,
         F.col(batch),
         F.col(ts).alias("valid_from"),
-        _end_of(following, interval).alias("valid_to"),
+        end_of(following, interval).alias("valid_to"),
         following.isNull().alias("is_current"),
     )
 

@@ -7,13 +7,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.operators.layout import zorder_by
+from siltstone.operators.layout import zorder_dense
 from siltstone.operators.quality import DataQualityError
 from siltstone.plans import retail
-from siltstone.session import pin
+from siltstone.session import scratch
 from siltstone.sources import tables
 from siltstone.sources.evolve import RESCUED
 from siltstone.sources.files import INGEST_TS, SOURCE_FILE
@@ -100,25 +100,63 @@ def quarantined_sales(spark: SparkSession, base: str) -> DataFrame:
     return rows.filter(F.col("side") == "quarantine").drop("side")
 
 
-def gold(spark: SparkSession, base: str, files: int | None = None) -> None:
-    """Dimensions and facts. The sales fact is partitioned by month and in Morton order inside."""
+# A partition of the fact should hold at least this many rows; with fewer, partitions are months instead of days.
+ROWS_PER_DAY = 200_000
+_MONTH = "month_key"
+
+
+def month_of(key: str = "date_key") -> Column:
+    return (F.col(key) / 100).cast("int").alias(_MONTH)
+
+
+def by_grain(fact: DataFrame, grain: str) -> tuple[DataFrame, str]:
+    """The fact with its partition column, and the name of that column."""
+    return (fact, "date_key") if grain == "day" else (fact.withColumn(_MONTH, month_of()), _MONTH)
+
+
+def gold(spark: SparkSession, base: str, grain: str | None = None) -> None:
+    """Dimensions and facts. Facts are partitioned by date (`grain` "day") or by month, and lie in Morton order of
+    their dense product and store keys inside a partition.
+
+    Without `grain` it follows from the rows per date. Each fact is computed and written in one pass: the
+    layout needs no look at the data, as the keys are dense.
+    """
+    with scratch(spark, "gold"):
+        _gold(spark, base, grain)
+
+
+def _gold(spark: SparkSession, base: str, grain: str | None) -> None:
     sales = clean_sales(spark, base)
     products = retail.dim_product(tables.read_current(spark, f"{base}/silver/products"))
     tables.write_overwrite(products, f"{base}/gold/dim_product")
     tables.write_overwrite(retail.dim_store(sales), f"{base}/gold/dim_store")
-    tables.write_overwrite(retail.dim_date(sales, "txn_ts"), f"{base}/gold/dim_date")
-    products = tables.read_current(spark, f"{base}/gold/dim_product")
-    stores = tables.read_current(spark, f"{base}/gold/dim_store")
+    dates = retail.dim_date(sales, "txn_ts").withColumn(_MONTH, month_of())
+    tables.write_overwrite(dates, f"{base}/gold/dim_date")
+    products, stores, dates = (tables.read_current(spark, f"{base}/gold/{n}") for n in ("dim_product", "dim_store", "dim_date"))
 
-    fact = pin(retail.fact_sales(sales, products, stores), "fact-sales")
-    monthly = fact.withColumn("month_key", (F.col("date_key") / 100).cast("int"))
-    laid_out = zorder_by(monthly, ["product_key", "store_key"], files, within=["month_key"])
-    laid_out.write.mode("overwrite").partitionBy("month_key").parquet(f"{base}/gold/fact_sales")
+    keys = {"product_key": products.count(), "store_key": stores.count()}
+    if grain is None:
+        grain = "day" if sales.count() >= ROWS_PER_DAY * max(dates.count(), 1) else "month"
+    fact, part = by_grain(retail.fact_sales(sales, products, stores), grain)
+    laid_out = zorder_dense(fact, keys, within=[part])
+    laid_out.write.mode("overwrite").partitionBy(part).parquet(f"{base}/gold/fact_sales")
 
     clicks = tables.read_current(spark, f"{base}/silver/clicks")
-    daily = retail.fact_clickstream_daily(clicks, products)
-    daily = daily.withColumn("month_key", (F.col("date_key") / 100).cast("int"))
-    tables.write_partitioned(daily, f"{base}/gold/fact_clickstream_daily", ["month_key"])
+    daily, part = by_grain(retail.fact_clickstream_daily(clicks, products), grain)
+    laid_out = zorder_dense(daily, {"product_key": keys["product_key"]}, within=[part], cells=8)
+    laid_out.write.mode("overwrite").partitionBy(part).parquet(f"{base}/gold/fact_clickstream_daily")
+
+
+def within_dates(fact: DataFrame, low: int, high: int) -> DataFrame:
+    """Rows of the date keys `low` to `high`; partitions of other dates or months are not opened."""
+    rows = fact.filter(F.col("date_key").between(low, high))
+    return rows.filter(F.col(_MONTH).between(low // 100, high // 100)) if _MONTH in fact.columns else rows
+
+
+def on_dates(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """Rows of the dates in `dates` (any filter of the date dimension), which prunes partitions at run time."""
+    on = [c for c in ("date_key", _MONTH) if c in fact.columns]
+    return fact.join(dates.select(*on), on, "left_semi")
 
 
 def read_star(spark: SparkSession, base: str) -> dict[str, DataFrame]:

@@ -14,6 +14,7 @@ from siltstone.operators.joins import lookup_current
 from siltstone.operators.keys import dense_key
 from siltstone.operators.merge import late_changes, open_versions, scd2_apply, upsert
 from siltstone.operators.sets import ordered
+from siltstone.streaming.dimension import Dimension
 
 # Fixed values of the order model.
 TRACKED = ("city", "email", "phone", "full_name")
@@ -77,6 +78,11 @@ def merge_customers(dim: DataFrame, batch: DataFrame, run_ts: Column | None = No
     )
 
 
+def customer_dimension(base: str, count: int = 64) -> Dimension:
+    """The customer dimension kept on disk, for batches at the cost of what they change."""
+    return Dimension(base, ("customer_id",), TRACKED, "updated_at", CUSTOMER_KEY, count)
+
+
 def late_customers(dim: DataFrame, batch: DataFrame) -> DataFrame:
     """Changes of a batch that are older than the customer's current version, which are not applied."""
     return late_changes(dim, customer_changes(batch), ["customer_id"], TRACKED, "updated_at")

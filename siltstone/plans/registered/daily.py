@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.columns import is_blank
-from siltstone.operators.joins import asof_version, attach_keys, left_on
+from siltstone.operators.joins import asof_carried, asof_version, attach_keys, left_on
 from siltstone.operators.merge import merge_actions
 from siltstone.operators.quality import acceptance, dq_log, load_log
 from siltstone.plans import daily, daily_job, shapes
@@ -130,6 +130,22 @@ def asof(spark, d):
     )
 
 
+@query(
+    "asof_carried_join",
+    """select s.business_date, s.store_id, s.item_id, h.menu_item_key, h.unit_price as version_price
+       from daily_silver s join item_hist h on h.item_id = s.item_id
+         and s.business_date >= h.valid_from
+         and (h.valid_to is null or s.business_date <= h.valid_to)""",
+)
+def asof_sorted(spark, d):
+    """The same lookup by one sort of rows and versions together."""
+    rows = pin(silver_sales(spark, d), "silver-daily")
+    items = daily.dim_menu_item(rows).withColumnRenamed("unit_price", "version_price")
+    return asof_carried(
+        rows.select(*daily.GRAIN), items, ["item_id"], "business_date", ["menu_item_key", "version_price"]
+    )
+
+
 @query(
     "scd2_daily",
     "select item_id, item_name, category, unit_price, valid_from, valid_to, is_current from item_hist",
@@ -277,7 +293,7 @@ def acceptance_checks(spark, d):
     "daily_pipeline",
     f"""with days as (
           select business_date from ({_NULL_KEYS} union all {_DUPLICATES} union all {_REFERENTIAL})
-          group by 1 having bool_and(passed) order by 1 desc limit 2)
+          group by 1 having bool_and(passed))
         select f.date_key, count(*) as fact_rows, cast(sum(f.gross_sales) as decimal(18,2)) as gross_sales,
                cast(sum(f.waste_cost) as decimal(18,2)) as waste_cost, count(distinct h.item_id) as items,
                0 as changed_by_rerun
@@ -285,20 +301,12 @@ def acceptance_checks(spark, d):
         where f.date_key in (select cast(strftime(business_date, '%Y%m%d') as int) from days) group by 1""",
 )
 def daily_pipeline(spark, d):
-    """The last two dates whose gates hold, run as daily jobs; the last one is run twice."""
+    """Every date whose gates hold: a backfill, the last two dates as single jobs, and the last one run again."""
     base = scratch_path(spark, "daily")
     known = pin(known_items(spark, d), "items")
     stores = pin(daily.dim_store(shapes.daily_stores(spark, d)), "stores")
-    gates = daily.gates_in_one_pass(raw_sales(spark, d), known)
-    passing = gates.groupBy("business_date").agg(F.bool_and("passed").alias("ok")).filter("ok")
-    days = sorted(r["business_date"] for r in passing.orderBy(F.desc("business_date")).limit(2).collect())
-
-    def run(day):
-        inputs = raw_sales(spark, d), shapes.daily_inventory_raw(spark, d)
-        daily_job.run_day(spark, base, day, *inputs, stores, known, shapes.DAILY_ORDER)
-
-    for day in days:
-        run(day)
+    inputs = pin(raw_sales(spark, d), "raw-sales"), shapes.daily_inventory_raw(spark, d), stores, known, shapes.DAILY_ORDER
+    days = daily_job.catch_up(spark, base, *inputs, single=2)
 
     def state():
         items = spark.read.parquet(tables.version_path(f"{base}/dim_item", tables.versions(spark, f"{base}/dim_item")[-1]))
@@ -306,7 +314,7 @@ def daily_pipeline(spark, d):
         return pin(facts.join(items.select("menu_item_key", "item_id", "valid_from", "valid_to"), "menu_item_key"), "state")
 
     before = state()
-    run(days[-1])
+    daily_job.run_day(spark, base, days[-1], *inputs)
     after = state()
     moved = before.exceptAll(after).union(after.exceptAll(before)).groupBy("date_key").count()
     totals = after.groupBy("date_key").agg(

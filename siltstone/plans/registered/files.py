@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from siltstone.plans import shapes
 from siltstone.plans.registry import query
-from siltstone.session import scratch_path
-from siltstone.sources import files, tables
+from siltstone.session import scratch, scratch_path, temp_view
+from siltstone.sources import files, storage, tables
 from siltstone.sources.evolve import read_evolving_csv
 from siltstone.streaming import ingest as streams
 
@@ -66,7 +66,7 @@ def scan_csv(spark, d):
 def scan_jsonl(spark, d):
     path = scratch_path(spark, "landing")
     shapes.clicks_raw(spark, d).select(*shapes.CLICK_COLUMNS).write.json(path)
-    return files.read_raw_jsonl(spark, path, _CLICK_SCHEMA)
+    return files.read_raw_jsonl(spark, path, _CLICK_SCHEMA).select(*shapes.CLICK_COLUMNS)
 
 
 @query("scan_json_array", "select sku, name, category, brand, list_price, updated_at from products_raw")
@@ -442,6 +442,26 @@ def append_select(spark, d):
     return spark.read.parquet(path)
 
 
+@query(
+    "temp_view",
+    f"""select {_MONTH} as month_key, count(*) as orders, count(distinct o_custkey) as customers,
+               cast(0 as bigint) as scratch_left from orders group by 1""",
+)
+def staged(spark, d):
+    """Orders staged under a name, read twice by SQL, and gone with the job's scratch folder."""
+    path = scratch_path(spark, "table")
+    with scratch(spark, "staging") as folder:
+        day = F.col("o_orderdate")
+        rows = shapes.table(spark, d, "orders").select("o_custkey", (F.year(day) * 100 + F.month(day)).cast("int").alias("month_key"))
+        temp_view(rows, "staged_orders")
+        counts = spark.sql("select month_key, count(*) as orders from staged_orders group by 1")
+        buyers = spark.sql("select month_key, count(distinct o_custkey) as customers from staged_orders group by 1")
+        counts.join(buyers, "month_key").write.parquet(path)
+        spark.catalog.dropTempView("staged_orders")
+    left = int(storage.exists(spark, folder))
+    return spark.read.parquet(path).withColumn("scratch_left", F.lit(left).cast("bigint"))
+
+
 @query(
     "upsert_partitions",
     """select o_orderkey, case when o_orderkey % 7 = 0 then 'X' else o_orderstatus end as status,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltstone.operators.layout import cluster_by, clustering_info, zorder_by
+from siltstone.operators.layout import cluster_by, clustering_info, zorder_by, zorder_dense
 from siltstone.plans import shapes
 from siltstone.plans.registry import query
 from siltstone.session import scratch_path
@@ -51,3 +51,11 @@ def info(spark, d):
         F.max("max_value").alias("max_value"),
         F.count_if(F.col("overlap_depth") < 1).cast("int").alias("files_without_own_range"),
     )
+
+
+@query("dense_layout", "select l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem")
+def dense(spark, d):
+    """Part and supplier numbers are dense: no look at the rows before they are placed."""
+    rows = shapes.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    keys = {"l_partkey": shapes.table(spark, d, "part").count(), "l_suppkey": shapes.table(spark, d, "supplier").count()}
+    return spark.read.parquet(_written(spark, zorder_dense(rows, keys), "dense"))

@@ -22,8 +22,10 @@ from siltstone.operators.sets import union_labelled
 from siltstone.plans import orders, shapes
 from siltstone.plans.registry import query
 from siltstone.session import pin, scratch_path
+from siltstone.sources import tables
 from siltstone.sources.tables import update_where
 from siltstone.streaming import warehouse
+from siltstone.streaming.dimension import Dimension
 
 BATCHES = (1, 2, 3)
 VERSION = ["customer_sk", *shapes.CUSTOMER_COLUMNS[:-1], "valid_from", "valid_to", "is_current"]
@@ -43,13 +45,19 @@ def batch_of(df: DataFrame, batch: int) -> DataFrame:
     return df.filter(F.col("batch") == batch).drop("batch")
 
 
+def kept_customers(spark: SparkSession, d: str) -> Dimension:
+    """The dimension on disk after the baseline."""
+    kept = orders.customer_dimension(scratch_path(spark, "customers"), count=16)
+    kept.start(orders.customer_changes(batch_of(customers(spark, d), 0)))
+    return kept
+
+
 def customer_dim(spark: SparkSession, d: str, upto: int = BATCHES[-1]) -> DataFrame:
     """Dimension after applying the batches one after the other."""
-    raw = customers(spark, d)
-    dim = orders.first_customers(batch_of(raw, 0))
+    raw, kept = customers(spark, d), kept_customers(spark, d)
     for batch in BATCHES[:upto]:
-        dim = pin(orders.merge_customers(dim, batch_of(raw, batch)), "customer-dim")
-    return dim
+        kept.apply(orders.customer_changes(batch_of(raw, batch)), batch + 1)
+    return kept.versions(spark)
 
 
 def customer_log(spark: SparkSession, d: str) -> DataFrame:
@@ -214,14 +222,20 @@ def lookup_current_version(spark, d):
 def fact_upsert(spark, d):
     """Orders after four batches, each looking up the customer versions of its own time."""
     customer_rows, order_rows = customers(spark, d), shapes.orders_raw(spark, d)
-    dim = orders.first_customers(batch_of(customer_rows, 0))
-    fact = orders.order_facts(batch_of(order_rows, 0), dim, run_ts())
+    kept, path = kept_customers(spark, d), scratch_path(spark, "orders")
+    schema = f"{orders.ORDER_FACT}, order_year int"
+
+    def facts(batch: int) -> DataFrame:
+        found = orders.order_facts(batch_of(order_rows, batch), kept.current(spark), run_ts(batch))
+        return found.withColumn("order_year", F.year("order_date"))
+
+    tables.write_partitioned(facts(0), path, ["order_year"])
     for batch in BATCHES:
-        dim = pin(orders.merge_customers(dim, batch_of(customer_rows, batch)), "customer-dim")
-        fact = pin(
-            orders.merge_orders(fact, batch_of(order_rows, batch), dim, run_ts(batch)), "order-fact"
+        kept.apply(orders.customer_changes(batch_of(customer_rows, batch)), batch + 1)
+        tables.upsert_partitions(
+            spark, path, facts(batch), ["order_id"], orders.UPDATED_ON_MATCH, "order_year", run_ts(batch), schema
         )
-    return fact
+    return spark.read.schema(schema).parquet(path).drop("order_year")
 
 
 @query(

@@ -8,6 +8,7 @@ from siltstone.operators import aggregates as A
 from siltstone.operators.sets import calendar_of, first_n, top_k
 from siltstone.plans import shapes
 from siltstone.plans.registry import query
+from siltstone.session import pin
 
 
 @query(
@@ -108,3 +109,18 @@ def ordered_limit(spark, d):
 )
 def calendar(spark, d):
     return calendar_of(shapes.table(spark, d, "orders"), "o_orderdate")
+
+
+@query(
+    "distinct_rollup",
+    """select event_type, cast(date_trunc('month', ts) as date) as month_start, count(distinct user_id) as users
+       from events group by all
+       union all select event_type, null, count(distinct user_id) from events group by 1""",
+)
+def distinct_rollup(spark, d):
+    """Users per day as bitmaps; months and the whole range are joined from the days."""
+    events = shapes.table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    days = pin(A.distinct_bitmaps(events, ["event_type", "day"], "user_id"), "user-days")
+    months = days.withColumn("month_start", F.trunc("day", "month"))
+    ever = A.distinct_from(days, ["event_type"], "users").withColumn("month_start", F.lit(None).cast("date"))
+    return A.distinct_from(months, ["event_type", "month_start"], "users").unionByName(ever)

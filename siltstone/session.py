@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +51,41 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+_OWNED: ContextVar[tuple[str, ...]] = ContextVar("owned", default=())
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared scratch folder."""
-    return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared scratch folder, inside a `scratch` block below the block's own folder."""
+    folders = [scratch_root(spark).rstrip("/"), *_OWNED.get()[-1:]]
+    return f"{'/'.join(folders)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str = "run") -> Iterator[str]:
+    """A job's own part of the scratch folder, removed when the job is done, also when it fails.
+
+    Everything that is pinned inside the block goes there, so results have to be written elsewhere (or read to
+    the end) before it closes. Blocks may be nested; other threads do not share them.
+    """
+    name = "/".join([*_OWNED.get()[-1:], f"{label}-{uuid.uuid4().hex}"])
+    path = f"{scratch_root(spark).rstrip('/')}/{name}"
+    token = _OWNED.set((*_OWNED.get(), name))
+    try:
+        yield path
+    finally:
+        _OWNED.reset(token)
+        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def temp_view(df: DataFrame, name: str) -> DataFrame:
+    """An intermediate table of this session under a name: written once, read by SQL or by frames.
+
+    It lives as long as its scratch block, or without one as long as the scratch folder.
+    """
+    held = pin(df, name)
+    held.createOrReplaceTempView(name)
+    return held
 
 
 def pin(df: DataFrame, label: str = "pinned") -> DataFrame:

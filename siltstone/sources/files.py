@@ -34,8 +34,13 @@ def read_raw_csv(
 
 
 def read_raw_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
-    """JSON Lines; files are splittable."""
-    return spark.read.option("recursiveFileLookup", True).schema(schema).json(path)
+    """JSON Lines; files are splittable. A line that cannot be read is kept as text in `_rescued_data`.
+
+    Fields that are not in `schema` are passed over; `evolve.rescue` keeps them.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.read.options(recursiveFileLookup=True, mode="PERMISSIVE", columnNameOfCorruptRecord=RESCUED)
+    return reader.schema(T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])).json(path)
 
 
 def read_raw_json_array(

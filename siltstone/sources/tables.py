@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from siltstone.operators.joins import keyed_join
 from siltstone.operators.merge import upsert
 from siltstone.session import pin
-from siltstone.sources import storage
+from siltstone.sources import key_index, storage
 
 _VERSION = "v="
 
@@ -68,6 +68,14 @@ def read_current(spark: SparkSession, base: str, version: int | None = None) ->
     return spark.read.parquet(version_path(base, done[-1] if version is None else version))
 
 
+def retire_versions(spark: SparkSession, base: str, keep: int = 2) -> list[int]:
+    """Remove all but the newest `keep` complete versions; returns the numbers of those removed."""
+    old = versions(spark, base)[:-keep]
+    for version in old:
+        storage.remove_folder(spark, version_path(base, version))
+    return old
+
+
 def _spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Bring rows of a partition together for few files; oversized partitions are split by AQE."""
     return df.hint("rebalance", *by)
@@ -135,19 +143,20 @@ def upsert_partitions(
 
     `schema` is needed if the table may still be without a file.
 
-    A first pass reads just the key and partition columns to find them. Rerunning after a failure
-    between two partitions gives the same table, since the upsert itself is idempotent. Returns the
-    number of rewritten partitions.
+    The index of `key_index` names the partitions that may hold a key of the source; their key columns are
+    read to see which do. Other partitions are not opened, nor are files listed one by one on the driver.
+    Files that other writers made since are read once and indexed. Rerunning after a failure between two
+    partitions gives the same table, since the upsert itself is idempotent. Returns the number of rewritten
+    partitions.
     """
     target = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     source = pin(source.select(*[c for c in target.columns if c in source.columns]), "batch")
-    matched = keyed_join(target.select(*key, partition), source.select(*key), key, "left_semi")
+    near, unknown = key_index.candidates(spark, target, path, source, key, partition)
+    near = target.filter(key_index.among(partition, near))
+    matched = keyed_join(near.select(*key, partition), source.select(*key), key, "left_semi")
     touched = matched.select(partition).union(source.select(partition)).distinct()
     values = [row[0] for row in touched.collect()]  # one entry per partition
-    hit = F.col(partition).isin([v for v in values if v is not None])
-    if None in values:
-        hit = F.coalesce(hit, F.lit(False)) | F.col(partition).isNull()
-    merged = upsert(target.filter(hit), source, key, update_columns, run_ts)
+    merged = upsert(target.filter(key_index.among(partition, values)), source, key, update_columns, run_ts)
     (
         _spread(merged, [partition])
         .write.mode("overwrite")
@@ -155,4 +164,6 @@ def upsert_partitions(
         .partitionBy(partition)
         .parquet(path)
     )
+    written = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    key_index.add_files(spark, written, path, key, partition, list(dict.fromkeys([*values, *unknown])))
     return len(values)

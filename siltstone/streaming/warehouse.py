@@ -7,9 +7,8 @@ upsert, so a batch that is repeated after a failure leaves the same tables.
 
 Tables below `base`:
 
-* `customers_current/v=N`: current versions after batch N-1, a new folder per batch;
-* `customers_closed/batch=N`: versions closed by batch N, never rewritten;
-* `customers_late/batch=N`: changes of batch N that are older than the current version, set aside;
+* `customers`: the dimension, its current versions in hash buckets, with closed versions and late changes
+  beside them (see `streaming.dimension`); a batch rewrites only the buckets it touches;
 * `orders/order_month=yyyyMM`: facts; a batch rewrites only the months it touches.
 """
 
@@ -22,20 +21,14 @@ from pyspark.sql import types as T
 from siltstone.plans.orders import (
     ORDER_FACT,
     UPDATED_ON_MATCH,
-    first_customers,
-    late_customers,
-    merge_customers,
+    customer_changes,
+    customer_dimension,
     order_facts,
 )
-from siltstone.session import pin
+from siltstone.session import scratch
 from siltstone.sources import storage
-from siltstone.sources.tables import (
-    read_current,
-    upsert_partitions,
-    version_path,
-    write_overwrite,
-    write_partitioned,
-)
+from siltstone.sources.tables import upsert_partitions, write_partitioned
+from siltstone.streaming.dimension import Dimension
 from siltstone.streaming.ingest import run_if_new_data
 
 FEED = "_feed"
@@ -56,29 +49,27 @@ def _with_month(facts: DataFrame) -> DataFrame:
     return facts.withColumn("order_month", month.cast("int"))
 
 
+def _customers(base: str) -> Dimension:
+    return customer_dimension(f"{base}/customers")
+
+
 def apply_batch(base: str, run_ts: Column | None = None):
     """Micro-batch function: dimension first, then fact."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        with scratch(batch.sparkSession, "batch"):  # intermediate tables go with the batch
+            change(batch, batch_id)
+
+    def change(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         customers = batch.filter(F.col(FEED) == "customers")
         orders = batch.filter(F.col(FEED) == "orders")
-        current, closed = f"{base}/customers_current", f"{base}/customers_closed"
+        kept, version = _customers(base), batch_id + 1
         if batch_id == 0:
-            write_overwrite(first_customers(customers, run_ts), current, version=1)
+            kept.start(customer_changes(customers), run_ts)
         else:
-            before = spark.read.parquet(version_path(current, batch_id))
-            late = late_customers(before, customers)
-            late.write.mode("overwrite").parquet(f"{base}/customers_late/batch={batch_id}")
-            merged = pin(merge_customers(before, customers, run_ts))
-            ended = merged.filter(~F.col("is_current"))
-            ended.write.mode("overwrite").parquet(f"{closed}/batch={batch_id}")
-            write_overwrite(merged.filter("is_current"), current, version=batch_id + 1)
-        dim = spark.read.parquet(version_path(current, batch_id + 1))
-        # Current rows are in the new version; a batch that is repeated reads the one before, nothing older.
-        if batch_id > 1:
-            storage.remove_folder(spark, version_path(current, batch_id - 1))
-        facts = _with_month(order_facts(orders, dim, run_ts))
+            kept.apply(customer_changes(customers), version, run_ts)
+        facts = _with_month(order_facts(orders, kept.current(spark, version), run_ts))
         if storage.exists(spark, f"{base}/orders/_SUCCESS"):
             upsert_partitions(
                 spark, f"{base}/orders", facts, ["order_id"], UPDATED_ON_MATCH, "order_month", run_ts, _FACT
@@ -101,17 +92,13 @@ def maintain(
 
 def read_customers(spark: SparkSession, base: str) -> DataFrame:
     """Current and closed versions."""
-    current = read_current(spark, f"{base}/customers_current")
-    closed = f"{base}/customers_closed"
-    if not storage.exists(spark, closed):
-        return current
-    return current.unionByName(spark.read.parquet(closed).drop("batch"))
+    return _customers(base).versions(spark)
 
 
-def read_late(spark: SparkSession, base: str) -> DataFrame | None:
-    """Late customer changes with their batch; None before the second batch."""
-    path = f"{base}/customers_late"
-    return spark.read.parquet(path) if storage.exists(spark, path) else None
+def read_late(spark: SparkSession, base: str) -> DataFrame:
+    """Customer changes that came after a newer version, as they came, with their batch; none is applied."""
+    found = _customers(base).late(spark).withColumnRenamed("valid_from", "updated_at")
+    return found.withColumn("batch", F.col("version") - 1).drop("version")
 
 
 def read_orders(spark: SparkSession, base: str) -> DataFrame:

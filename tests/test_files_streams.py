@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators.layout import cluster_by, clustering_info, pruned_files, zorder_by
 from siltstone.plans import shapes
-from siltstone.session import pin
+from siltstone.session import pin, scratch, temp_view
 from siltstone.sources import files, storage, tables
 from siltstone.sources.evolve import read_evolving_csv, rescue
 from siltstone.sources.headers import files_by_header
@@ -195,6 +195,29 @@ def test_upsert_partitions_leaves_other_partitions_alone(spark, tmp_path):
     assert set(os.listdir(f"{path}/m=2")) == untouched
 
 
+def test_scratch_of_a_job_goes_with_it(spark, tmp_path):
+    with scratch(spark, "job") as folder:
+        outer = pin(spark.range(3))
+        with scratch(spark, "part") as inner:
+            held = temp_view(spark.range(5), "five")
+            assert spark.sql("select count(*) from five").first()[0] == 5
+            assert inner.startswith(folder) and inner in held.inputFiles()[0]
+        assert not storage.exists(spark, inner)
+        assert outer.count() == 3 and folder in outer.inputFiles()[0]
+    assert not storage.exists(spark, folder)
+    with pytest.raises(RuntimeError), scratch(spark, "job") as folder:
+        pin(spark.range(1))
+        raise RuntimeError("lost")
+    assert not storage.exists(spark, folder)
+    assert folder not in pin(spark.range(1)).inputFiles()[0]
+
+
+def test_json_lines_that_cannot_be_read_are_kept(spark, tmp_path):
+    put(f"{tmp_path}/a.json", '{"a":"1","z":"2"}\n{"a":\nnot json\n\n{"a":null}\n')
+    got = files.read_raw_jsonl(spark, str(tmp_path), "a string")
+    assert rows(got, "a", "_rescued_data") == sorted([("1", None), (None, '{"a":'), (None, "not json"), (None, None)], key=repr)
+
+
 def test_pin_survives_as_a_table(spark):
     pinned = pin(spark.range(10).withColumn("r", F.rand()))
     assert rows(pinned) == rows(pinned)
