@@ -43,11 +43,13 @@ def _schema(key: T.StructType, partition: T.DataType) -> T.StructType:
 
 
 def live_files(spark: SparkSession, path: str, partition: str, kind: T.DataType) -> DataFrame:
-    """(file, part): the data files that are there now, from the listing alone."""
-    listed = T.StructType.fromDDL("path string, modificationTime timestamp, length bigint, content binary").add(partition, kind)
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").schema(listed).load(path)
-    part = F.col(partition)
-    return listing.select(_file(part, F.element_at(F.split("path", "/"), -1)).alias("file"), part.alias("part"))
+    """(file, part): the data files that are there now, from the listing alone; none for a table without files."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+    folder = F.regexp_extract("path", f"/{partition}=([^/]*)/[^/]*$", 1)
+    value = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))).cast(kind)  # folders write odd characters as %XX
+    part = F.when(folder != "__HIVE_DEFAULT_PARTITION__", value)
+    live = listing.load(path).filter(~F.col("path").contains("/_keys")).select("path", part.alias("part"))
+    return live.select(_file(F.col("part"), F.element_at(F.split("path", "/"), -1)).alias("file"), "part")
 
 
 def read_index(spark: SparkSession, path: str, key: T.StructType, partition: T.DataType) -> DataFrame:

@@ -164,6 +164,20 @@ def test_the_filter_never_misses_and_seldom_errs(spark, tmp_path):
         assert opened <= (8 if known else 0) + 2
 
 
+def test_partition_values_with_odd_characters(spark, tmp_path):
+    path = str(tmp_path / "t")
+    values = ["a b", "x/y", "1+1", "100%", "k=v", "007", "ü:ö"]
+    df = spark.createDataFrame([(f"k{i}", "x", v) for i, v in enumerate(values)], "id string, s string, m string")
+    tables.write_partitioned(df, path, ["m"])
+    assert sorted(r.part for r in key_index.live_files(spark, path, "m", df.schema["m"].dataType).collect()) == sorted(values)
+    source = df.filter("id in ('k1', 'k5')").withColumn("s", F.lit("y"))
+    for _ in range(2):
+        tables.upsert_partitions(spark, path, source, ["id"], ["s"], "m", schema=df.schema)
+    assert rows(spark.read.schema(df.schema).parquet(path), "id", "s", "m") == [
+        (f"k{i}", "y" if i in (1, 5) else "x", v) for i, v in enumerate(values)
+    ]
+
+
 def test_files_of_other_writers_are_found(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("a", "x", 1), ("b", "x", 2), ("c", "x", None)], "id string, s string, m int")
