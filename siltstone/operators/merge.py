@@ -178,13 +178,14 @@ def upsert(
     update_columns: Sequence[str],
     run_ts: Column | None = None,
     stamp: str | None = "_updated_at",
+    size: int | None = None,
 ) -> DataFrame:
     """Matched rows take only `update_columns` (and the stamp) from the source; others are inserted.
 
-    Applying the same source twice gives the same rows.
+    Applying the same source twice gives the same rows. `size` is given if the source is pinned already.
     """
     now = F.localtimestamp() if run_ts is None else run_ts
-    pairs = pair_rows(target, source, key)
+    pairs = pair_rows(target, source, key, size=size)
     in_target, in_source = F.col("d").isNotNull(), F.col("s").isNotNull()
 
     def value(c: str) -> Column:

@@ -99,12 +99,14 @@ def candidates(
     """
     kind = table.schema[partition].dataType
     files = live_files(spark, path, partition, kind)
-    held = read_index(spark, path, table.select(*key).schema, kind).join(files.select("file"), "file", "left_semi")
-    unknown = files.join(held.select("file").distinct(), "file", "left_anti")
-    unknown = [r[0] for r in unknown.select("part").distinct().collect()]
-    sizes = [r[0] for r in held.select("slots").distinct().collect()]  # powers of two
+    index = read_index(spark, path, table.select(*key).schema, kind)
+    entries = index.groupBy("file").agg(F.max("slots").alias("slots"))
+    known = files.join(entries, "file", "left").select("part", "slots").distinct().collect()  # slots are powers of two
+    unknown = list(dict.fromkeys(r["part"] for r in known if r["slots"] is None))
+    sizes = {r["slots"] for r in known} - {None}
     if not sizes:
         return unknown, unknown
+    held = index.join(files.select("file"), "file", "left_semi")
     slots = F.explode(F.array(*[F.lit(n).cast("bigint") for n in sorted(sizes)]))
     asked = keys.select(*key, slots.alias("slots"))
     asked = asked.select("slots", _slot(key, F.col("slots")).alias("slot"), F.struct(*key).alias("_key"), F.array(*_places(key)).alias("_places"))

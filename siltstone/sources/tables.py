@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from siltstone.operators.joins import keyed_join
 from siltstone.operators.merge import upsert
-from siltstone.session import pin
+from siltstone.session import pin, pin_sized
 from siltstone.sources import key_index, storage
 
 _VERSION = "v="
@@ -150,13 +150,13 @@ def upsert_partitions(
     partitions.
     """
     target = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
-    source = pin(source.select(*[c for c in target.columns if c in source.columns]), "batch")
+    source, size = pin_sized(source.select(*[c for c in target.columns if c in source.columns]), "batch")
     near, unknown = key_index.candidates(spark, target, path, source, key, partition)
     near = target.filter(key_index.among(partition, near))
     matched = keyed_join(near.select(*key, partition), source.select(*key), key, "left_semi")
     touched = matched.select(partition).union(source.select(partition)).distinct()
     values = [row[0] for row in touched.collect()]  # one entry per partition
-    merged = upsert(target.filter(key_index.among(partition, values)), source, key, update_columns, run_ts)
+    merged = upsert(target.filter(key_index.among(partition, values)), source, key, update_columns, run_ts, size=size)
     (
         _spread(merged, [partition])
         .write.mode("overwrite")

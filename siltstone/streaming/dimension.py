@@ -13,7 +13,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,18 @@ from siltstone.session import pin
 from siltstone.sources import buckets, storage
 
 
+# So many new versions are numbered by one sort in one task; more of them by ranges.
+ONE_TASK = 50_000
+
+
+def _numbered(rows: DataFrame, key: Sequence[str], name: str, start: int, count: int) -> DataFrame:
+    """Consecutive numbers from `start` in key order; `count` is the number of rows."""
+    if count > ONE_TASK:
+        return dense_key(rows, key, name, start=start)
+    place = F.row_number().over(Window.orderBy(*key)) + F.lit(start - 1)
+    return rows.select(place.cast("bigint").alias(name), *rows.columns)
+
+
 @dataclass(frozen=True)
 class Dimension:
     """`key`, `tracked` and `ts` as in `merge.scd2_apply`; `surrogate` numbers versions in the order they came."""
@@ -62,9 +74,10 @@ class Dimension:
         decided = pin(decided.filter("d is null or _differs"), "decided")
         replaces = F.col("_differs") & ~F.col("_late")
 
-        opened = open_versions(decided.filter(F.col("d").isNull() | replaces).select("s.*"), self.ts)
-        opened = dense_key(opened, key, self.surrogate, start=before.notes["last_key"] + 1)
-        counts = opened.groupBy(buckets.bucket_of(key, before.count).alias("b")).count().collect()  # a number per bucket
+        opens = decided.filter(F.col("d").isNull() | replaces).select("s.*")
+        counts = opens.groupBy(buckets.bucket_of(key, before.count).alias("b")).count().collect()  # a number per bucket
+        total, start = sum(r["count"] for r in counts), before.notes["last_key"] + 1
+        opened = _numbered(open_versions(opens, self.ts), key, self.surrogate, start, total)
         kind = F.when(F.col("_late"), "late").otherwise("closed")
         ends = F.when(replaces, end_of(F.col(f"s.{self.ts}"), self.interval))
         closed = [
@@ -84,8 +97,7 @@ class Dimension:
         gone = decided.filter(replaces).select(*[F.col(f"s.{k}").alias(k) for k in key])
         stays = buckets.read(spark, f"{self.base}/current", schema, version - 1, written).join(gone, key, "left_anti")
         after = stays.unionByName(opened.select(*schema.names)).select(*schema.names)
-        last = before.notes["last_key"] + sum(r["count"] for r in counts)
-        buckets.write(after, f"{self.base}/current", key, before, written, last_key=last)
+        buckets.write(after, f"{self.base}/current", key, before, written, last_key=start - 1 + total)
         buckets.retire(spark, f"{self.base}/current")
 
     def _schema(self, spark: SparkSession) -> T.StructType:
