@@ -15,11 +15,17 @@ SLACK below the threshold go, which a pair at the threshold does with a probabil
 are compared on their full sets.
 
 Only components are asked for, so a key's classes need not be compared all with all. Keys with at most
-SMALL classes are compared in pairs; in the others everything is compared with one pivot, linked classes
-become components, and then, round by round, classes outside of a key's largest component become pivots
-and meet the classes of other components until no two components are left to compare. A large group of
-near copies takes one round and work in proportion to its size; no pair that shares a key and could join
-two components is left out.
+SMALL classes are compared in pairs. In a larger one everything is compared with one pivot, the class that
+shares the most keys with the most others; in a group of near copies that is one close to their common
+origin, and linked classes become components. Keys that still hold several components are narrowed down
+by two exact bounds. A class cannot have more in common with another than those of its shingles that occur
+in any other class of these keys at all. And, with the keys of one largest component taken together and p
+the shingles that most of their classes have: two sets that share no shingle outside p have at most as much
+in common as either has with p. So a pair is left if both overlap p enough, or if it shares one of the rare
+shingles outside p; these make new, small keys. In what large keys there are among them, classes outside of
+the largest component become pivots, round by round, and meet the classes of other components that the
+bounds allow, until no two components are left to compare. No pair that shares a key and could join two
+components is left out.
 
 Nulls, blanks and ties: a text without words has an empty set and is linked with nothing. Rows may repeat;
 a null id takes part, and a component's id is the smallest id that is not null (null if there is none). An
@@ -244,45 +250,151 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("cls <> other").select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
 
 
-def links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are links: estimated from registers, then confirmed on the full sets."""
+def links(
+    docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, percent: int, sets: DataFrame | None = None
+) -> DataFrame:
+    """The pairs (a, b) that are links: estimated from registers, then confirmed on the full sets.
+
+    The sets are drawn from the texts, unless `sets` (cls, held) has them already.
+    """
     likely = pin(_likely(pairs, classes, percent / 100), "likely")
-    asked = likely.select(F.col("a").alias("cls")).union(likely.select(F.col("b").alias("cls"))).distinct()
-    asked = pin(classes.select("cls", "digest", "least").join(asked, "cls", "left_semi"), "asked")
-    ids = asked.select(F.col("least").alias("_asked")).distinct()
-    rows = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_asked")), "left_semi")
-    # Rows that share an id may have other texts: the digest decides again.
-    sets = pin(_sets(rows, shingle).join(asked.select("cls", "digest"), "digest").select("cls", "held").dropDuplicates(["cls"]), "sets")
+    if sets is None:
+        asked = likely.select(F.col("a").alias("cls")).union(likely.select(F.col("b").alias("cls"))).distinct()
+        sets = _class_sets(docs, classes, asked, shingle)
     first = likely.join(sets.select(F.col("cls").alias("a"), F.col("held").alias("x")), "a")
     both = first.join(sets.select(F.col("cls").alias("b"), F.col("held").alias("y")), "b")
     return _similar(both, percent)
 
 
+def _class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(cls, held): the sets of the classes `wanted` (cls), from one text each."""
+    asked = pin(classes.select("cls", "digest", "least").join(wanted, "cls", "left_semi"), "asked")
+    ids = asked.select(F.col("least").alias("_asked")).distinct()
+    # Rows that share an id may have other texts: the digest decides again.
+    rows = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_asked")), "left_semi")
+    sets = _sets(rows, shingle).join(asked.select("cls", "digest"), "digest")
+    return pin(sets.select("cls", "held").dropDuplicates(["cls"]), "sets")
+
+
 def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs to compare first, and the members (key, cls) of larger keys without the pivots they met."""
-    buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("pivot")).filter("size > 1")
+    buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = pin(members.join(pin(buckets, "buckets"), "key"), "shared")
-    stars = shared.select("cls", F.col("pivot").alias("other"))
-    few = shared.filter(F.col("size").between(3, SMALL)).groupBy("key").agg(F.collect_set("cls").alias("all"))
+    few = shared.filter(F.col("size") <= SMALL).groupBy("key").agg(F.collect_set("cls").alias("all"))
     full = few.select(F.explode("all").alias("cls"), "all").select("cls", F.explode("all").alias("other")).filter("cls < other")
-    return _ordered(stars.union(full)), shared.filter((F.col("size") > SMALL) & (F.col("cls") != F.col("pivot"))).select("key", "cls")
+    large = shared.filter(F.col("size") > SMALL)
+    central = pin(large.groupBy("cls").agg(F.sum("size").alias("weight")), "central")
+    large = pin(large.select("key", "cls").join(central, "cls"), "large")
+    pivots = large.groupBy("key").agg(F.max(F.struct("weight", "cls")).alias("top")).select("key", F.col("top.cls").alias("pivot"))
+    stars = pin(large.select("key", "cls").join(pivots, "key"), "stars")
+    return _ordered(stars.select("cls", F.col("pivot").alias("other")).union(full)), stars.filter("cls <> pivot").select("key", "cls")
 
 
-def _more_pairs(members: DataFrame, roots: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of different components for up to `count` pivots a key, and the members that are left."""
-    placed = members.join(roots, "cls", "left").select("key", "cls", F.coalesce("root", "cls").alias("root"))
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (key, cls, ..., root) of the keys that hold more than one component."""
+    placed = members.drop("root").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     placed = pin(placed, "placed")
     spans = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
-    parts = placed.join(spans, "key", "left_semi").groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
-    parts = pin(parts, "parts")
-    largest = parts.groupBy("key").agg(F.max(F.struct("size", "root")).alias("top")).select("key", F.col("top.root").alias("root"))
-    rest = parts.join(largest, ["key", "root"], "left_anti")
+    return pin(placed.join(spans, "key", "left_semi"), "open")
+
+
+def _spread_out(rows: DataFrame) -> DataFrame:
+    """One row per shingle of the sets `held`, the last column; the columns before are whole numbers and repeat."""
+    names = rows.columns[:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                held = [np.frombuffer(x, np.int64) for x in part.column(len(names)).to_pylist()]
+                at = pa.array(np.repeat(np.arange(len(held)), [len(x) for x in held]))
+                yield pa.RecordBatch.from_arrays([*[part.column(i).take(at) for i in range(len(names))], pa.array(np.concatenate(held))], names=[*names, "hash"])
+
+    return rows.mapInArrow(run, ", ".join(f"{c} bigint" for c in [*names, "hash"]))
+
+
+def _bounded(classes: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """`members` (key, cls, root) that may have a link in their key, with their size `n` and `cap`.
+
+    `cap` is how many of a class's shingles occur in any other class of these keys; it bounds the intersection
+    with every one of them. In a key whose smallest set has `least_n` shingles, the similarity is then at most
+    cap / (n + max(least_n, cap) - cap).
+    """
+    every = _spread_out(sets.select("cls", "held"))
+    alone = every.groupBy("hash").agg(F.count(F.lit(1)).alias("times"), F.min("cls").alias("cls")).filter("times = 1")
+    alone = pin(alone.groupBy("cls").agg(F.count(F.lit(1)).alias("alone")), "alone")
+    sized = classes.select("cls", F.col("n_shingles").alias("n")).join(sets.select("cls"), "cls", "left_semi").join(alone, "cls", "left")
+    sized = sized.select("cls", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("cap"))
+    placed = pin(members.join(sized, "cls"), "bounded")
+    least = placed.groupBy("key").agg(F.min("n").alias("least_n"))
+    union = F.col("n") + F.greatest("least_n", "cap") - F.col("cap")
+    return placed.join(least, "key").filter(100 * F.col("cap") >= percent * union).drop("least_n")
+
+
+def _largest(members: DataFrame) -> DataFrame:
+    """(key, root): the component with the most members of every key."""
+    parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    return parts.groupBy("key").agg(F.max(F.struct("size", "root")).alias("top")).select("key", F.col("top.root").alias("root"))
+
+
+def _narrowed(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of different components that overlap the common shingles enough, and new keys of rare shingles.
+
+    Members are (key, cls, root, n, cap), as in the result. Keys with the same largest component make a frame;
+    p is what more than half of its classes have.
+    """
+    frames = _largest(members).select("key", F.col("root").alias("frame"))
+    placed = members.join(frames, "key").select("frame", "cls", "root", "n", "cap").distinct()
+    placed = pin(placed, "frames")
+    shingles = pin(_spread_out(placed.join(sets, "cls").select("frame", "cls", "root", "n", "cap", "held")), "shingles")
+    sizes = placed.groupBy("frame").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least_n"))
+    counts = shingles.groupBy("frame", "hash").agg(
+        F.count(F.lit(1)).alias("times"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    counts = pin(counts.filter("times > 1").join(sizes.select("frame", "classes"), "frame"), "counts")
+    common = counts.filter("2 * times > classes").select("frame", "hash")
+    rare = counts.filter("2 * times <= classes and low <> high").select("frame", "hash")
+    keys = shingles.join(rare, ["frame", "hash"]).select(F.xxhash64("frame", "hash").alias("key"), "cls", "root", "n", "cap")
+
+    inside = shingles.join(common, ["frame", "hash"], "left_semi").groupBy("frame", "cls").agg(F.count(F.lit(1)).alias("inside"))
+    near = placed.join(inside, ["frame", "cls"]).join(sizes.select("frame", "least_n"), "frame")
+    near = pin(near.filter((100 + percent) * F.col("inside") >= percent * (F.col("n") + F.col("least_n"))), "near")
+    other = near.filter("root <> frame").select("frame", *[F.col(c).alias(f"other_{c}") for c in ("cls", "root", "n", "inside")])
+    enough = (100 + percent) * F.least("inside", "other_inside") >= percent * (F.col("n") + F.col("other_n"))
+    met = near.join(other, "frame").filter((F.col("root") != F.col("other_root")) & enough)
+    return _ordered(met.select("cls", F.col("other_cls").alias("other"))), pin(keys.distinct(), "keys")
+
+
+def _more_pairs(members: DataFrame, count: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of different components for up to `count` pivots a key, and the members that are left."""
+    parts = pin(members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size")), "parts")
+    rest = parts.join(_largest(members), ["key", "root"], "left_anti")
     order = Window.partitionBy("key").orderBy("size", "root", "cls")
-    outside = placed.join(rest, ["key", "root"]).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= count)
-    pivots = pin(outside.select("key", F.col("cls").alias("other"), F.col("root").alias("other_root")), "pivots")
-    met = placed.join(pivots, "key").filter("root <> other_root").select("cls", "other")
-    left = placed.join(spans, "key", "left_semi").join(pivots.select("key", F.col("other").alias("cls")), ["key", "cls"], "left_anti")
-    return _ordered(met), left.select("key", "cls")
+    outside = members.join(rest, ["key", "root"]).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= count)
+    pivots = pin(outside.select("key", *[F.col(c).alias(f"other_{c}") for c in ("cls", "root", "n", "cap")]), "pivots")
+    common = F.least("cap", "other_cap")
+    may = (F.col("root") != F.col("other_root")) & (100 * common >= percent * (F.col("n") + F.col("other_n") - common))
+    met = members.join(pivots, "key").filter(may).select("cls", F.col("other_cls").alias("other"))
+    left = members.join(pivots.select("key", F.col("other_cls").alias("cls")), ["key", "cls"], "left_anti")
+    return _ordered(met), left
+
+
+def _joined(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """`roots` (cls, root) after the links `found` (a, b): only components that they join are worked on."""
+    def side(name: str) -> DataFrame:
+        own = roots.select(F.col("cls").alias(name), F.col("root").alias(f"root_{name}"))
+        return own
+
+    named = pin(found, "links").join(side("a"), "a", "left").join(side("b"), "b", "left")
+    edges = named.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).filter("a <> b").distinct()
+    edges = pin(edges, "edges")
+    if not edges.limit(1).count():
+        return roots
+    moved = pin(components(edges).toDF("root", "to"), "moved")
+    # Classes without a link so far are their own roots.
+    every = roots.union(moved.select(F.col("root").alias("cls"), "root")).distinct()
+    after = every.join(moved, "root", "left").select("cls", F.coalesce("to", "root").alias("root"))
+    return pin(after.groupBy("cls").agg(F.min("root").alias("root")), "roots")
 
 
 def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, percent: int = 80) -> DataFrame:
@@ -297,15 +409,18 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     pairs, open_members = _first_pairs(pin(_members(classes), "members"))
     found = pin(links(rows, classes, pin(pairs, "pairs"), shingle, percent), "links")
     roots = pin(components(found).withColumnRenamed("node", "cls"), "roots")
-    count = PIVOTS
-    open_members = pin(open_members, "open")
-    while open_members.limit(1).count():
-        pairs, left = _more_pairs(open_members, roots, count)
-        pairs, open_members = pin(pairs, "pairs"), pin(left, "open")
-        if pairs.limit(1).count():
-            found = found.union(pin(links(rows, classes, pairs, shingle, percent), "links"))
-            roots = pin(components(found).withColumnRenamed("node", "cls"), "roots")
-        count *= 4
+    members = _open(open_members, roots)
+    if members.limit(1).count():
+        sets = _class_sets(rows, classes, members.select("cls").distinct(), shingle)
+        members = _open(_bounded(classes, members, sets, percent), roots)
+        pairs, members = _narrowed(members, sets, percent)
+        roots = _joined(roots, links(rows, classes, pin(pairs, "pairs"), shingle, percent, sets))
+        members, count = _open(members, roots), PIVOTS
+        while members.limit(1).count():
+            pairs, left = _more_pairs(members, count, percent)
+            roots = _joined(roots, links(rows, classes, pin(pairs, "pairs"), shingle, percent, sets))
+            members = _open(left, roots)
+            count *= 4
     rooted = classes.select("digest", "least", "cls").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = pin(rooted.select("digest", "root").join(smallest, "root").select("digest", "component_id"), "labels")
