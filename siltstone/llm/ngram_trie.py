@@ -1,6 +1,6 @@
 """N-gram language model in an Elias-Fano trie, learned and queried in shards.
 
-Texts become blocks of a few megabytes: token codes and the hashes of the block's distinct words. Each
+Texts become blocks of some megabytes: token codes and the hashes of the block's distinct words. Each
 level of the trie is built from what the blocks send to its shards (distinct n-grams with their counts),
 and each shard answers every block from the level it has built, so that no task, broadcast or driver ever
 holds a whole level. Messages are compressed arrays, one per block and shard.
@@ -28,17 +28,17 @@ kept. If nothing is trained on, every token has probability 1. Empty tables give
 
 from __future__ import annotations
 
-import gc
 import pickle
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.elias_fano import EliasFano
@@ -51,6 +51,7 @@ SHARD_ENTRIES = 1_300_000
 HOT_SHARE = 1e-3
 START = 0  # number of the context before the first word; words are numbered from 1
 _END = np.uint64(0x5D39E2B1C8A4F067)
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _CODEC = pa.Codec("zstd", compression_level=3)
 
 
@@ -109,7 +110,7 @@ _BLOCK = "block bigint, doc_ids array<{kind}>, lengths binary, held binary, hash
 def make_blocks(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
     """Blocks of (doc_id, text, held): per document its tokens, one end token last.
 
-    Returns the blocks, their words' hashes, and the folder of the hashes, which only level 1 reads.
+    Returns the blocks, their words' hashes, and the folder of both, which only level 1 reads.
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -148,7 +149,7 @@ def make_blocks(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
     docs.select("doc_id", "text", "held").mapInArrow(run, schema).write.partitionBy("part").parquet(path)
     every = spark.read.schema(schema).parquet(path)
     hashes = every.filter("part = 1").select("block", "hashes", F.col("codes").alias("times"))
-    return every.filter("part = 0").drop("part", "hashes"), hashes, f"{path}/part=1"
+    return every.filter("part = 0").drop("part", "hashes"), hashes, path
 
 
 @dataclass
@@ -491,22 +492,20 @@ class Run:
         return max(1, int(HOT_SHARE * self.tokens))
 
 
-def _replayed(run: Run, lengths: bytes, held: bytes, codes: bytes, order: bytes, replies: list) -> tuple:
-    """Token states of a block after the levels answered so far.
+def _replayed(run: Run, lengths: bytes, held: bytes, codes: bytes, names: bytes, replies: list) -> tuple:
+    """Token states of a block after the levels above the first answered so far.
 
     (block, counts of words, log10 p, context node, its count, word number, is the longest n-gram kept)
     """
     b = _block(lengths, held, codes)
-    by_hash = unpack(order)[0]  # codes in order of their hashes
-    number, count = np.zeros(len(by_hash), dtype=np.int64), np.zeros(len(by_hash), dtype=np.int64)
-    number[by_hash], count[by_hash] = _words_of(replies[0], run.word_shards)
+    number, count = unpack(names)  # by code
     c, word = count[b.codes], number[b.codes]
     lp = np.log10((count + 1) / (run.tokens + run.types + 1))[b.codes]
     context, context_count = np.roll(word, 1), np.roll(c, 1)
     context[context == 0] = -1
     context[b.first], context_count[b.first] = START, run.docs
     hit = word > 0
-    for k, answers in enumerate(replies[1:]):
+    for k, answers in enumerate(replies):
         hit = np.zeros(len(word), dtype=bool)
         after, total = np.full(len(word), -1, dtype=np.int64), np.zeros(len(word), dtype=np.int64)
         back = np.zeros(len(word))
@@ -545,12 +544,48 @@ def _replayed(run: Run, lengths: bytes, held: bytes, codes: bytes, order: bytes,
     return b, c, lp, context, context_count, word, hit
 
 
+def _gathered(replies: DataFrame, name: str) -> DataFrame:
+    """(block, name): a level's answers to each block, as an array of (shard, body)."""
+    return replies.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("shard", "body")).alias(name))
+
+
+_NAMED = "block bigint, doc_ids array<{kind}>, lengths binary, held binary, codes binary, names binary"
+
+
+def _named(blocks: DataFrame, replies: DataFrame, shards: int) -> DataFrame:
+    """Blocks with the numbers and counts of their words, by code, dealt out by block once and for all.
+
+    They are kept in buckets of the block's number, so that later levels bring their answers to the blocks and
+    the blocks stay where they are.
+    """
+    spark = blocks.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = []
+            for order, answers in zip(batch.column("by_hash"), batch.column("level"), strict=True):
+                by_hash = unpack(order.as_py())[0]  # codes in order of their hashes
+                number, count = np.zeros(len(by_hash), dtype=np.int64), np.zeros(len(by_hash), dtype=np.int64)
+                number[by_hash], count[by_hash] = _words_of(_pairs_of(answers.as_py()), shards)
+                names.append(pack(number, count))
+            columns = [batch.column(c) for c in ("block", "doc_ids", "lengths", "held", "codes")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.binary())], names=["block", "doc_ids", "lengths", "held", "codes", "names"])
+
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.select("block", "doc_ids", "lengths", "held", "codes", "by_hash").repartition(count, "block")
+    joined = dealt.join(_gathered(replies, "level"), "block", "left")
+    schema = _NAMED.format(kind=blocks.schema["doc_ids"].dataType.elementType.simpleString())
+    path = scratch_path(spark, "named")
+    table = f"named_{uuid.uuid4().hex}"
+    joined.mapInArrow(run, schema).write.bucketBy(count, "block").option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def _with_replies(blocks: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """Blocks with the answers of every level, as one array of (shard, body) each."""
-    out = blocks.select("block", "doc_ids", "lengths", "held", "codes", "by_hash")
+    """Named blocks with the answers of every level above the first."""
+    out = blocks
     for k, replies in enumerate(levels):
-        gathered = replies.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("shard", "body")).alias(f"level{k}"))
-        out = out.join(gathered, "block", "left")
+        out = out.join(_gathered(replies, f"level{k}"), "block", "left")
     return out
 
 
@@ -558,7 +593,7 @@ _SCORE = "doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base
 
 
 def score(
-    docs: DataFrame, *, order: int = 3, min_count: int = 2, discount: float = 0.5, gain: float = 8.0, text: str = "text", doc_id: str = "doc_id",
+    docs: DataFrame, *, order: int = 3, min_count: int = 2, discount: float = 0.5, gain: float = 0.0, text: str = "text", doc_id: str = "doc_id",
     held_out: str = "held_out", root: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Learn from the rows that are not `held_out` (boolean) and score all rows.
@@ -570,17 +605,23 @@ def score(
     root = root or scratch_path(spark, "trie")
     kind = docs.schema[doc_id].dataType.simpleString()
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(held_out), F.lit(False)).alias("held"))
-    blocks, hashes, hashes_path = make_blocks(named)
+    blocks, hashes, blocks_path = make_blocks(named)
     distinct, tokens = blocks.agg(F.sum("n_distinct"), F.sum("n_tokens")).first()
     word_shards = 1 + int(distinct or 0) // SHARD_ENTRIES
     asked = _requests(hashes, _ask_words(word_shards))
-    replies = [pin(asked.groupBy("shard").applyInArrow(_word_level(f"{root}/1", word_shards, min_count), _REPLY), "words")]
-    del asked, hashes
-    remove_folder(spark, hashes_path)
-    trained = replies[0].filter("block < 0").agg(F.sum("tokens"), F.sum("types")).first()
+    words_path = scratch_path(spark, "words")
+    with _dropped_shuffles(spark):
+        asked.groupBy("shard").applyInArrow(_word_level(f"{root}/1", word_shards, min_count), _REPLY).write.parquet(words_path)
+    answers = spark.read.schema(_REPLY).parquet(words_path)
+    reports_1 = pin(answers.filter("block < 0").drop("body"), "words")
+    trained = reports_1.agg(F.sum("tokens"), F.sum("types")).first()
+    with _dropped_shuffles(spark):
+        blocks = _named(blocks, answers, word_shards)
+    for path in (blocks_path, words_path):  # all that is needed of them is with the named blocks
+        remove_folder(spark, path)
     train_docs = named.filter(~F.col("held")).count()
-    _release(spark)
     state = Run(int(trained[0] or 0), int(trained[1] or 0), train_docs, word_shards, [], [])
+    replies: list[DataFrame] = []
 
     pairs = int(tokens or 0)
     for k in range(2, order + 1):
@@ -588,14 +629,15 @@ def score(
         fixed = Run(state.tokens, state.types, state.docs, word_shards, [*state.pair_shards], [*state.hot])
 
         def build(row: tuple, run: Run = fixed, shards: int = shards) -> Iterator[tuple[int, bytes]]:
-            _, _, lengths, held, codes, order_, *answers = row
-            b, _, lp, context, count, word, hit = _replayed(run, lengths, held, codes, order_, [_pairs_of(a) for a in answers])
+            _, _, lengths, held, codes, names, *answers = row
+            b, _, lp, context, count, word, hit = _replayed(run, lengths, held, codes, names, [_pairs_of(a) for a in answers])
             # As usual in such tries, an n-gram is kept only if the n-gram without its first word is.
             yield from _ask_pairs(b, context, count, word, lp, hit, run.hot_from, shards)
 
         asked = _requests(_with_replies(blocks, replies), build)
         level = _pair_level(f"{root}/{k}", shards, state.hot_from, min_count, discount, gain)
-        replies.append(pin(asked.groupBy("shard").applyInArrow(level, _REPLY), "pairs"))
+        with _dropped_shuffles(spark):
+            replies.append(pin(asked.groupBy("shard").applyInArrow(level, _REPLY), "pairs"))
         reports = replies[-1].filter("block < 0").select("body", "types").collect()  # a row per shard
         sums: dict[int, list[float]] = {}
         for r in reports:
@@ -605,16 +647,14 @@ def score(
                 held_[1] += low
         state.pair_shards.append(shards)
         state.hot.append({c: float(np.log10(max(1 - p, 1e-6) / max(1 - low, 1e-3))) for c, (p, low) in sums.items()})
-        del asked
-        _release(spark)
         pairs = min(pairs, 4 * sum(r["types"] or 0 for r in reports) + SHARD_ENTRIES)
     final = state
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                _, _, lengths, held, codes, order_, *answers = (c[k].as_py() if j != 1 else None for j, c in enumerate(batch.columns))
-                b, c, lp, *_ = _replayed(final, lengths, held, codes, order_, [_pairs_of(a) for a in answers])
+                _, _, lengths, held, codes, names, *answers = (c[k].as_py() if j != 1 else None for j, c in enumerate(batch.columns))
+                b, c, lp, *_ = _replayed(final, lengths, held, codes, names, [_pairs_of(a) for a in answers])
                 doc = np.repeat(np.arange(len(b.lengths)), b.lengths)
                 n = len(b.lengths)
                 base = np.log10((c + 1) / (final.tokens + final.types + 1))
@@ -630,16 +670,21 @@ def score(
     scored = _with_replies(blocks, replies).mapInArrow(finish, _SCORE.format(kind=kind))
     scored = scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(final.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
     files = None
-    for k, r in enumerate(replies):
+    for k, r in enumerate([reports_1, *replies]):
         own = r.filter("block < 0").select(F.lit(k + 1).alias("level"), "shard", "level_file", "level_bytes", "types")
         files = own if files is None else files.union(own)
     return scored, files
 
 
-def _release(spark) -> None:
-    """Let Spark's cleaner drop the shuffle files of levels that are done: it acts when the driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+@contextmanager
+def _dropped_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written inside go as soon as it is written."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
 
 
 def _pairs_of(answers: list | None) -> list[tuple[int, bytes]]:

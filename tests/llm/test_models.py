@@ -122,8 +122,9 @@ def texts(seed, n=120):
 
 def check_scores(spark, rows, monkeypatch=None, **options):
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, held_out boolean").repartition(5)
+    options.setdefault("gain", 8.0)
     got = {r.doc_id: r for r in ngram_trie.score(frame, **options)[0].collect()}
-    want = brute_score([(t, h) for _, t, h in rows])
+    want = brute_score([(t, h) for _, t, h in rows], gain=options["gain"])
     assert len(got) == len(rows)
     for (ident, _, held), (n, known, total, base, score) in zip(rows, want, strict=True):
         r = got[ident]
@@ -133,6 +134,10 @@ def check_scores(spark, rows, monkeypatch=None, **options):
     return got
 
 
+def test_scores_without_pruning_against_brute_force(spark):
+    check_scores(spark, texts(4), gain=0.0)
+
+
 def test_scores_against_brute_force(spark):
     got = check_scores(spark, texts(1))
     held = [r for r in got.values() if r.held_out]
@@ -150,7 +155,7 @@ def test_probabilities_sum_to_at_most_one(spark):
     vocabulary = sorted({t for x, h in [(t, h) for _, t, h in rows] if not h for t in (x or "").split()})
     for context in ("", "aa", rows[1][1].split()[0] if rows[1][1] else "aa"):
         tries = [(10_000 + k, f"{context} {w}".strip(), True) for k, w in enumerate(vocabulary)] + [(9_999, context, True)]
-        got = {r.doc_id: r.score for r in ngram_trie.score(spark.createDataFrame(rows + tries, "doc_id bigint, text string, held_out boolean"))[0].collect()}
+        got = {r.doc_id: r.score for r in ngram_trie.score(spark.createDataFrame(rows + tries, "doc_id bigint, text string, held_out boolean"), gain=8.0)[0].collect()}
         # p(context w </s>) / p(context </s>) differ by the end token only; compare the first word after START.
         if not context:
             want = brute_score([(t, h) for _, t, h in rows + tries])
