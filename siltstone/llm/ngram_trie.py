@@ -46,7 +46,7 @@ from siltstone.llm.packed import chunks, mixed, word_hashes, words
 from siltstone.session import pin, scratch_path
 from siltstone.sources.storage import remove_folder
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 6 << 20
 SHARD_ENTRIES = 1_300_000
 HOT_SHARE = 1e-3
 START = 0  # number of the context before the first word; words are numbered from 1
