@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators.quality import DataQualityError
 from siltstone.plans import daily, daily_job
+from siltstone.plans.registered import daily as registered
 from siltstone.sources import storage, tables
 
 RAW = (
@@ -174,3 +175,31 @@ def test_a_backfill_that_broke_off_is_done_again(spark, job, monkeypatch):
     job.run("fresh", LINES, 1, 2, 3, 4)
     assert job.state("t") == job.state("fresh")
     assert job.table("t", "fact").select(F.countDistinct("date_key")).first()[0] == 4
+
+
+def test_no_date_passes_its_gates(spark, job):
+    """The measurements of the dates are kept; there is nothing to load, also not when it is tried again."""
+    lines = [line(1, "", 1.0), line(1, "A", 1.0), line(2, "", 1.0)]
+    for _ in range(2):
+        assert job.catch_up("t", lines) == []
+        failed = job.table("t", "dq_log").filter("not passed and rule_name = 'NULL_BUSINESS_KEYS'")
+        assert rows(failed, "business_date", "failed_rows", "total_rows") == [(at(1), 1, 2), (at(2), 1, 1)]
+    assert not tables.versions(spark, job.base("t") + "/dim_item")
+    assert job.catch_up("t", [*lines, line(3, "A", 1.0)]) == [at(3)]
+
+
+def test_daily_pipeline_without_a_passing_date(spark, tmp_path):
+    """Every date of a store that sells the same item twice a day fails its gate for duplicates."""
+    days = [datetime.datetime(1996, 5, n) for n in (1, 2, 3)]
+    sold = [(4 * n + k, 8, 1, 1, 2.0, 20.0, 0.0, day) for n, day in enumerate(days) for k in (1, 2)]
+    tables_ = {
+        "lineitem": (sold, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp_ntz"),
+        "supplier": ([(1, 0)], "s_suppkey long, s_nationkey int"),
+        "nation": ([(0, "here", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(0, "East")], "r_regionkey int, r_name string"),
+    }
+    for name, (values, schema) in tables_.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = registered.daily_pipeline(spark, str(tmp_path))
+    assert found.columns == ["date_key", "fact_rows", "gross_sales", "waste_cost", "items", "changed_by_rerun"]
+    assert found.collect() == []
