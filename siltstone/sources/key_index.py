@@ -1,11 +1,11 @@
 """Which partitions of a table may hold the keys of a batch, without reading the table's keys.
 
-For every data file the index keeps its smallest and largest key and a Bloom filter, cut into slots of
-SLOT_BITS bits that hold about KEYS_PER_SLOT keys each; a key's hash names the slot, and PROBES bits are
-set in it. Data files are never changed in place, so an entry stays right as long as its file exists:
-entries of files that are gone are passed over, and the partition of a file without an entry always
-counts as a candidate. A filter can name a partition too many (about one key and file in 400), never one
-too few.
+For every data file the index keeps a Bloom filter, cut into slots of SLOT_BITS bits that hold about
+KEYS_PER_SLOT keys each, with the smallest and the largest key of each slot; a key's hash names the slot,
+and PROBES bits are set in it. Data files are never changed in place, so an entry stays right as long as
+its file exists: entries of files that are gone are passed over, and the partition of a file without an
+entry always counts as a candidate. A filter can name a partition too many (about one key and file in
+400), never one too few.
 
 The index is a Parquet table in `_keys` below the data, which readers of the table do not see.
 """
@@ -15,15 +15,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.session import pin
 from siltstone.sources import storage
 
 SLOT_BITS = 1 << 15  # what one Spark bitmap holds
 KEYS_PER_SLOT = 2048
 PROBES = 4
+EARLY = 64  # the part of the keys that is tested first
 
 
 def _file(part: Column, name: Column) -> Column:
@@ -79,14 +81,20 @@ def add_files(spark: SparkSession, table: DataFrame, path: str, key: Sequence[st
     rows = table if parts is None else table.filter(among(partition, parts))
     part = F.col(partition)
     keyed = rows.select(_file(part, F.col("_metadata.file_name")).alias("file"), part.alias("part"), *key)
-    keyed = keyed.join(known, "file", "left_anti")
-    whole = F.struct(*key)
-    sizes = keyed.groupBy("file").agg(F.count(F.lit(1)).alias("_n"), F.min(whole).alias("low"), F.max(whole).alias("high"))
-    need = F.greatest(F.ceil(F.log2(F.col("_n") / KEYS_PER_SLOT)), F.lit(0))
+    keyed = keyed.join(F.broadcast(known), "file", "left_anti")
+    sizes = keyed.groupBy("file", "part").count()  # of metadata alone: no column is read
+    need = F.greatest(F.ceil(F.log2(F.col("count") / KEYS_PER_SLOT)), F.lit(0))
     sizes = sizes.withColumn("slots", F.pow(F.lit(2), need).cast("bigint"))
-    placed = keyed.join(sizes, "file").withColumn("slot", _slot(key, F.col("slots")))
-    bits = placed.select("file", "part", "low", "high", "slots", "slot", F.explode(F.array(*_places(key))).alias("_place"))
-    found = bits.groupBy("file", "part", "low", "high", "slots", "slot").agg(F.bitmap_construct_agg("_place").alias("bits"))
+    # A row per file from here on: a number for every slot of every file, so that keys are sorted by one number.
+    before = F.sum("slots").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = F.broadcast(pin(sizes.select("file", "part", "slots", F.coalesce(before, F.lit(0)).alias("_first")), "files"))
+    placed = keyed.drop("part").join(sizes, "file").withColumn("_at", F.col("_first") + _slot(key, F.col("slots")))
+    whole = F.struct(*key)
+    probes = [F.bitmap_construct_agg(place).alias(f"_b{k}") for k, place in enumerate(_places(key))]
+    each = placed.groupBy("_at").agg(F.first("file").alias("file"), F.min(whole).alias("low"), F.max(whole).alias("high"), *probes)
+    each = each.withColumn("_bits", F.explode(F.array(*[f"_b{k}" for k in range(PROBES)])))
+    united = each.groupBy("_at", "file", "low", "high").agg(F.bitmap_or_agg("_bits").alias("bits")).join(sizes, "file")
+    found = united.select("file", "part", "low", "high", "slots", (F.col("_at") - F.col("_first")).alias("slot"), "bits")
     found.write.mode("append").parquet(index_path(path))
 
 
@@ -108,13 +116,22 @@ def candidates(
         return unknown, unknown
     held = index.join(files.select("file"), "file", "left_semi")
     slots = F.explode(F.array(*[F.lit(n).cast("bigint") for n in sorted(sizes)]))
-    asked = keys.select(*key, slots.alias("slots"))
-    asked = asked.select("slots", _slot(key, F.col("slots")).alias("slot"), F.struct(*key).alias("_key"), F.array(*_places(key)).alias("_places"))
-    found = held.join(asked, ["slots", "slot"]).filter((F.col("_key") >= F.col("low")) & (F.col("_key") <= F.col("high")))
-    for k in range(PROBES):
-        found = found.filter(_has(F.col("bits"), F.col("_places")[k]))
-    hit = [r[0] for r in found.select("part").distinct().collect()]
-    return list(dict.fromkeys([*hit, *unknown])), unknown
+
+    def named(held: DataFrame, keys: DataFrame) -> list[Any]:
+        asked = keys.select(*key, slots.alias("slots"))
+        asked = asked.select("slots", _slot(key, F.col("slots")).alias("slot"), F.struct(*key).alias("_key"), F.array(*_places(key)).alias("_places"))
+        found = held.join(asked, ["slots", "slot"]).filter((F.col("_key") >= F.col("low")) & (F.col("_key") <= F.col("high")))
+        for k in range(PROBES):
+            found = found.filter(_has(F.col("bits"), F.col("_places")[k]))
+        return [r[0] for r in found.select("part").distinct().collect()]
+
+    # One key is enough to name a partition: all keys are tested only where the first few named none.
+    early = F.pmod(F.xxhash64(*key, F.lit("early")), F.lit(EARLY)) == 0
+    hit = [*unknown, *named(held, keys.filter(early))]
+    left = {r["part"] for r in known} - set(hit)
+    if left:
+        hit += named(held.filter(among("part", list(left))), keys.filter(~early))
+    return list(dict.fromkeys(hit)), unknown
 
 
 def among(column: str, values: Sequence[Any]) -> Column:

@@ -164,6 +164,26 @@ def test_the_filter_never_misses_and_seldom_errs(spark, tmp_path):
         assert opened <= (8 if known else 0) + 2
 
 
+def test_index_by_slot_and_batches_over_all_partitions(spark, tmp_path, monkeypatch):
+    """Every slot has its own range, and partitions are named the same whichever keys are tested first."""
+    path = str(tmp_path / "t")
+    number = F.crc32("id") % 8
+    df = months(spark, 40_000).withColumn("m", F.when(number < 7, number).cast("int"))  # one partition is null
+    tables.write_partitioned(df, path, ["m"])
+    table = spark.read.schema(df.schema).parquet(path)
+    key_index.add_files(spark, table, path, ["id"], "m")
+    index = spark.read.parquet(key_index.index_path(path))
+    per_file = index.groupBy("file").agg(F.max("slots").alias("slots"), F.count_distinct("slot").alias("n"), F.count_distinct("low").alias("lows"))
+    assert rows(per_file, "slots", "n", "lows") == [(4, 4, 4)] * 8
+    for keys, parts in ((table, [None, 0, 1, 2, 3, 4, 5, 6]), (table.filter("m = 3"), [3]), (table.filter("m = 3 or id = 'K000002'"), None)):
+        found = []
+        for early in (1, 64, 1 << 40):
+            monkeypatch.setattr(key_index, "EARLY", early)
+            found.append(key_index.candidates(spark, table, path, keys.select("id"), ["id"], "m")[0])
+            assert len(set(found[-1])) == len(found[-1])
+        assert {*found[0]} == {*found[1]} == {*found[2]} >= {*(parts or [])}
+
+
 def test_partition_values_with_odd_characters(spark, tmp_path):
     path = str(tmp_path / "t")
     values = ["a b", "x/y", "1+1", "100%", "k=v", "007", "ü:ö"]
