@@ -1,50 +1,51 @@
 """Headers of many CSV files without reading the files.
 
-One task opens one file through Spark's own text reader, so any file system that Spark reads will do. The
-task takes lines until its first record is complete and stops; what has been read by then is a buffer or
-two, whatever the size of the file.
+A task opens one file through Spark's own text reader, so any file system that Spark reads will do, and is
+asked for a few lines: Spark stops reading when it has them, which is after a buffer or two, whatever the
+size of the file. (A Python task that breaks off would not do: its input is fed to the end.) Several
+files are asked for at a time.
 """
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A file that counts as much as a whole split gets a split, and so a task, of its own.
-_ONE_FILE_A_TASK = {
-    "spark.sql.files.maxPartitionBytes": str(1 << 40),
-    "spark.sql.files.openCostInBytes": str(1 << 40),
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
-}
-
-
-def first_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(file, header): the text of the first record of every file that has one; it may span lines."""
-
-    def run(batches):
-        name, held = None, ""
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            file, block, line = (batch.column(k)[0].as_py() for k in range(3))
-            if block != 0:  # a later block of a file that is larger than any split
-                return
-            name, held = file, f"{held}{line}\n"
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import SparkSession
+
+AT_A_TIME = 16
+FEW_LINES = 4
+
+
+def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """Paths of the files at or below `paths`, from the listing alone."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return sorted(r[0] for r in listing.load(paths if isinstance(paths, str) else list(paths)).select("path").collect())
+
+
+def first_record(spark: SparkSession, file: str) -> str | None:
+    """The text of the first record of a file, which may span lines; None if it has none."""
+    asked = FEW_LINES
+    while True:
+        lines = [r[0] for r in spark.read.text(file).limit(asked).collect()]
+        held = ""
+        for line in lines:
+            held += f"{line}\n"
             if held.strip() and held.count('"') % 2 == 0:  # no enclosed field is open
-                break
-        if held.strip():
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([held.lstrip("\ufeff").strip("\n")])], names=["file", "header"])
+                return held.lstrip("\ufeff").strip("\n")
+        if len(lines) < asked:
+            return held.lstrip("\ufeff").strip("\n") if held.strip() else None
+        asked *= 16
+
 
-    apart = spark.newSession()  # the settings of the caller's session stay as they are
-    for key, value in _ONE_FILE_A_TASK.items():
-        apart.conf.set(key, value)
-    lines = apart.read.option("recursiveFileLookup", True).text(paths if isinstance(paths, str) else list(paths))
-    placed = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
-    return placed.mapInArrow(run, "file string, header string")
+def first_records(spark: SparkSession, paths: str | Sequence[str]) -> Iterator[tuple[str, str]]:
+    """(file, text of its first record) of every file that has one, by path."""
+    files = list_files(spark, paths)
+    with ThreadPoolExecutor(AT_A_TIME) as pool:
+        for file, header in zip(files, pool.map(lambda file: first_record(spark, file), files), strict=True):
+            if header is not None:
+                yield file, header
 
 
 def column_names(header: str) -> tuple[str, ...]:
@@ -67,6 +68,6 @@ def column_names(header: str) -> tuple[str, ...]:
 def files_by_header(spark: SparkSession, paths: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
     """Files of each header. Brings one record per file to the driver, as a file listing does."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for row in sorted(first_records(spark, paths).collect()):
-        groups.setdefault(column_names(row["header"]), []).append(row["file"])
+    for file, header in first_records(spark, paths):
+        groups.setdefault(column_names(header), []).append(file)
     return groups

@@ -10,7 +10,7 @@ from siltstone.plans import shapes
 from siltstone.session import pin, scratch, temp_view
 from siltstone.sources import files, storage, tables
 from siltstone.sources.evolve import read_evolving_csv, rescue
-from siltstone.sources.headers import files_by_header
+from siltstone.sources.headers import files_by_header, first_records
 from siltstone.streaming import ingest as streams
 from siltstone.streaming import warehouse
 
@@ -99,6 +99,21 @@ def test_headers_are_read_without_the_files(spark, tmp_path):
     assert spark.conf.get("spark.sql.files.openCostInBytes") != str(1 << 40)
 
 
+def test_headers_of_odd_files(spark, tmp_path):
+    """Names with signs, a header longer than the lines first asked for, one that never closes, blank and empty files."""
+    put(f"{tmp_path}/in/a b%20+ü.csv", "\ufeffid,x\n1,2\n")
+    put(f"{tmp_path}/in/long.csv", '\n\nid,"' + "\n" * 100 + 'x"\n1,2\n')
+    put(f"{tmp_path}/in/open.csv", 'id,"x\n' + "y\n" * 99)
+    put(f"{tmp_path}/in/blank.csv", "\n \n" * 50)
+    put(f"{tmp_path}/in/empty.csv", "")
+    found = {file.rsplit("/", 1)[1]: header for file, header in first_records(spark, f"{tmp_path}/in")}
+    assert found == {"a b%20+ü.csv": "id,x", "long.csv": 'id,"' + "\n" * 100 + 'x"', "open.csv": 'id,"x' + "\ny" * 99}
+    put(f"{tmp_path}/odd/a b%20+ü.csv", "id,x\n1,2\n")
+    put(f"{tmp_path}/odd/c d.csv", "id,y\n3,4\n")
+    got = streams.ingest_evolving_csv(spark, f"{tmp_path}/odd", f"{tmp_path}/b", f"{tmp_path}/c")
+    assert rows(got, "id", "x", "y") == sorted([("1", "2", None), ("3", None, "4")], key=repr)
+
+
 def test_ingest_takes_each_file_once(spark, tmp_path):
     def drain():
         schema = files.text_schema(["a"])
