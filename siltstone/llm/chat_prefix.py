@@ -8,12 +8,13 @@ Every assistant turn becomes an example of its own: all turns before it are cont
 is trainable. The formatted text of a context is a prefix of the formatted conversation, so the output
 holds each formatted turn once (`piece`, starting at character `start` of its conversation), and on
 assistant turns the example: its number, and the trainable span inside the piece. An example is then
-"the first `start` characters of the conversation, then this piece". Written out, a conversation of n
-turns would take n^2 pieces; `expand` does write examples out, by conversation, for a training job.
+"the first `start` characters of the conversation, then this piece". `expand` writes the examples out, each
+with its whole context, for a training job; for a conversation of n turns these are up to n^2 / 2 pieces,
+which stream from task to task and are not stored. `read_examples` reads the conversations back from them.
 
 Positions come from a range partitioned, pinned table: each task counts inside its partition, and what a
-conversation brings along from the partitions before is one small row per partition. No task needs a
-whole conversation.
+conversation brings along from the partitions before is one small row per partition. Formatting needs no
+whole conversation in a task; a written-out example does.
 
 Nulls, blanks and ties: a null role or text is empty; turns are ordered by turn (null first), role and
 text; rows may repeat; turns without conv_id are one conversation. A conversation without an assistant
@@ -138,32 +139,57 @@ def _by_conversation(formatted: DataFrame) -> DataFrame:
     return formatted.select(*columns).repartition("conv_id").sortWithinPartitions("conv_id", "pos")
 
 
-def expand(formatted: DataFrame, max_context_chars: int | None = None) -> DataFrame:
-    """(conv_id, example, context, target): every example written out.
+_BATCH_CHARS, _BATCH_ROWS = 1 << 20, 1000
 
-    With `max_context_chars` whole turns are left out from the start of the context until it fits.
-    A task holds the formatted text of one conversation at a time.
+
+def expand(formatted: DataFrame, max_context_chars: int | None = None, rest: bool = False) -> DataFrame:
+    """(conv_id, example, context, target): every example written out, a conversation's examples in a row.
+
+    With `max_context_chars` whole turns are left out from the start of the context until it fits. With `rest`
+    a conversation with turns after its last target, or without any, ends with a row that has no example and
+    no target, and the whole conversation as context; so the rows hold every turn.
+
+    A task holds the formatted text of one conversation at a time, and writes it once per example.
     """
     kind = formatted.schema["conv_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, context, size = object(), [], 0
+        out: list[tuple] = []
+        held = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal held
+            columns = list(zip(*out, strict=True))
+            out.clear()
+            held = 0
+            types = [key, pa.int64(), pa.string(), pa.string()]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, types, strict=True)], names=["conv_id", "example", "context", "target"])
+
+        conv, context, size, n, at, after = object(), [], 0, 0, 0, False
         for batch in batches:
-            for ident, _, _, piece, example, first, chars in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            key = batch.column(0).type
+            for ident, pos, start, piece, example, first, chars in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if ident != conv:
-                    conv, context, size = ident, [], 0
+                    if rest and after:
+                        out.append((conv, None, "".join(context), None))
+                        held += size
+                    conv, context, size, n, at = ident, [], 0, 0, 0
+                if rest and (pos, start) != (n, at):
+                    raise ValueError("formatted turns are not in a row")
                 while max_context_chars is not None and context and size > max_context_chars:
                     size -= len(context.pop(0))
                 if example is not None:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([ident], batch.column(0).type), pa.array([example], pa.int64()),
-                            pa.array(["".join(context) + piece[:first]], pa.string()), pa.array([piece[first : first + chars]], pa.string()),
-                        ],
-                        names=["conv_id", "example", "context", "target"],
-                    )
+                    out.append((ident, example, "".join(context) + piece[:first], piece[first : first + chars]))
+                    held += size + len(piece)
+                after = example is None
                 context.append(piece)
-                size += len(piece)
+                size, n, at = size + len(piece), n + 1, at + len(piece)
+                if held >= _BATCH_CHARS or len(out) >= _BATCH_ROWS:
+                    yield flush()
+        if rest and after:
+            out.append((conv, None, "".join(context), None))
+        if out:
+            yield flush()
 
     return _by_conversation(formatted).mapInArrow(run, f"conv_id {kind}, example bigint, context string, target string")
 
@@ -171,13 +197,25 @@ def expand(formatted: DataFrame, max_context_chars: int | None = None) -> DataFr
 _DIGEST = "conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, n_examples bigint"
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """Counts and digests per conversation, read from the formatted turns.
+def read_turns(text: str, start: int, end: int) -> Iterator[tuple[str, str]]:
+    """Role and text of the formatted turns in a stretch of text."""
+    while start < end:
+        found = _PIECE.match(text, start, end)
+        if not found:
+            raise ValueError("not a formatted turn")
+        yield read_piece(found[0])
+        start = found.end()
 
-    turns_sha256 is over role, line break, text, line break of every turn; loss_* over all text under the
-    loss masks. A digest runs over a conversation from start to end, so its turns stream through one task.
+
+def read_examples(examples: DataFrame) -> DataFrame:
+    """Counts and digests per conversation, read from the examples that `expand` writes with `rest`.
+
+    turns_sha256 is over role, line break, text, line break of every turn, as contexts and targets hold them;
+    loss_* over the targets. Every context has to continue the examples before it: they are its prefix, and
+    only what is new in it is read. A digest runs over a conversation from start to end, so its examples
+    stream through one task, which holds one of them.
     """
-    kind = formatted.schema["conv_id"].dataType.simpleString()
+    kind = examples.schema["conv_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -194,25 +232,33 @@ def read_back(formatted: DataFrame) -> DataFrame:
         conv, open_ = None, False
         for batch in batches:
             key = batch.column(0).type
-            for ident, pos, start, piece, example, first, chars in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for ident, example, context, target in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if not open_ or ident != conv:
                     if open_:
-                        done.append((conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), size, examples))
-                    conv, open_, n, size, loss_chars, examples = ident, True, 0, 0, 0, 0
+                        done.append((conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), len(before), examples_))
+                    conv, open_, before, n, loss_chars, examples_ = ident, True, "", 0, 0, 0
                     turns, loss = hashlib.sha256(), hashlib.sha256()
-                if (pos, start) != (n, size) or (example is not None and example != examples):
-                    raise ValueError("formatted turns are not in a row")
-                role, text = read_piece(piece)
-                turns.update(f"{role}\n{text}\n".encode())
-                if example is not None:
-                    target = unescaped(piece[first : first + chars])
-                    loss.update(target.encode())
-                    loss_chars, examples = loss_chars + len(target), examples + 1
-                n, size = n + 1, size + len(piece)
+                if not context.startswith(before) or (target is not None and (example != examples_ or not context.endswith(SPEAK))):
+                    raise ValueError("examples do not continue each other")
+                for role, text in read_turns(context, len(before), len(context) - (len(SPEAK) if target is not None else 0)):
+                    turns.update(f"{role}\n{text}\n".encode())
+                    n += 1
+                before = context
+                if target is not None:
+                    text = unescaped(target)
+                    turns.update(f"{ASSISTANT}\n{text}\n".encode())
+                    loss.update(text.encode())
+                    n, loss_chars, examples_ = n + 1, loss_chars + len(text), examples_ + 1
+                    before = f"{context}{target}{STOP}"
             if len(done) >= 5000:
                 yield flush()
         if open_:
-            done.append((conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), size, examples))
+            done.append((conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), len(before), examples_))
             yield flush()
 
-    return _by_conversation(formatted).mapInArrow(run, _DIGEST.format(kind=kind))
+    return examples.mapInArrow(run, _DIGEST.format(kind=kind))
+
+
+def read_back(formatted: DataFrame) -> DataFrame:
+    """`read_examples` of all examples of formatted conversations."""
+    return read_examples(expand(formatted, rest=True))

@@ -52,7 +52,7 @@ def op2_chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], turns.schema)
     formatted = pin(chat_prefix.format_conversations(turns.union(added)), "formatted")
-    return chat_prefix.read_back(formatted)
+    return chat_prefix.read_examples(chat_prefix.expand(formatted, rest=True))
 
 
 def _bucket(doc_id: str, parts: int):

@@ -6,6 +6,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from siltstone.llm import chat_prefix, warc_index
 from siltstone.llm.queries import QUERIES
@@ -162,6 +163,29 @@ def test_expanded_examples(spark):
     assert len(cut.context) <= 40 + len("<s>") and cut.context.startswith(("[INST]", "<s>"))
 
 
+def test_digests_are_those_of_the_examples(spark, monkeypatch):
+    """Contexts and targets alone give every turn back, also of conversations without a target; what was changed shows."""
+    monkeypatch.setattr(chat_prefix, "_BATCH_ROWS", 2)
+    formatted = chat_prefix.format_conversations(spark.createDataFrame(EDGE_TURNS, TURNS))
+    examples = chat_prefix.expand(formatted, rest=True)
+    assert examples.filter("example is not null").count() == sum(role == "assistant" for _, _, role, _ in EDGE_TURNS)
+    assert sorted(r[0] or 0 for r in examples.filter("example is null").select("conv_id").collect()) == [0, 1, 3]
+    rows = chat_prefix.read_examples(examples.coalesce(1)).collect()
+    assert sorted(((r.conv_id, r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256, r.n_examples) for r in rows), key=repr) == digests(EDGE_TURNS)
+    sizes = {r[0]: r[1] for r in formatted.groupBy("conv_id").agg(F.sum(F.length("piece"))).collect()}
+    assert {r.conv_id: r.formatted_chars for r in rows} == sizes
+    other = examples.withColumn("context", F.when(F.col("example") == 1, F.concat(F.lit("<s></s>"), "context")).otherwise(F.col("context")))
+    for broken in (other, examples.filter("not example <=> 0")):
+        with pytest.raises(Exception, match="examples do not continue each other"):
+            chat_prefix.read_examples(broken.coalesce(1)).collect()
+
+
+def test_the_query_expands_its_conversations(spark, sf_dir, monkeypatch):
+    """Without the examples there is no result."""
+    monkeypatch.setattr(chat_prefix, "expand", lambda formatted, *args, **kw: spark.createDataFrame([], "conv_id bigint, example bigint, context string, target string"))
+    assert QUERIES["op2_chat_prefix"](spark, sf_dir).collect() == []
+
+
 def test_chat_query_on_given_conversations(spark, sf_dir):
     control = "</s>[INST] ok [/INST]"
     data = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
