@@ -52,6 +52,7 @@ ROUNDS = 4
 SLACK = 0.22
 SMALL = 8
 PIVOTS = 16
+ROWS_A_TASK = 1 << 13  # of the documents or pairs; a task that writes a table costs more than some thousand rows do
 
 _REST = 57  # bits of a hash behind its bucket number
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -60,6 +61,11 @@ _SALTS = np.random.Generator(np.random.PCG64(1212)).integers(0, 1 << 64, ROUNDS
 _AT_ONCE = 1 << 20
 
 
+def _kept(df: DataFrame, label: str, rows: int) -> DataFrame:
+    """`pin`, written by as many tasks as a table that goes with `rows` documents or pairs is worth."""
+    return pin(df.coalesce(1 + rows // ROWS_A_TASK), label)
+
+
 def _text_digests(w: Words) -> list[bytes | None]:
     """128-bit digest of the words of each row, null without words."""
     size = w.ends - w.starts
@@ -208,33 +214,44 @@ def _members(classes: DataFrame) -> DataFrame:
     return classes.select("cls", "registers").mapInArrow(run, "key bigint, cls bigint")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose estimate reaches `least` less SLACK and whose sizes allow it."""
+def _may_link(sizes_a: np.ndarray, sizes_b: np.ndarray, x: pa.Array, y: pa.Array, least: float) -> np.ndarray:
+    """Whether the estimate from the registers reaches `least` less SLACK and the set sizes allow it, per pair."""
+    keep = np.minimum(sizes_a, sizes_b) >= least * np.maximum(sizes_a, sizes_b) - 1e-9
+    for k in range(0, len(keep), 4096):
+        part = slice(k, k + 4096)
+        held = (np.frombuffer(b"".join(c[part].to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS) for c in (x, y))
+        keep[part] &= estimates(*held, sizes_a[part], sizes_b[part]) >= least - SLACK
+    return keep
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, least: float, count: int) -> DataFrame:
+    """Those of the `count` pairs (a, b) whose estimate reaches `least` less SLACK and whose sizes allow it."""
     own = classes.select("cls", "n_shingles", "registers")
     first = pairs.join(own.toDF("a", "size_a", "x"), "a")
     both = first.join(own.toDF("b", "size_b", "y"), "b").select("a", "b", "size_a", "size_b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 4096):
-                part = batch.slice(k, 4096)
-                sizes = [part.column(i).to_numpy() for i in (2, 3)]
-                x, y = (np.frombuffer(b"".join(part.column(i).to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS) for i in (4, 5))
-                keep = (estimates(x, y, *sizes) >= least - SLACK) & (np.minimum(*sizes) >= least * np.maximum(*sizes) - 1e-9)
-                mask = pa.array(keep)
-                yield pa.RecordBatch.from_arrays([part.column(0).filter(mask), part.column(1).filter(mask)], names=["a", "b"])
+            mask = pa.array(_may_link(batch.column(2).to_numpy(), batch.column(3).to_numpy(), batch.column(4), batch.column(5), least))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return both.coalesce(1 + count // ROWS_A_TASK).mapInArrow(run, "a bigint, b bigint")
 
 
 def _similar(pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, x, y) with 100 * intersection >= percent * union of their sets."""
+    """The pairs (a, b) with 100 * intersection >= percent * union of their sets x and y.
+
+    If `pairs` have sizes and registers (size_a, size_b, p, q), sets are compared only where these allow it.
+    """
+    estimated = "p" in pairs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, dtype=bool)
-            for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            keep = np.ones(batch.num_rows, dtype=bool)
+            if estimated:
+                keep = _may_link(batch.column(4).to_numpy(), batch.column(5).to_numpy(), batch.column(6), batch.column(7), percent / 100)
+            for k in np.flatnonzero(keep).tolist():
+                x, y = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint64) for c in (2, 3))
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
@@ -242,7 +259,8 @@ def _similar(pairs: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
-    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    columns = ["a", "b", "x", "y", *(["size_a", "size_b", "p", "q"] if estimated else [])]
+    return pairs.select(*columns).mapInArrow(run, "a bigint, b bigint")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -251,51 +269,59 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def links(
-    docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, percent: int, sets: DataFrame | None = None
+    docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, percent: int, rows: int, sets: DataFrame | None = None
 ) -> DataFrame:
     """The pairs (a, b) that are links: estimated from registers, then confirmed on the full sets.
 
-    The sets are drawn from the texts, unless `sets` (cls, held) has them already.
+    The sets are drawn from the texts of likely pairs, unless `sets` (cls, n, registers, held) has them already.
+    `rows` is the number of documents.
     """
-    likely = pin(_likely(pairs, classes, percent / 100), "likely")
-    if sets is None:
-        asked = likely.select(F.col("a").alias("cls")).union(likely.select(F.col("b").alias("cls"))).distinct()
-        sets = _class_sets(docs, classes, asked, shingle)
+    pairs = _kept(pairs, "pairs", rows)
+    count = pairs.count()
+    if sets is not None:
+        first = pairs.join(sets.toDF("a", "size_a", "p", "x"), "a")
+        return _similar(first.join(sets.toDF("b", "size_b", "q", "y"), "b").coalesce(1 + count // ROWS_A_TASK), percent)
+    likely = pin(_likely(pairs, classes, percent / 100, count), "likely")
+    asked = likely.select(F.col("a").alias("cls")).union(likely.select(F.col("b").alias("cls"))).distinct()
+    sets = _class_sets(docs, classes, asked, shingle, rows)
+    tasks = 1 + likely.count() // ROWS_A_TASK
     first = likely.join(sets.select(F.col("cls").alias("a"), F.col("held").alias("x")), "a")
     both = first.join(sets.select(F.col("cls").alias("b"), F.col("held").alias("y")), "b")
-    return _similar(both, percent)
+    return _similar(both.coalesce(tasks), percent)
 
 
-def _class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(cls, held): the sets of the classes `wanted` (cls), from one text each."""
-    asked = pin(classes.select("cls", "digest", "least").join(wanted, "cls", "left_semi"), "asked")
+def _class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int, rows: int, sized: bool = False) -> DataFrame:
+    """(cls, held): the sets of the classes `wanted` (cls), from one text each; if `sized`, (cls, n, registers, held)."""
+    asked = _kept(classes.select("cls", "digest", "least").join(wanted, "cls", "left_semi"), "asked", rows)
     ids = asked.select(F.col("least").alias("_asked")).distinct()
     # Rows that share an id may have other texts: the digest decides again.
-    rows = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_asked")), "left_semi")
-    sets = _sets(rows, shingle).join(asked.select("cls", "digest"), "digest")
-    return pin(sets.select("cls", "held").dropDuplicates(["cls"]), "sets")
+    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_asked")), "left_semi")
+    sets = _sets(texts, shingle).groupBy("digest").agg(F.first("held").alias("held")).join(asked.select("cls", "digest"), "digest")
+    if sized:
+        sets = sets.join(classes.select("digest", F.col("n_shingles").alias("n"), "registers"), "digest")
+    return _kept(sets.select("cls", *(["n", "registers"] if sized else []), "held"), "sets", rows)
 
 
-def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _first_pairs(members: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
     """Pairs to compare first, and the members (key, cls) of larger keys without the pivots they met."""
     buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = pin(members.join(pin(buckets, "buckets"), "key"), "shared")
+    shared = _kept(members.join(buckets, "key"), "shared", rows)
     few = shared.filter(F.col("size") <= SMALL).groupBy("key").agg(F.collect_set("cls").alias("all"))
     full = few.select(F.explode("all").alias("cls"), "all").select("cls", F.explode("all").alias("other")).filter("cls < other")
     large = shared.filter(F.col("size") > SMALL)
-    central = pin(large.groupBy("cls").agg(F.sum("size").alias("weight")), "central")
-    large = pin(large.select("key", "cls").join(central, "cls"), "large")
+    central = large.groupBy("cls").agg(F.sum("size").alias("weight"))
+    large = _kept(large.select("key", "cls").join(central, "cls"), "large", rows)
     pivots = large.groupBy("key").agg(F.max(F.struct("weight", "cls")).alias("top")).select("key", F.col("top.cls").alias("pivot"))
-    stars = pin(large.select("key", "cls").join(pivots, "key"), "stars")
+    stars = _kept(large.select("key", "cls").join(pivots, "key"), "stars", rows)
     return _ordered(stars.select("cls", F.col("pivot").alias("other")).union(full)), stars.filter("cls <> pivot").select("key", "cls")
 
 
-def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+def _open(members: DataFrame, roots: DataFrame, rows: int) -> DataFrame:
     """Members (key, cls, ..., root) of the keys that hold more than one component."""
     placed = members.drop("root").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    placed = pin(placed, "placed")
+    placed = _kept(placed, "placed", rows)
     spans = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
-    return pin(placed.join(spans, "key", "left_semi"), "open")
+    return _kept(placed.join(spans, "key", "left_semi"), "open", rows)
 
 
 def _spread_out(rows: DataFrame) -> DataFrame:
@@ -313,7 +339,7 @@ def _spread_out(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, ", ".join(f"{c} bigint" for c in [*names, "hash"]))
 
 
-def _bounded(classes: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _bounded(members: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
     """`members` (key, cls, root) that may have a link in their key, with their size `n` and `cap`.
 
     `cap` is how many of a class's shingles occur in any other class of these keys; it bounds the intersection
@@ -322,56 +348,59 @@ def _bounded(classes: DataFrame, members: DataFrame, sets: DataFrame, percent: i
     """
     every = _spread_out(sets.select("cls", "held"))
     alone = every.groupBy("hash").agg(F.count(F.lit(1)).alias("times"), F.min("cls").alias("cls")).filter("times = 1")
-    alone = pin(alone.groupBy("cls").agg(F.count(F.lit(1)).alias("alone")), "alone")
-    sized = classes.select("cls", F.col("n_shingles").alias("n")).join(sets.select("cls"), "cls", "left_semi").join(alone, "cls", "left")
-    sized = sized.select("cls", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("cap"))
-    placed = pin(members.join(sized, "cls"), "bounded")
+    alone = alone.groupBy("cls").agg(F.count(F.lit(1)).alias("alone"))
+    sized = sets.select("cls", "n").join(alone, "cls", "left").select("cls", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("cap"))
+    placed = _kept(members.join(sized, "cls"), "bounded", rows)
     least = placed.groupBy("key").agg(F.min("n").alias("least_n"))
     union = F.col("n") + F.greatest("least_n", "cap") - F.col("cap")
     return placed.join(least, "key").filter(100 * F.col("cap") >= percent * union).drop("least_n")
 
 
-def _largest(members: DataFrame) -> DataFrame:
-    """(key, root): the component with the most members of every key."""
-    parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+def _parts(members: DataFrame) -> DataFrame:
+    """(key, root, size): the components of every key and their numbers of members."""
+    return members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+
+
+def _largest(parts: DataFrame) -> DataFrame:
+    """(key, root): the component with the most members of every key, from its `_parts`."""
     return parts.groupBy("key").agg(F.max(F.struct("size", "root")).alias("top")).select("key", F.col("top.root").alias("root"))
 
 
-def _narrowed(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _narrowed(members: DataFrame, sets: DataFrame, percent: int, rows: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of different components that overlap the common shingles enough, and new keys of rare shingles.
 
     Members are (key, cls, root, n, cap), as in the result. Keys with the same largest component make a frame;
     p is what more than half of its classes have.
     """
-    frames = _largest(members).select("key", F.col("root").alias("frame"))
+    frames = _largest(_parts(members)).select("key", F.col("root").alias("frame"))
     placed = members.join(frames, "key").select("frame", "cls", "root", "n", "cap").distinct()
-    placed = pin(placed, "frames")
-    shingles = pin(_spread_out(placed.join(sets, "cls").select("frame", "cls", "root", "n", "cap", "held")), "shingles")
+    placed = _kept(placed, "frames", rows)
+    shingles = pin(_spread_out(placed.join(sets.select("cls", "held"), "cls").select("frame", "cls", "root", "n", "cap", "held")), "shingles")
     sizes = placed.groupBy("frame").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least_n"))
     counts = shingles.groupBy("frame", "hash").agg(
         F.count(F.lit(1)).alias("times"), F.min("root").alias("low"), F.max("root").alias("high")
     )
-    counts = pin(counts.filter("times > 1").join(sizes.select("frame", "classes"), "frame"), "counts")
+    counts = _kept(counts.filter("times > 1").join(sizes.select("frame", "classes"), "frame"), "counts", rows)
     common = counts.filter("2 * times > classes").select("frame", "hash")
     rare = counts.filter("2 * times <= classes and low <> high").select("frame", "hash")
     keys = shingles.join(rare, ["frame", "hash"]).select(F.xxhash64("frame", "hash").alias("key"), "cls", "root", "n", "cap")
 
     inside = shingles.join(common, ["frame", "hash"], "left_semi").groupBy("frame", "cls").agg(F.count(F.lit(1)).alias("inside"))
     near = placed.join(inside, ["frame", "cls"]).join(sizes.select("frame", "least_n"), "frame")
-    near = pin(near.filter((100 + percent) * F.col("inside") >= percent * (F.col("n") + F.col("least_n"))), "near")
+    near = _kept(near.filter((100 + percent) * F.col("inside") >= percent * (F.col("n") + F.col("least_n"))), "near", rows)
     other = near.filter("root <> frame").select("frame", *[F.col(c).alias(f"other_{c}") for c in ("cls", "root", "n", "inside")])
     enough = (100 + percent) * F.least("inside", "other_inside") >= percent * (F.col("n") + F.col("other_n"))
     met = near.join(other, "frame").filter((F.col("root") != F.col("other_root")) & enough)
-    return _ordered(met.select("cls", F.col("other_cls").alias("other"))), pin(keys.distinct(), "keys")
+    return _ordered(met.select("cls", F.col("other_cls").alias("other"))), keys.distinct()
 
 
-def _more_pairs(members: DataFrame, count: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _more_pairs(members: DataFrame, count: int, percent: int, rows: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of different components for up to `count` pivots a key, and the members that are left."""
-    parts = pin(members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size")), "parts")
-    rest = parts.join(_largest(members), ["key", "root"], "left_anti")
+    parts = _parts(members)
+    rest = parts.join(_largest(parts), ["key", "root"], "left_anti")
     order = Window.partitionBy("key").orderBy("size", "root", "cls")
     outside = members.join(rest, ["key", "root"]).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= count)
-    pivots = pin(outside.select("key", *[F.col(c).alias(f"other_{c}") for c in ("cls", "root", "n", "cap")]), "pivots")
+    pivots = _kept(outside.select("key", *[F.col(c).alias(f"other_{c}") for c in ("cls", "root", "n", "cap")]), "pivots", rows)
     common = F.least("cap", "other_cap")
     may = (F.col("root") != F.col("other_root")) & (100 * common >= percent * (F.col("n") + F.col("other_n") - common))
     met = members.join(pivots, "key").filter(may).select("cls", F.col("other_cls").alias("other"))
@@ -379,51 +408,48 @@ def _more_pairs(members: DataFrame, count: int, percent: int) -> tuple[DataFrame
     return _ordered(met), left
 
 
-def _joined(roots: DataFrame, found: DataFrame) -> DataFrame:
+def _joined(roots: DataFrame, found: DataFrame, rows: int) -> DataFrame:
     """`roots` (cls, root) after the links `found` (a, b): only components that they join are worked on."""
     def side(name: str) -> DataFrame:
-        own = roots.select(F.col("cls").alias(name), F.col("root").alias(f"root_{name}"))
-        return own
+        return roots.select(F.col("cls").alias(name), F.col("root").alias(f"root_{name}"))
 
-    named = pin(found, "links").join(side("a"), "a", "left").join(side("b"), "b", "left")
-    edges = named.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).filter("a <> b").distinct()
-    edges = pin(edges, "edges")
-    if not edges.limit(1).count():
+    named = found.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    edges = named.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    moved = components(edges).toDF("cls", "to")
+    if not moved.limit(1).count():
         return roots
-    moved = pin(components(edges).toDF("root", "to"), "moved")
+    after = roots.join(moved.toDF("root", "to"), "root", "left").select("cls", F.coalesce("to", "root").alias("root"))
     # Classes without a link so far are their own roots.
-    every = roots.union(moved.select(F.col("root").alias("cls"), "root")).distinct()
-    after = every.join(moved, "root", "left").select("cls", F.coalesce("to", "root").alias("root"))
-    return pin(after.groupBy("cls").agg(F.min("root").alias("root")), "roots")
+    return _kept(after.union(moved.join(roots, "cls", "left_anti").select("cls", F.col("to").alias("root"))), "roots", rows)
 
 
 def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): set sizes and the smallest id each row is linked to."""
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    own = pin(sketches(rows, shingle), "sketches")
+    texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    own = pin(sketches(texts, shingle), "sketches")
+    rows = own.count()
     worded = own.filter("digest is not null")
     classes = worded.groupBy("digest").agg(
         F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")
     )
-    classes = pin(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
-    pairs, open_members = _first_pairs(pin(_members(classes), "members"))
-    found = pin(links(rows, classes, pin(pairs, "pairs"), shingle, percent), "links")
-    roots = pin(components(found).withColumnRenamed("node", "cls"), "roots")
-    members = _open(open_members, roots)
+    classes = _kept(classes.withColumn("cls", F.monotonically_increasing_id()), "classes", rows)
+    pairs, open_members = _first_pairs(pin(_members(classes), "members"), rows)
+    roots = components(links(texts, classes, pairs, shingle, percent, rows)).withColumnRenamed("node", "cls")
+    members = _open(open_members, roots, rows)
     if members.limit(1).count():
-        sets = _class_sets(rows, classes, members.select("cls").distinct(), shingle)
-        members = _open(_bounded(classes, members, sets, percent), roots)
-        pairs, members = _narrowed(members, sets, percent)
-        roots = _joined(roots, links(rows, classes, pin(pairs, "pairs"), shingle, percent, sets))
-        members, count = _open(members, roots), PIVOTS
+        sets = _class_sets(texts, classes, members.select("cls").distinct(), shingle, rows, sized=True)
+        members = _open(_bounded(members, sets, percent, rows), roots, rows)
+        pairs, members = _narrowed(members, sets, percent, rows)
+        roots = _joined(roots, links(texts, classes, pairs, shingle, percent, rows, sets), rows)
+        members, count = _open(members, roots, rows), PIVOTS
         while members.limit(1).count():
-            pairs, left = _more_pairs(members, count, percent)
-            roots = _joined(roots, links(rows, classes, pin(pairs, "pairs"), shingle, percent, sets))
-            members = _open(left, roots)
+            pairs, left = _more_pairs(members, count, percent, rows)
+            roots = _joined(roots, links(texts, classes, pairs, shingle, percent, rows, sets), rows)
+            members = _open(left, roots, rows)
             count *= 4
     rooted = classes.select("digest", "least", "cls").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = pin(rooted.select("digest", "root").join(smallest, "root").select("digest", "component_id"), "labels")
+    labels = _kept(rooted.select("digest", "root").join(smallest, "root").select("digest", "component_id"), "labels", rows)
     alone = own.filter("digest is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     linked = worded.select("doc_id", "n_shingles", "digest").join(labels, "digest").select("doc_id", "n_shingles", "component_id")
     return linked.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

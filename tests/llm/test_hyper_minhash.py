@@ -150,3 +150,29 @@ def test_sketch_of_a_long_row_is_that_of_its_words():
     assert list(np.diff(bounds)) == [2, 2, 0, 1]
     digests = hyper_minhash._text_digests(w)
     assert digests[0] == digests[1] and digests[2] is None and digests[3] is not None
+
+
+def test_small_tables_are_written_by_few_tasks(spark, monkeypatch):
+    """However many partitions shuffles have: on tables of some thousand rows a task costs more than its rows."""
+    files = {}
+
+    def pin(df, label, real=hyper_minhash.pin):
+        held = real(df, label)
+        files[label] = max(files.get(label, 0), len(held.inputFiles()))
+        return held
+
+    monkeypatch.setattr(hyper_minhash, "pin", pin)
+    settings = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    r = random.Random(5)
+    base = [f"b{k}" for k in range(60)]
+    df = spark.createDataFrame([(k, edited(base, r, r.randrange(7)), "en", "s", 1) for k in range(60)], SCHEMA)
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        assert found(df) == brute(pairs_of(df))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    few = {"classes", "shared", "large", "stars", "pairs", "likely", "asked", "sets", "placed", "open", "labels"}
+    assert {label: n for label, n in files.items() if label in few and n > 1} == {}

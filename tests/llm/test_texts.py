@@ -364,6 +364,18 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_tasks_contract_their_edges_first(spark, monkeypatch):
+    """A chain in a few tasks takes one look, not a round for each doubling; many small shares give the same."""
+    tables = []
+    monkeypatch.setattr(components, "pin", lambda df, label, real=components.pin: tables.append(label) or real(df, label))
+    edges = spark.createDataFrame([(k, k + 1) for k in range(400)], "a bigint, b bigint").repartition(3)
+    assert {(row.node, row.root) for row in components.components(edges).collect()} == {(k, 0) for k in range(401)}
+    assert len(tables) <= 3
+    monkeypatch.setattr(components, "EDGES_AT_ONCE", 50)
+    got = sorted((row.node, row.root) for row in components.components(edges).collect())
+    assert got == [(k, 0) for k in range(401)]
+
+
 # ---- pipeline
 
 
