@@ -296,3 +296,11 @@ def test_quality_query_on_held_out_rows(spark, sf_dir):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
     held = [r for r in rows if r.held_out and r.doc_id in labels]
     assert sum(r.predicted == labels[r.doc_id] for r in held) >= 0.85 * len(held)
+
+
+def test_replies_leave_in_shares():
+    """A shard's answers are not one Arrow batch, which both sides would hold whole."""
+    rows = [(0, k, bytes(300_000), None, None, None, None) for k in range(20)] + [(0, -1, None, 1, 2, "f", 3)]
+    table = ngram_trie._reply_table(rows)
+    assert max(batch.nbytes for batch in table.to_batches()) < 2_000_000
+    assert table.column("block").to_pylist() == [row[1] for row in rows]
