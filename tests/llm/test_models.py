@@ -1,5 +1,6 @@
 import collections
 import math
+import os
 import random
 import zlib
 
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 from siltstone.llm import ngram_trie, rank_profiles, rule_ensemble
 from siltstone.llm.elias_fano import EliasFano
 from siltstone.llm.queries import QUERIES
+from siltstone.session import scratch
 
 
 @settings(max_examples=80, deadline=None)
@@ -304,3 +306,43 @@ def test_replies_leave_in_shares():
     table = ngram_trie._reply_table(rows)
     assert max(batch.nbytes for batch in table.to_batches()) < 2_000_000
     assert table.column("block").to_pylist() == [row[1] for row in rows]
+
+
+def folder_bytes(path):
+    return sum(os.path.getsize(f"{d}/{f}") for d, _, files in os.walk(path) for f in files if f.endswith((".parquet", ".level")))
+
+
+def test_answers_and_levels_are_small(spark):
+    """Answers take some bits for each token and are kept once a level; a trie's node takes some bytes."""
+    r = np.random.default_rng(3)
+    drawn = np.minimum(r.zipf(1.3, (400, 500)), 5000)
+    frame = spark.createDataFrame([(k, " ".join(f"w{x}" for x in row), k % 7 == 2) for k, row in enumerate(drawn.tolist())], "doc_id bigint, text string, held_out boolean")
+    with scratch(spark) as path:
+        files = ngram_trie.score(frame.coalesce(1))[1].filter("level > 1").collect()
+        local = path.removeprefix("file://").removeprefix("file:")
+        sizes = {name: folder_bytes(f"{local}/{name}") for name in os.listdir(local)}
+    answers = sum(size for name, size in sizes.items() if name.startswith(("pairs-", "answers-")))
+    assert answers < 0.9 * drawn.size
+    assert sum(f.level_bytes for f in files) < 8 * sum(f.types for f in files)
+
+
+def test_questions_do_not_widen_with_the_shards():
+    """Contexts of a shard are a stretch of the nodes, so their steps are as small with many shards as with one."""
+    r = np.random.default_rng(4)
+    n, nodes = 60_000, 1_000_000
+    context, word = r.integers(0, nodes, n), r.integers(1, 50, n)
+    b = ngram_trie.Block(word, np.array([n]), np.ones(n, dtype=bool), np.zeros(n, dtype=bool))
+
+    def sent(shards):
+        asked = ngram_trie._asked(context, np.full(n, 3), word, np.ones(n, dtype=bool), 1000, shards, nodes)
+        assert set(zip(asked.c.tolist(), asked.w.tolist(), strict=True)) == set(zip(context.tolist(), word.tolist(), strict=True))
+        assert (asked.c[asked.pair] == context[asked.tokens]).all() and (asked.w[asked.pair] == word[asked.tokens]).all()
+        return sum(len(body) for _, body in ngram_trie._ask_pairs(b, asked, np.full(n, 3), np.full(n, -2.0)))
+
+    assert sent(20) < 1.1 * sent(1)
+
+
+def test_counts_in_bytes():
+    counts = np.array([2, 254, 255, 256, 3, 1 << 40])
+    held = ngram_trie._narrow_counts(counts)
+    assert ngram_trie._counts({k: a.view(np.uint8) for k, a in held.items()}).tolist() == counts.tolist()
