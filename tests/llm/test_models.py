@@ -322,7 +322,7 @@ def test_answers_and_levels_are_small(spark):
         local = path.removeprefix("file://").removeprefix("file:")
         sizes = {name: folder_bytes(f"{local}/{name}") for name in os.listdir(local)}
     answers = sum(size for name, size in sizes.items() if name.startswith(("pairs-", "answers-")))
-    assert answers < 0.9 * drawn.size
+    assert answers < 0.25 * drawn.size
     assert sum(f.level_bytes for f in files) < 8 * sum(f.types for f in files)
 
 
